@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, quality_classifier
+from . import decontamination, language_id, ngram_jaccard, quality_classifier
 from .common import crc_bucket, table
 
 
@@ -31,7 +31,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_decontamination, op9_language_id, op10_quality_classifier)
+    f.__name__: f for f in (op1_ngram_jaccard, op4_decontamination, op9_language_id, op10_quality_classifier)
 }
 ORACLES: dict[str, str] = {}
