@@ -26,7 +26,6 @@ from .common import map_rows, short_batches
 
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-_SHIFT = 21  # a code point fits 21 bits
 
 
 @dataclass(frozen=True)
@@ -37,11 +36,11 @@ class Params:
     cached_length: int = 48
 
 
-def suffix_automaton(text: str) -> dict[int, int]:
-    """Transitions of the suffix automaton of text, keyed state << 21 | code point; state 0 starts."""
-    edges: list[dict[int, int]] = [{}]
+def suffix_automaton(text: str) -> dict:
+    """The start state of the suffix automaton of text; a state is the dict of its transitions."""
+    edges: list[dict] = [{}]
     link, length, last = [-1], [0], 0
-    for c in map(ord, text):
+    for c in text:
         new, at = len(edges), last
         edges.append({})
         length.append(length[last] + 1)
@@ -63,20 +62,28 @@ def suffix_automaton(text: str) -> dict[int, int]:
                     at = link[at]
                 link[to] = link[new] = copy
         last = new
-    return {state << _SHIFT | c: to for state, out in enumerate(edges) for c, to in out.items()}
+    for out in edges:
+        for c, to in out.items():
+            out[c] = edges[to]
+    return edges[0]
 
 
-def phrases(token: str, automaton: dict[int, int]) -> int:
+def phrases(token: str, start: dict) -> int:
     """Longest matches needed to cover the token; a character without a match is a phrase."""
-    n, i, end, step = 0, 0, len(token), automaton.get
-    codes = [ord(c) for c in token]
-    while i < end:
-        state, first = 0, i
-        while i < end and (to := step(state << _SHIFT | codes[i])) is not None:
-            state, i = to, i + 1
-        i += i == first
-        n += 1
-    return n
+    n, state, step = 0, start, start.get
+    for c in token:
+        to = step(c)
+        if to is None:
+            n += state is not start
+            to = start.get(c)
+            if to is None:
+                n, to = n + 1, start
+        state, step = to, to.get
+    return n + (state is not start)
+
+
+#: The last model a worker process used: automata, and the parses of the tokens seen. It outlives a task.
+_kept: dict = {}
 
 
 @dataclass(frozen=True)
@@ -137,11 +144,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def make():
         own = shared.value
         langs = sorted(own.references)
-        automata = [suffix_automaton(own.references[k]) for k in langs]
         bits = np.array([math.log2(len(own.references[k])) for k in langs])
         limit, longest = own.params.cached_tokens, own.params.cached_length
-        row: dict[str, int] = {}
-        table = np.zeros((limit, len(langs)), dtype=np.int32)
+        if _kept.get("model") != own:
+            _kept.clear()
+            _kept.update(model=own, automata=[suffix_automaton(own.references[k]) for k in langs], row={}, table=np.zeros((limit, len(langs)), dtype=np.int32))
+        automata, row, table = _kept["automata"], _kept["row"], _kept["table"]
 
         def parse(tokens: list[str]) -> np.ndarray:
             total = np.zeros(len(langs), dtype=np.int64)
