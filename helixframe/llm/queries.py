@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_formatting, decontamination, embedding_dedup, language_id, ngram_jaccard, quality_classifier, url_filters
+from . import chat_formatting, decontamination, embedding_dedup, html_extraction, language_id, ngram_jaccard, quality_classifier, url_filters
 from .common import crc_bucket, table
 
 
@@ -35,6 +35,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extraction.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_lines", "n_shared")
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link(table(spark, sf_dir, "embeddings"))
 
@@ -76,7 +81,7 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op4_decontamination, op5_embedding_dedup, op6_url_filters, op8_chat_formatting, op9_language_id, op10_quality_classifier)
+    f.__name__: f for f in (op1_ngram_jaccard, op2_html_extraction, op4_decontamination, op5_embedding_dedup, op6_url_filters, op8_chat_formatting, op9_language_id, op10_quality_classifier)
 }
 _ENTRY_ROWS = ", ".join(f"('{a}', '{b}', '{c}', '{d}', {e})" for a, b, c, d, e in URL_ENTRIES)
 
