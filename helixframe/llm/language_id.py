@@ -12,6 +12,7 @@ get equal results; other columns are ignored. Whole texts are parsed, of any len
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 from collections import Counter
@@ -148,7 +149,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         limit, longest = own.params.cached_tokens, own.params.cached_length
         if _kept.get("model") != own:
             _kept.clear()
+            # the automata hold millions of references: keep the collector from walking them
             _kept.update(model=own, automata=[suffix_automaton(own.references[k]) for k in langs], row={}, table=np.zeros((limit, len(langs)), dtype=np.int32))
+            gc.freeze()
         automata, row, table = _kept["automata"], _kept["row"], _kept["table"]
 
         def parse(tokens: list[str]) -> np.ndarray:
@@ -161,7 +164,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                         total += [phrases(f" {t} ", a) for a in automata]
             for i in range(0, len(short), limit // 2):
                 part = short[i : i + limit // 2]
-                new = set(part) - row.keys()
+                new = {t for t in part if t not in row}
                 if len(row) + len(new) > limit:
                     row.clear()
                     new = set(part)
