@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_formatting, decontamination, embedding_dedup, html_extraction, language_id, ngram_jaccard, quality_classifier, url_filters
+from . import chat_formatting, decontamination, embedding_dedup, html_extraction, language_id, lm_scoring, ngram_jaccard, quality_classifier, url_filters
 from .common import crc_bucket, table
 
 
@@ -44,6 +44,13 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link(table(spark, sf_dir, "embeddings"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_bucket(F.col("doc_id"), 5) == 1
+    model = lm_scoring.fit(docs, ~held_out)
+    return lm_scoring.score(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 #: A conversation whose texts hold the template's own control strings.
 _HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
@@ -81,7 +88,7 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_html_extraction, op4_decontamination, op5_embedding_dedup, op6_url_filters, op8_chat_formatting, op9_language_id, op10_quality_classifier)
+    f.__name__: f for f in (op1_ngram_jaccard, op2_html_extraction, op4_decontamination, op5_embedding_dedup, op6_url_filters, op7_lm_scoring, op8_chat_formatting, op9_language_id, op10_quality_classifier)
 }
 _ENTRY_ROWS = ", ".join(f"('{a}', '{b}', '{c}', '{d}', {e})" for a, b, c, d, e in URL_ENTRIES)
 
