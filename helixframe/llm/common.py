@@ -84,6 +84,12 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterab
     return df.mapInArrow(run, schema)
 
 
+def carried(docs: DataFrame, made: tuple[str, ...]) -> tuple[list[str], str]:
+    """The columns of docs that can travel along with a result, besides those it makes, and their schema."""
+    fields = [f for f in docs.schema if f.name not in made]
+    return [f.name for f in fields], ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

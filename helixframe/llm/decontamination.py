@@ -12,6 +12,7 @@ id or text are ignored; an empty benchmark hits nothing. Whole texts are scanned
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, short_batches
+from .common import carried, map_rows, short_batches
 
 #: Bytes of words: digits, letters and everything beyond ASCII; A-Z become a-z, all else a blank.
 _NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -115,16 +116,21 @@ def _blocks(benchmark: DataFrame, chars: int) -> list[list[tuple[int, str]]]:
     return blocks
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, params: Params = Params()) -> DataFrame:
-    """(doc_id, n_words, n_hit, span_starts, span_ends, item_ids) of every row of docs(doc_id, text).
+_MADE = ("n_words", "n_hit", "span_starts", "span_ends", "item_ids")
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, params: Params = Params(), carry: bool = False) -> DataFrame:
+    """(doc_id, text, n_words, n_hit, span_starts, span_ends, item_ids) of every row of docs(doc_id, text).
 
     One map a block of the benchmark; no shuffle. With several blocks a row carries its
     spans and items from each scan to the next, so nothing is joined back.
     """
     spark = docs.sparkSession
     short_batches(spark)
-    schema = "doc_id long, text string, n_words long, span_starts array<int>, span_ends array<int>, item_ids array<long>"
-    out = docs.select("doc_id", "text")
+    out = docs if carry else docs.select("doc_id", "text")
+    keep, kept_schema = carried(out, _MADE)
+    out = out.select(*keep)
+    schema = f"{kept_schema}, n_words long, span_starts array<int>, span_ends array<int>, item_ids array<long>"
     for block in _blocks(benchmark, params.block_chars):
         shared = spark.sparkContext.broadcast((block, params.window))
 
@@ -140,7 +146,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, params: Params = Params()) -> Da
                         (g[0], *merged([*zip(s, e), *zip(g[1], g[2])]), sorted({*i, *g[3]}))
                         for g, s, e, i in zip(got, *before)
                     ]
-                yield {"doc_id": batch.column("doc_id"), "text": batch.column("text")} | {
+                yield {c: batch.column(c) for c in keep} | {
                     k: [g[i] for g in got] for i, k in enumerate(("n_words", "span_starts", "span_ends", "item_ids"))
                 }
 
@@ -148,27 +154,27 @@ def scan(docs: DataFrame, benchmark: DataFrame, params: Params = Params()) -> Da
 
         out = map_rows(out, make, schema)
     hit = F.aggregate(F.arrays_zip("span_starts", "span_ends"), F.lit(0).cast("long"), lambda a, s: a + (s.span_ends - s.span_starts))
-    return out.select("doc_id", "text", "n_words", hit.alias("n_hit"), "span_starts", "span_ends", "item_ids")
+    return out.select(*keep, "n_words", hit.alias("n_hit"), "span_starts", "span_ends", "item_ids")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "drop", max_hit_share: float = 0.0, params: Params = Params()) -> DataFrame:
     """Drop documents whose share of hit words is over max_hit_share, or cut the hit spans out of texts.
 
-    mode "drop" keeps the columns and rows of docs that pass; mode "cut" keeps every row, its hit
-    words removed. In both, rows are told apart by doc_id.
+    mode "drop" keeps the rows of docs that pass; mode "cut" keeps every row, its hit words removed. Columns
+    of docs are kept, but for names that clash with the scan's. One map, no shuffle.
     """
-    short_batches(docs.sparkSession)
-    found = scan(docs, benchmark, params).where("n_hit > 0")
+    found = scan(docs, benchmark, params, carry=True)
+    keep = [c for c in docs.columns if c not in _MADE]
     if mode == "drop":
-        bad = found.where(F.col("n_hit") > max_hit_share * F.col("n_words")).select("doc_id").distinct()
-        return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+        return found.where((F.col("n_hit") == 0) | (F.col("n_hit") <= max_hit_share * F.col("n_words"))).select(*keep)
     if mode != "cut":
         raise ValueError(f"mode is drop or cut, not {mode}")
+    _, schema = carried(found.select(*keep), ())
 
     def make():
-        def cut(text: str, starts: list[int], ends: list[int]) -> str:
-            import re
-
+        def cut(text: str | None, starts: list[int], ends: list[int]) -> str | None:
+            if not starts:
+                return text
             at = [m.span() for m in re.finditer(rb"[^ ]+", text.encode().translate(_NORMAL))]
             raw, out, last = text.encode(), b"", 0
             for a, b in zip(starts, ends):
@@ -178,10 +184,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "drop", max
 
         def work(batch: pa.RecordBatch):
             cols = [batch.column(c).to_pylist() for c in ("text", "span_starts", "span_ends")]
-            yield {"doc_id": batch.column("doc_id"), "clean_text": [cut(*x) for x in zip(*cols)]}
+            yield {c: batch.column(c) for c in keep} | {"text": [cut(*x) for x in zip(*cols)]}
 
         return work
 
-    clean = map_rows(found.select("doc_id", "text", "span_starts", "span_ends"), make, "doc_id long, clean_text string").dropDuplicates(["doc_id"])
-    joined = docs.join(clean, "doc_id", "left").withColumn("text", F.coalesce("clean_text", "text"))
-    return joined.select(*docs.columns)
+    return map_rows(found, make, schema)

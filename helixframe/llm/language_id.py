@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, short_batches
+from .common import carried, map_rows, short_batches
 
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -137,10 +137,15 @@ def fit(docs: DataFrame, allowed: Column, params: Params = Params()) -> Model:
     return Model(references, params)
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang_pred, score) of every row of docs(doc_id, text): one map, no shuffle."""
+def predict(docs: DataFrame, model: Model, carry: bool = False) -> DataFrame:
+    """(doc_id, lang_pred, score) of every row of docs(doc_id, text): one map, no shuffle.
+
+    With carry the other columns of docs come along (but for clashing names).
+    """
     short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs if carry else docs.select("doc_id", "text")
+    keep, kept_schema = carried(docs if carry else docs.select("doc_id"), ("lang_pred", "score"))
 
     def make():
         own = shared.value
@@ -185,8 +190,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
         def work(batch: pa.RecordBatch):
             got = [one(t) for t in batch.column("text").to_pylist()]
-            yield {"doc_id": batch.column("doc_id"), "lang_pred": [g[0] for g in got], "score": [g[1] for g in got]}
+            yield {c: batch.column(c) for c in keep} | {"lang_pred": [g[0] for g in got], "score": [g[1] for g in got]}
 
         return work
 
-    return map_rows(docs.select("doc_id", "text"), make, "doc_id long, lang_pred string, score double")
+    return map_rows(docs, make, f"{kept_schema}, lang_pred string, score double")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_rows, short_batches
+from .common import carried, map_rows, short_batches
 
 
 @dataclass(frozen=True)
@@ -140,10 +140,15 @@ def _sized(df: DataFrame, keep: list[str], good: bytes, bad: bytes, p: Params) -
     return map_rows(df, make, ", ".join([*keep, *(f"s{k} long" for k in range(4))]))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score, predicted) of every row of docs(doc_id, text): one map, no shuffle."""
+def score(docs: DataFrame, model: Model, carry: bool = False) -> DataFrame:
+    """(doc_id, score, predicted) of every row of docs(doc_id, text): one map, no shuffle.
+
+    With carry the other columns of docs come along (but for clashing names).
+    """
     short_batches(docs.sparkSession)
     m = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs if carry else docs.select("doc_id", "text")
+    keep, kept_schema = carried(docs if carry else docs.select("doc_id"), ("score", "predicted"))
 
     def make():
         own = m.value
@@ -155,8 +160,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             x = features(np.array([sizes((t or "").encode()) for t in batch.column("text").to_pylist()], dtype=float))
             z = np.clip(own.weights[0] + ((x - own.mean) / own.scale) @ own.weights[1:], -30, 30)
             s = 1 / (1 + np.exp(-z))
-            yield {"doc_id": batch.column("doc_id"), "score": s, "predicted": (s >= own.params.threshold).astype(np.int32)}
+            yield {c: batch.column(c) for c in keep} | {"score": s, "predicted": (s >= own.params.threshold).astype(np.int32)}
 
         return work
 
-    return map_rows(docs.select("doc_id", "text"), make, "doc_id long, score double, predicted int")
+    return map_rows(docs, make, f"{kept_schema}, score double, predicted int")

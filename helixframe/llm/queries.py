@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_formatting, decontamination, embedding_dedup, html_extraction, language_id, lm_scoring, ngram_jaccard, quality_classifier, url_filters
+from . import chat_formatting, decontamination, embedding_dedup, html_extraction, language_id, lm_scoring, mixing, ngram_jaccard, quality_classifier, url_filters
 from .common import crc_bucket, table
 
 
@@ -40,6 +40,18 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_lines", "n_shared")
 
 
+#: Shares of tokens that op3 and the pipeline's last stage mix to.
+TARGET_SHARES = {"clean": 0.85, "poor": 0.05, "toxic": 0.1}
+
+
+def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select("doc_id", mixing.domain_of(F.col("quality"), F.col("toxic")).alias("domain"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.rates(table(spark, sf_dir, "documents").select("doc_id", "text"), labelled_domains(spark, sf_dir), TARGET_SHARES)
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link(table(spark, sf_dir, "embeddings"))
 
@@ -88,7 +100,7 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_html_extraction, op4_decontamination, op5_embedding_dedup, op6_url_filters, op7_lm_scoring, op8_chat_formatting, op9_language_id, op10_quality_classifier)
+    f.__name__: f for f in (op1_ngram_jaccard, op2_html_extraction, op3_mixing, op4_decontamination, op5_embedding_dedup, op6_url_filters, op7_lm_scoring, op8_chat_formatting, op9_language_id, op10_quality_classifier)
 }
 _ENTRY_ROWS = ", ".join(f"('{a}', '{b}', '{c}', '{d}', {e})" for a, b, c, d, e in URL_ENTRIES)
 
