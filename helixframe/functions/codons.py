@@ -34,12 +34,15 @@ def with_effect(rows: DataFrame) -> DataFrame:
     c = F.col
     inside = lambda e: (e.start <= c("position")) & (c("position") < e.end) & (c("cds.start") <= c("position")) & (c("position") < c("cds.end"))
     keep = [x for x in rows.columns if x not in ("reverse", "cds", "exons", "bases")]
-    x = rows.withColumn("exon", F.get(F.filter("exons", inside), F.lit(0))).where("length(allele) = 1 AND cds IS NOT NULL AND exon.frame IS NOT NULL")
+    x = rows.withColumn("exon", F.get(F.filter("exons", inside), F.lit(0)))
     x = x.select(
         *keep, "reverse", "bases", "exon", (c("exon.end") - c("exon.start")).alias("size"),
         F.when(c("reverse"), c("exon.end") - c("position") - 1).otherwise(c("position") - c("exon.start")).alias("offset"),
     )
-    x = x.withColumn("within", (c("offset") + c("exon.frame")) % 3).withColumn("at", c("offset") - c("within")).where("at >= 0 AND size > at + 3")
+    x = x.withColumn("within", (c("offset") + c("exon.frame")) % 3).withColumn("at", c("offset") - c("within"))
+    # tested where the effect is named, not as a filter: filters may be reordered, and an unknown codon is an error
+    usable = F.expr("length(allele) = 1 AND cds IS NOT NULL AND exon.frame IS NOT NULL AND at >= 0 AND size > at + 3")
+    x = x.withColumn("usable", F.coalesce(usable, F.lit(False)))
     # the codon's place in the bases as given: counted from the exon's end on the reverse strand
     first = F.when(c("reverse"), c("exon.end") - c("t_start") - c("at") - 3).otherwise(c("exon.start") - c("t_start") + c("at"))
     x = x.withColumn("plain", F.substring("bases", (first + 1).cast("int"), F.lit(3)))
@@ -49,4 +52,4 @@ def with_effect(rows: DataFrame) -> DataFrame:
     x = x.withColumn("before", translate(c("codon"))).withColumn("after", translate(c("changed")))
     unknown = F.raise_error(F.concat(F.lit("not a codon: "), F.when(c("before").isNull(), c("codon")).otherwise(c("changed")))).cast("string")
     named = F.when(c("before") == c("after"), "SYNONYMOUS_SNP").when(c("after") == "*", "STOP_GAIN").when(c("before") == "*", "STOP_LOSS").otherwise("NONSYNONYMOUS_SNP")
-    return x.select(*keep, F.when(c("before").isNull() | c("after").isNull(), unknown).otherwise(named).alias("effect"))
+    return x.select(*keep, F.when(c("usable"), F.when(c("before").isNull() | c("after").isNull(), unknown).otherwise(named)).alias("effect"))
