@@ -41,7 +41,7 @@ def with_effect(rows: DataFrame) -> DataFrame:
     )
     x = x.withColumn("within", (c("offset") + c("exon.frame")) % 3).withColumn("at", c("offset") - c("within"))
     # tested where the effect is named, not as a filter: filters may be reordered, and an unknown codon is an error
-    usable = F.expr("length(allele) = 1 AND cds IS NOT NULL AND exon.frame IS NOT NULL AND at >= 0 AND size > at + 3")
+    usable = F.expr("length(allele) = 1 AND exon.frame IS NOT NULL AND at >= 0 AND size > at + 3")
     x = x.withColumn("usable", F.coalesce(usable, F.lit(False)))
     # the codon's place in the bases as given: counted from the exon's end on the reverse strand
     first = F.when(c("reverse"), c("exon.end") - c("t_start") - c("at") - 3).otherwise(c("exon.start") - c("t_start") + c("at"))
