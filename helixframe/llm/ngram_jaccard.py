@@ -4,16 +4,18 @@ A document's set holds its distinct 5-word shingles. Sets A and B link when
 100 * |A n B| >= 80 * |A u B|. The join is exact up to 64-bit shingle hashes:
 
 1. Equal sets collapse into classes by a 128-bit digest; only class representatives go on.
-2. Answers from similar sets: classes that share a min-hash meet in bounded chunks, where a
-   class highly similar to an earlier one is attached to it and is not compared further there.
-   Chunks of what remains meet again until each key fits one chunk. These links (all verified)
-   give most components in linear work.
-3. Prefix index lists: every class posts the rarest part of its set, the rarity read from a
-   count sketch of all shingles. A list is kept in (size, position) order and read in blocks:
-   a block is skipped when its sizes, or the positions left in it, rule out the overlap. Entries of one
-   component collapse to one posting, because their mutual answers are known; pairs within a component are never made.
-4. One representative pair of each two components that meet is verified; unless that links
-   or settles them, all pairs of their sets that share a list are, so that no link between components is lost.
+2. Answers from similar sets: classes that share a band of min-hashes meet in bounded chunks, the most central of a chunk
+   first; a class highly similar to an earlier one is attached to it and is not compared further there. What remains of
+   a large key meets again, as long as that helps. These links (all verified) give most components in linear work.
+3. Prefix index lists: every class posts the rarest part of its set, the rarity read from a count sketch of all
+   shingles. A list is kept in (size, position) order and read in blocks: a block is skipped when its sizes, or the
+   positions left in it, rule out the overlap. Entries of one component collapse to one posting, because their mutual
+   answers are known; pairs within a component are never made.
+4. One representative pair of each two components that meet is verified; unless that links or settles them, all pairs of
+   their sets that share a list are, so that no link between components is lost.
+
+Texts are never shuffled: each step maps over the documents and picks those it needs by a bitmap of hashed ids, whose
+size is fixed (an id it lets through in error is removed by an exact join afterwards, or is an exact copy, which changes nothing).
 
 Result: one row a document: doc_id, n_shingles, component_id. Null, empty or word-free texts
 have 0 shingles and are their own component; documents with fewer than five words have one
@@ -42,7 +44,8 @@ class Params:
     percent: int = 80
     #: Similarity, in percent, at which a class is attached to an earlier one in a chunk.
     attach_percent: int = 80
-    chunk: int = 64  # classes of a key compared in one chunk
+    chunk: int = 128  # classes of a key compared in one chunk
+    id_bits: int = 26  # bits of an id bitmap: 8 MB when broadcast, at any input size
     sketch_bits: int = 21  # counters of the count sketch: 2 MB when broadcast, at any input size
 
 
@@ -52,20 +55,34 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, n: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's n-word shingles."""
+def shingle_sets(texts: list[str | None], n: int = 5) -> list[np.ndarray]:
+    """Of each text, the sorted distinct 64-bit hashes of its n-word shingles."""
     from xxhash import xxh3_64_intdigest as digest
 
-    tokens = (text or "").encode().lower().split()  # on bytes: A-Z and ASCII white space only
-    if not tokens:
-        return np.zeros(0, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        h = np.fromiter(map(digest, tokens), dtype=np.uint64, count=len(tokens))
-        k = min(n, len(h))
-        out = np.full(len(h) - k + 1, np.uint64(k))
-        for i in range(k):
-            out = _mix(out * np.uint64(31) + h[i : i + len(out)])
-    return np.unique(out)
+    rows = [(t or "").encode().lower().split() for t in texts]  # on bytes: A-Z and ASCII white space only
+    sizes = [len(r) for r in rows]
+    h = np.fromiter((digest(w) for r in rows for w in r), dtype=np.uint64, count=sum(sizes))
+    out: list[np.ndarray] = []
+
+    def mixed(x: np.ndarray, k: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            y = np.full(max(0, len(x) - k + 1), np.uint64(k))
+            for i in range(k):
+                y = _mix(y * np.uint64(31) + x[i : i + len(y)])
+        return y
+
+    every, at = mixed(h, n), 0
+    for size in sizes:
+        if size >= n:
+            out.append(np.unique(every[at : at + size - n + 1]))
+        else:
+            out.append(mixed(h[at : at + size], size) if size else np.zeros(0, dtype=np.uint64))
+        at += size
+    return out
+
+
+def shingles(text: str | None, n: int = 5) -> np.ndarray:
+    return shingle_sets([text], n)[0]
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -88,44 +105,85 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-_SIGN = "kind int, doc_id long, n long, d1 long, d2 long, k1 long, k2 long, block int, counts binary"
+_BANDS = 4
+_SIGN = "kind int, doc_id long, n long, d1 long, d2 long, bands array<long>, block int, counts binary"
+
+
+def _bands(s: np.ndarray) -> list[int]:
+    """Hashes of pairs of min-hashes: the least element of each eighth of the hash space (the next one's where it is empty)."""
+    at = np.searchsorted(s, np.arange(2 * _BANDS, dtype=np.uint64) << np.uint64(61))
+    least = s[at % len(s)]
+    with np.errstate(over="ignore"):
+        return _signed(_mix(least[0::2] * np.uint64(31) + _mix(least[1::2]))).tolist()
+
+
+def pack(own: np.ndarray) -> bytes:
+    """The nonzero counters of a block."""
+    at = np.flatnonzero(own).astype(np.uint32)
+    return zlib.compress(np.diff(at, prepend=np.uint32(0)).tobytes() + np.minimum(own[at], 2**32 - 1).astype(np.uint32).tobytes(), 1)
+
+
+def unpack(total: np.ndarray, packed: bytes) -> None:
+    raw = np.frombuffer(zlib.decompress(packed), dtype=np.uint32)
+    n = len(raw) // 2
+    total[np.cumsum(raw[:n], dtype=np.int64)] += raw[n:]
+
+
+class _Counters:
+    """Counters of a task, added to in bulk and given out in packed blocks at its end."""
+
+    def __init__(self, width: int, blocks: int = 16):
+        self.width, self.blocks, self.total = width, blocks, None
+        self.waiting: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, at: np.ndarray) -> None:
+        self.waiting.append(at)
+        self.size += len(at)
+        if self.size > 2_000_000:
+            self._flush()
+
+    def _flush(self) -> None:
+        if self.waiting:
+            counted = np.bincount(np.concatenate(self.waiting), minlength=self.width).astype(np.uint32)
+            self.total = counted if self.total is None else self.total + counted
+            self.waiting, self.size = [], 0
+
+    def packed(self):
+        self._flush()
+        step = self.width // self.blocks
+        for b in range(self.blocks if self.total is not None else 0):
+            own = self.total[b * step : (b + 1) * step]
+            if own.any():
+                yield b, pack(own)
 
 
 def _sign(docs: DataFrame, p: Params) -> DataFrame:
-    """kind 0: a row a document (size, digest, two min-hashes); kind 1: a task's share of the count sketch."""
+    """kind 0: a row a document (size, digest, bands); kind 1: a task's share of the count sketch."""
     width = 1 << p.sketch_bits
-    parts = 16
 
     def make():
         from xxhash import xxh3_128_intdigest as digest
 
-        total = np.zeros(width, dtype=np.uint32)
+        sketch = _Counters(width)
 
         def work(batch: pa.RecordBatch):
-            ids = batch.column("doc_id").to_pylist()
-            rows: list[tuple[int, int, int, int, int]] = []
-            for text in batch.column("text").to_pylist():
-                s = shingles(text, p.words)
+            rows: list[tuple] = []
+            sets = shingle_sets(batch.column("text").to_pylist(), p.words)
+            for s in sets:
                 if not len(s):
-                    rows.append((0, 0, 0, 0, 0))
+                    rows.append((0, 0, 0, None))
                     continue
-                total[:] += np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint32) if len(s) > width // 8 else 0
-                if len(s) <= width // 8:
-                    np.add.at(total, (s & np.uint64(width - 1)).astype(np.int64), 1)
                 d = digest(s.tobytes())
-                with np.errstate(over="ignore"):
-                    k2 = _mix(s * _M1 + np.uint64(7)).min()
-                rows.append((len(s), *np.array([d & (1 << 64) - 1, d >> 64], dtype=np.uint64).view(np.int64).tolist(), int(s[0].view(np.int64)), int(k2.view(np.int64))))
-            n = len(ids)
-            yield {"kind": [0] * n, "doc_id": ids, "block": [None] * n, "counts": [None] * n} | {k: [r[i] for r in rows] for i, k in enumerate(("n", "d1", "d2", "k1", "k2"))}
+                rows.append((len(s), *np.array([d & (1 << 64) - 1, d >> 64], dtype=np.uint64).view(np.int64).tolist(), _bands(s)))
+            if sets:
+                sketch.add((np.concatenate(sets) & np.uint64(width - 1)).astype(np.int64))
+            n = len(rows)
+            yield {"kind": [0] * n, "doc_id": batch.column("doc_id"), "block": [None] * n, "counts": [None] * n} | {k: [r[i] for r in rows] for i, k in enumerate(("n", "d1", "d2", "bands"))}
 
         def end():
-            for b in range(parts):
-                own = total[b * (width // parts) : (b + 1) * (width // parts)]
-                at = np.flatnonzero(own).astype(np.uint32)
-                if len(at):
-                    packed = zlib.compress(np.diff(at, prepend=at[:1]).tobytes() + at[:1].tobytes() + own[at].tobytes(), 1)
-                    yield {"kind": [1], "block": [b], "counts": [packed]} | {k: [None] for k in ("doc_id", "n", "d1", "d2", "k1", "k2")}
+            for b, packed in sketch.packed():
+                yield {"kind": [1], "block": [b], "counts": [packed]} | {k: [None] for k in ("doc_id", "n", "d1", "d2", "bands")}
 
         work.end = end
         return work
@@ -133,113 +191,219 @@ def _sign(docs: DataFrame, p: Params) -> DataFrame:
     return map_rows(docs.select("doc_id", "text"), make, _SIGN)
 
 
-def _ranks(signed: DataFrame, p: Params) -> bytes:
-    """The count sketch of all shingles as one byte of log2 scale a counter; its size is fixed."""
-    size = (1 << p.sketch_bits) // 16
-
-    def add(total: np.ndarray, packed: bytes) -> None:
-        raw = np.frombuffer(zlib.decompress(packed), dtype=np.uint32)
-        n = (len(raw) - 1) // 2
-        total[np.cumsum(raw[:n]) + raw[n]] += raw[n + 1 :]
+def _summed(shares: DataFrame, width: int, finish) -> np.ndarray:
+    """Packed counter blocks (block, counts) summed in two levels, so that no task meets the shares of all tasks; one byte a counter."""
+    step = width // 16
 
-    def summed(last: bool):
+    def level(last: bool):
         def make():
             own: dict[int, np.ndarray] = {}
 
             def work(batch: pa.RecordBatch):
                 for b, c in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                    add(own.setdefault(b, np.zeros(size, dtype=np.uint64)), c)
+                    unpack(own.setdefault(b, np.zeros(step, dtype=np.uint64)), c)
                 return ()
 
             def end():
                 for b, t in own.items():
-                    if last:
-                        yield {"block": [b], "counts": [np.minimum(np.log2(t + np.float64(1)) * 4, 255).astype(np.uint8).tobytes()]}
-                    else:
-                        at = np.flatnonzero(t).astype(np.uint32)
-                        yield {"block": [b], "counts": [zlib.compress(np.diff(at, prepend=at[:1]).tobytes() + at[:1].tobytes() + np.minimum(t[at], 2**32 - 1).astype(np.uint32).tobytes(), 1)]}
+                    yield {"block": [b], "counts": [zlib.compress(finish(t).tobytes(), 1) if last else pack(t)]}
 
             work.end = end
             return work
 
         return make
 
-    # two levels, so that no task sums the shares of all tasks of a large input
+    parts = n_partitions(shares.sparkSession)
+    once = map_rows(shares.repartition(parts, "block", F.pmod(F.xxhash64("counts"), F.lit(max(1, parts // 4)))), level(False), "block int, counts binary")
+    out = np.zeros(width, dtype=np.uint8)
+    for r in map_rows(once.repartition(16, "block"), level(True), "block int, counts binary").collect():
+        out[r.block * step : (r.block + 1) * step] = np.frombuffer(zlib.decompress(r.counts), dtype=np.uint8)
+    return out
+
+
+class IdBitmap:
+    """A broadcast bitmap of hashed ids: `picks` tells which of some ids may be among them."""
+
+    def __init__(self, ids: DataFrame, column: str, p: Params):
+        bits = p.id_bits
+
+        def make():
+            own = _Counters(1 << bits)
+
+            def work(batch: pa.RecordBatch):
+                own.add(_slot(batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64), bits))
+                return ()
+
+            def end():
+                for b, packed in own.packed():
+                    yield {"block": [b], "counts": [packed]}
+
+            work.end = end
+            return work
+
+        flags = _summed(map_rows(ids.select(column), make, "block int, counts binary"), 1 << bits, lambda t: (t > 0).astype(np.uint8))
+        self.shared = ids.sparkSession.sparkContext.broadcast(np.packbits(flags))
+        self.bits = bits
+
+    def __getstate__(self):
+        return {"shared": self.shared, "bits": self.bits}
+
+    def picks(self, ids: pa.Array) -> np.ndarray:
+        """A mask; null ids are never picked."""
+        known = ~np.asarray(ids.is_null().to_numpy(zero_copy_only=False), dtype=bool)
+        at = _slot(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), self.bits)
+        return known & (self.shared.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
+
+
+def _slot(ids: np.ndarray, bits: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (_mix(ids.view(np.uint64) + np.uint64(1)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _sets(docs: DataFrame, ids: DataFrame, p: Params) -> DataFrame:
+    """(rep, set) of the documents in ids(rep): the set as bytes of its sorted hashes. Only those sets are exchanged."""
+    ids = ids.select("rep").distinct()
+    wanted = IdBitmap(ids, "rep", p)
+
+    def make():
+        def work(batch: pa.RecordBatch):
+            at = np.flatnonzero(wanted.picks(batch.column("doc_id")))
+            if len(at):
+                own = batch.take(pa.array(at))
+                yield {"rep": own.column("doc_id"), "set": [s.tobytes() for s in shingle_sets(own.column("text").to_pylist(), p.words)]}
+
+        return work
+
+    return map_rows(docs.select("doc_id", "text"), make, "rep long, set binary").join(ids, "rep")
+
+
+def _ranks(signed: DataFrame, p: Params) -> bytes:
+    """The count sketch of all shingles as one byte of log2 scale a counter; its size is fixed."""
     shares = signed.where("kind = 1").select("block", "counts")
-    shares = map_rows(shares.repartition(n_partitions(shares.sparkSession)), summed(False), "block int, counts binary")
-    rows = map_rows(shares.repartition(16, "block"), summed(True), "block int, counts binary").collect()
-    out = np.zeros(1 << p.sketch_bits, dtype=np.uint8)
-    for r in rows:
-        out[r.block * size : (r.block + 1) * size] = np.frombuffer(r.counts, dtype=np.uint8)
-    return out.tobytes()
+    return _summed(shares, 1 << p.sketch_bits, lambda t: np.minimum(np.log2(t + np.float64(1)) * 4, 255).astype(np.uint8)).tobytes()
 
 
 def _attach(rows: DataFrame, p: Params) -> DataFrame:
-    """Verified links (a, b) inside chunks of rows (key, salt, n, rep, text); b is the earlier, kept class."""
+    """Verified links (a, b) inside chunks of rows (key, salt, rep, set); b is the class that stays.
+
+    A chunk's classes come in the order of their similarity to its consensus, the shingles that half of them share.
+    """
+
+    def links(got: list[tuple[int, np.ndarray]]):
+        values, count = np.unique(np.concatenate([s for _, s in got]), return_counts=True)
+        middle = values[count * 2 >= len(got)]
+        near = sorted(((-overlap(s, middle) / (len(s) + len(middle) - overlap(s, middle) or 1), rep, s) for rep, s in got), key=lambda x: x[:2])
+        kept: list[tuple[int, np.ndarray]] = []
+        for _, rep, s in near:
+            for other, o in kept:
+                if linked(s, o, p.attach_percent):
+                    yield rep, other
+                    break
+            else:
+                kept.append((rep, s))
 
     def make():
-        state: dict = {"at": None, "kept": []}
+        state: dict = {"at": None, "rows": []}
+
+        def flush():
+            got, state["rows"] = state["rows"], []
+            return list(links(got)) if len(got) > 1 else []
+
+        def out(pairs):
+            return {"a": [x[0] for x in pairs], "b": [x[1] for x in pairs]}
 
         def work(batch: pa.RecordBatch):
-            a_out, b_out = [], []
-            for key, salt, rep, text in zip(*(batch.column(c).to_pylist() for c in ("key", "salt", "rep", "text"))):
+            found = []
+            for key, salt, rep, raw in zip(*(batch.column(c).to_pylist() for c in ("key", "salt", "rep", "set"))):
                 if state["at"] != (key, salt):
-                    state["at"], state["kept"] = (key, salt), []
-                s = shingles(text, p.words)
-                for other, o in state["kept"]:
-                    if linked(s, o, p.attach_percent):
-                        a_out.append(rep)
-                        b_out.append(other)
-                        break
-                else:
-                    state["kept"].append((rep, s))
-            yield {"a": a_out, "b": b_out}
+                    found += flush()
+                    state["at"] = (key, salt)
+                state["rows"].append((rep, np.frombuffer(raw, dtype=np.uint64)))
+            yield out(found)
 
+        def end():
+            yield out(flush())
+
+        work.end = end
         return work
 
     parts = n_partitions(rows.sparkSession)
-    return map_rows(rows.repartition(parts, "key", "salt").sortWithinPartitions("key", "salt", "n", "rep"), make, "a long, b long")
+    return map_rows(rows.repartition(parts, "key", "salt").sortWithinPartitions("key", "salt", "rep"), make, "a long, b long")
 
 
-def _postings(reps: DataFrame, ranks: bytes, p: Params) -> DataFrame:
-    """(token, rep, comp, n, left): the prefix of every class in rarity order; left: shingles from there on."""
-    shared = reps.sparkSession.sparkContext.broadcast(ranks)
+def _postings(docs: DataFrame, reps: DataFrame, ranks: bytes, p: Params) -> DataFrame:
+    """(token, rep, n, left): the prefix of every class in rarity order, for tokens of more than one class; left: shingles from there on."""
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
     width = np.uint64((1 << p.sketch_bits) - 1)
+    wanted = IdBitmap(reps, "rep", p)
 
     def make():
         rank = np.frombuffer(shared.value, dtype=np.uint8)
 
         def work(batch: pa.RecordBatch):
-            out: dict[str, list[np.ndarray]] = {k: [] for k in ("token", "rep", "comp", "n", "left")}
-            for rep, comp, text in zip(*(batch.column(c).to_pylist() for c in ("rep", "comp", "text"))):
-                s = shingles(text, p.words)
+            own = batch.take(pa.array(np.flatnonzero(wanted.picks(batch.column("doc_id")))))
+            out: dict[str, list[np.ndarray]] = {k: [] for k in ("token", "rep", "n", "left")}
+            for rep, s in zip(own.column("doc_id").to_pylist(), shingle_sets(own.column("text").to_pylist(), p.words)):
                 n = len(s)
                 if not n:
                     continue
                 order = np.argsort(rank[(s & width).astype(np.int64)], kind="stable")
                 k = n - (p.percent * n + 99) // 100 + 1
-                # a first common shingle at position i, the sizes equal or i counted for the smaller set, needs n - i >= the least overlap
                 out["token"].append(_signed(s[order[:k]]))
                 out["left"].append((n - np.arange(k)).astype(np.int32))
-                for c, v, t in (("rep", rep, np.int64), ("comp", comp, np.int64), ("n", n, np.int32)):
-                    out[c].append(np.full(k, v, dtype=t))
+                out["rep"].append(np.full(k, rep, dtype=np.int64))
+                out["n"].append(np.full(k, n, dtype=np.int32))
             if out["token"]:
                 yield {k: np.concatenate(v) for k, v in out.items()}
 
         return work
 
-    return map_rows(reps.select("rep", "comp", "text"), make, "token long, rep long, comp long, n int, left int")
+    def several():
+        """Drop the rows whose token no neighbour shares; a batch's last row waits for the next batch."""
+        names = ("token", "rep", "n", "left")
+        state: dict = {"last": None, "before": None}
+
+        def kept(cols, token, before, after):
+            same = np.zeros(len(token), dtype=bool)
+            same[1:] |= token[1:] == token[:-1]
+            same[:-1] |= token[1:] == token[:-1]
+            if before is not None and len(token):
+                same[0] |= token[0] == before
+            if after is not None and len(token):
+                same[-1] |= token[-1] == after
+            return {k: v[same] for k, v in cols.items()}
+
+        def work(batch: pa.RecordBatch):
+            cols = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in names}
+            if state["last"] is not None:
+                cols = {k: np.concatenate([state["last"][k], v]) for k, v in cols.items()}
+            if len(cols["token"]):
+                state["last"] = {k: v[-1:].copy() for k, v in cols.items()}
+                head = {k: v[:-1] for k, v in cols.items()}
+                before, state["before"] = state["before"], head["token"][-1] if len(head["token"]) else state["before"]
+                yield kept(head, head["token"], before, cols["token"][-1])
+
+        def end():
+            if state["last"] is not None:
+                yield kept(state["last"], state["last"]["token"], state["before"], None)
+
+        work.end = end
+        return work
+
+    schema = "token long, rep long, n int, left int"
+    rows = map_rows(docs.select("doc_id", "text"), make, schema)
+    return map_rows(rows.repartition(n_partitions(docs.sparkSession), "token").sortWithinPartitions("token"), several, schema)
 
 
-def _meetings(lists: DataFrame, p: Params, block: int = 256) -> DataFrame:
-    """(ca, cb, a, b): postings of different components on one list that could overlap enough.
+def _meetings(lists: DataFrame, p: Params, one: bool, block: int = 256) -> DataFrame:
+    """(ca, cb, a, b): postings of different components on one list that could overlap enough; if `one`, a task gives two components once.
 
     lists: (token, comp, rep, n_min, n_max, left) streamed in (token, n_min) order; memory holds the part of
     one list whose sizes still fit. Sizes and positions left rule out whole blocks before pairs are looked at.
     """
 
     def make():
-        state: dict = {"token": None, "blocks": []}
+        state: dict = {"token": None, "blocks": [], "found": []}
 
         def pairs(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool) -> tuple[np.ndarray, np.ndarray]:
             """Index pairs of blocks x (earlier, smaller sets) and y that pass the size and position tests."""
@@ -276,31 +440,45 @@ def _meetings(lists: DataFrame, p: Params, block: int = 256) -> DataFrame:
             if got:
                 ca, cb, a, b = (np.concatenate(c) for c in zip(*got))
                 swap = ca > cb
-                ca, cb, a, b = np.where(swap, cb, ca), np.where(swap, ca, cb), np.where(swap, b, a), np.where(swap, a, b)
-                u = np.unique(np.stack([ca, cb, a, b]), axis=1)
-                yield dict(zip(("ca", "cb", "a", "b"), u))
-
+                state["found"].append(np.stack([np.where(swap, cb, ca), np.where(swap, ca, cb), np.where(swap, b, a), np.where(swap, a, b)]))
+                if sum(f.shape[1] for f in state["found"]) > 500_000:
+                    state["found"] = [fewer()]
+                    if state["found"][0].shape[1] > 250_000:
+                        yield from flush()
+
+        def fewer() -> np.ndarray:
+            u = np.unique(np.concatenate(state["found"], axis=1), axis=1)
+            if one:
+                u = u[:, np.concatenate([[True], (u[:2, 1:] != u[:2, :-1]).any(axis=0)])]
+            return u
+
+        def flush():
+            if state["found"]:
+                yield dict(zip(("ca", "cb", "a", "b"), fewer()))
+                state["found"] = []
+
+        work.end = flush
         return work
 
     spark = lists.sparkSession
     return map_rows(lists.repartition(n_partitions(spark), "token").sortWithinPartitions("token", "n_min", "rep"), make, "ca long, cb long, a long, b long")
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
-    """Pairs (a, b) that link. Each a meets its b's in chunks; texts: (rep, text)."""
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(1 << 30)))
+def _verify(pairs: DataFrame, docs: DataFrame, scratch: Scratch, p: Params) -> DataFrame:
+    """Pairs (a, b) that link. Each a meets its b's in chunks."""
+    sets = scratch.save(_sets(docs, pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))), p))
     count = pairs.groupBy("a").agg(F.ceil(F.count("*") / 128).alias("chunks"))
-    salted = salted.join(count, "a").withColumn("salt", F.pmod("salt", "chunks"))
-    right = salted.join(texts.withColumnRenamed("rep", "b"), "b").select("a", "salt", "b", "text")
-    left = salted.select("a", "salt").distinct().join(texts.withColumnRenamed("rep", "a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
+    salted = pairs.join(count, "a").withColumn("salt", F.pmod(F.xxhash64("b"), "chunks"))
+    right = salted.join(sets.withColumnRenamed("rep", "b"), "b").select("a", "salt", "b", "set")
+    left = salted.select("a", "salt").distinct().join(sets.withColumnRenamed("rep", "a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "set")
 
     def make():
         state: dict = {"a": None, "set": None}
 
         def work(batch: pa.RecordBatch):
             out: list[tuple[int, int]] = []
-            for a, b, text in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text"))):
-                s = shingles(text, p.words)
+            for a, b, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "set"))):
+                s = np.frombuffer(raw, dtype=np.uint64)
                 if b is None:
                     state["a"], state["set"] = a, s
                 elif state["a"] == a and linked(state["set"], s, p.percent):
@@ -313,6 +491,30 @@ def _verify(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
     return map_rows(rows, make, "a long, b long")
 
 
+def _attached(docs: DataFrame, classes: DataFrame, scratch: Scratch, p: Params) -> DataFrame:
+    """Verified links (a, b) that attach classes to highly similar ones, found in chunks of the min-hash bands."""
+    spark = docs.sparkSession
+    banded = classes.select("rep", F.posexplode("bands").alias("band", "key"))
+    banded = banded.join(banded.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1").select("band", "key"), ["band", "key"])
+    banded = scratch.save(banded.select("rep", "band", "key"))
+    sets = scratch.save(_sets(docs, banded, p))
+    edges = spark.createDataFrame([], "a long, b long")
+    for band in range(_BANDS):
+        left = banded.where(F.col("band") == band).select("rep", "key").join(edges.select(F.col("a").alias("rep")), "rep", "left_anti")
+        size = None
+        while True:
+            # all keys of several classes at first, then those whose classes did not fit one chunk
+            count = left.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > (1 if size is None else p.chunk))
+            left = scratch.save(left.join(count, "key").select("rep", "key", F.pmod(F.xxhash64("rep", F.lit(size or 0)), F.ceil(F.col("size") / p.chunk)).alias("salt")))
+            before, size = size, left.count()
+            if not size or before is not None and size > 0.9 * before:
+                break
+            found = scratch.save(_attach(left.join(sets, "rep"), p))
+            edges = scratch.save(edges.unionByName(found))
+            left = left.select("rep", "key").join(found.select(F.col("a").alias("rep")), "rep", "left_anti")
+    return edges
+
+
 def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id) of docs(doc_id, text)."""
     p, spark = params, docs.sparkSession
@@ -322,46 +524,20 @@ def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         docs = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text")).unionByName(docs.where("doc_id is null"))
     every = scratch.save(_sign(docs, p))
-    signed = every.where("kind = 0 and doc_id is not null").select("doc_id", "n", "d1", "d2", "k1", "k2")
+    signed = every.where("kind = 0 and doc_id is not null").select("doc_id", "n", "d1", "d2", "bands")
     ranks = _ranks(every, p)
-    classes = scratch.save(signed.where("n > 0").groupBy("d1", "d2", "n", "k1", "k2").agg(F.min("doc_id").alias("rep")))
-    text_of = docs.select(F.col("doc_id").alias("rep"), "text")
-
-    def texts(ids: DataFrame) -> DataFrame:
-        return ids.join(text_of, "rep")
-
-    links = []
-    for key in ("k1", "k2"):
-        left = classes.select("rep", "n", F.col(key).alias("key"))
-        if links:
-            left = left.join(links[-1].select(F.col("a").alias("rep")), "rep", "left_anti")
-        last = None
-        while True:
-            size = left.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-            left = scratch.save(left.join(size, "key").select("rep", "n", "key", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / p.chunk)).alias("salt"), "size"))
-            many = left.agg(F.count("*").alias("n"), F.max("size").alias("most")).first()
-            if not many["n"] or last is not None and many["n"] > 0.7 * last:
-                break
-            found = scratch.save(_attach(texts(left), p))
-            links.append(found)
-            if many["most"] <= p.chunk:
-                break
-            last = many["n"]
-            left = left.select("rep", "n", "key").join(found.select(F.col("a").alias("rep")), "rep", "left_anti")
-
-    edges = None
-    for found in links:
-        edges = found if edges is None else edges.unionByName(found)
-    schema = "a long, b long"
-    edges = scratch.save(edges if edges is not None else spark.createDataFrame([], schema))
+    classes = scratch.save(signed.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
+
+    edges = _attached(docs, classes, scratch, p)
     comp = scratch.save(components(edges, scratch).select(F.col("node").alias("rep"), F.col("component").alias("comp")))
-    withcomp = scratch.save(classes.select("rep", "n").join(comp, "rep", "left").select("rep", "n", F.coalesce("comp", "rep").alias("comp")))
 
     # lists of components: one posting a component and token, with the widest bounds of its sets
-    posts = _postings(texts(withcomp), ranks, p)
+    posts = scratch.save(_postings(docs, classes, ranks, p))
+    posts = posts.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     grouped = posts.groupBy("token", "comp").agg(F.min("rep").alias("rep"), F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("left").alias("left"))
-    met = scratch.save(_meetings(grouped, p).groupBy("ca", "cb").agg(F.min_by(F.struct("a", "b"), F.struct("a", "b")).alias("p")).select("ca", "cb", "p.a", "p.b"))
-    first = scratch.save(_verify(met.select("a", "b"), text_of, p))
+    met = _meetings(grouped, p, one=True).groupBy("ca", "cb").agg(F.min(F.struct("a", "b")).alias("p"))
+    met = scratch.save(met.select("ca", "cb", "p.a", "p.b"))
+    first = scratch.save(_verify(met.select("a", "b"), docs, scratch, p))
     edges2 = edges.unionByName(first)
 
     # components of more than one set whose chosen pair doesn't link: all their pairs on shared lists
@@ -375,11 +551,11 @@ def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
     open_pairs = scratch.save(open_pairs.select("ca", "cb"))
     if open_pairs.limit(1).count():
         flagged = open_pairs.select(F.col("ca").alias("comp")).unionByName(open_pairs.select(F.col("cb").alias("comp"))).distinct()
-        sets = _postings(texts(withcomp.join(flagged, "comp", "left_semi")), ranks, p)
-        rows = sets.select("token", "comp", "rep", F.col("n").alias("n_min"), F.col("n").alias("n_max"), "left")
-        shared = sets.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("token")
-        more = _meetings(rows.join(shared, "token", "left_semi"), p).join(open_pairs, ["ca", "cb"], "left_semi").select("a", "b").distinct()
-        edges2 = edges2.unionByName(_verify(scratch.save(more), text_of, p))
+        rows = posts.join(flagged, "comp", "left_semi").select("token", "comp", "rep", F.col("n").alias("n_min"), F.col("n").alias("n_max"), "left")
+        # a list matters here if two of the flagged components are on it
+        shared = rows.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("token")
+        more = _meetings(rows.join(shared, "token", "left_semi"), p, one=False).join(open_pairs, ["ca", "cb"], "left_semi").select("a", "b").distinct()
+        edges2 = edges2.unionByName(_verify(scratch.save(more), docs, scratch, p))
         merged = scratch.save(components(edges2, scratch).select(F.col("node"), F.col("component")))
 
     # classes keep their smallest document; a document follows its class
