@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import reads as R
 from ..functions import variants as V
+from .rangejoin import point_in_interval
 
 #: P(observed base | true genotype, read right or wrong). Rows by genotype (reference homozygous, heterozygous,
 #: alternate homozygous) and status (right, wrong), columns REF, NONREF, OTHER. Fixed values of the published model.
@@ -77,6 +78,18 @@ def pileup(frequencies: DataFrame, bases: DataFrame) -> DataFrame:
     return joined.select("reference_name", "position", "ref_freq", kind.alias("base"), "quality", F.col("k").alias("k")).groupBy("reference_name", "position", "ref_freq", "base", "quality").agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n"))
 
 
+def bases_at(frequencies: DataFrame, reads: DataFrame, bin_size: int = 256) -> DataFrame:
+    """The aligned bases at the positions that have a frequency: those positions are joined to the aligned runs that
+    hold them, so that reads are never exploded base by base. Gives the columns of `aligned_bases`."""
+    run = reads.select(R.strip_chromosome(F.col("reference_name")).alias("reference_name"), "position", "reverse_strand", "aligned_sequence", "aligned_quality", F.explode(R.runs(F.col("cigar"))).alias("run"))
+    start = F.col("position") + F.col("run.reference")
+    run = run.select("reference_name", start.alias("_start"), (start + F.col("run.length")).alias("_end"), "run.read", "reverse_strand", "aligned_sequence", "aligned_quality")
+    at = frequencies.select(F.col("reference_name").alias("_reference"), "position").distinct().withColumnRenamed("_reference", "reference_name")
+    held = point_in_interval(at, run, ["reference_name"], "position", "_start", "_end", bin_size)
+    offset = (F.col("read") + F.col("position") - F.col("_start")).cast("int")
+    return held.select(at["reference_name"], "position", "reverse_strand", F.substring("aligned_sequence", offset + 1, F.lit(1)).alias("base"), F.get("aligned_quality", offset).alias("quality"))
+
+
 def observation_logs(alpha: float, base: Column, quality: Column) -> dict[tuple[int, int], Column]:
     """log P(observed base) for each pair (true genotype, contaminating genotype), 0 to 2."""
     wrong = R.phred_error(quality)

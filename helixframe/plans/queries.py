@@ -181,7 +181,8 @@ def sampled_positions(spark, d):
 
 def _piles(spark, d, fraction=1.0):
     freq = contamination.allele_frequencies(views.sites(spark, d))
-    return contamination.pileup(freq, contamination.sampled(contamination.aligned_bases(contamination.usable_reads(views.reads(spark, d))), fraction))
+    bases = contamination.bases_at(freq, contamination.usable_reads(views.reads(spark, d)))
+    return contamination.pileup(freq, contamination.sampled(bases, fraction))
 
 
 @query

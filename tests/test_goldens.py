@@ -115,8 +115,13 @@ def test_coverage_quantiles(spark):
 
 @pytest.mark.parametrize("seq,text,want", [("A", "1M", [(123, "A", 1)]), ("AG", "2M", [(123, "A", 1), (124, "G", 2)]), ("ACGT", "1I1M1D2M", [(123, "C", 2), (125, "G", 3), (126, "T", 4)]), ("ACGT", "1D2M1I1M", [(124, "A", 1), (125, "C", 2), (126, "T", 4)]), ("ACGTA", "1S1M1P1H2N3X", [(123, "C", 2), (126, "G", 3), (127, "T", 4), (128, "A", 5)])])
 def test_cigar_walk(spark, seq, text, want):
-    df = spark.createDataFrame([("chr1", 123, False, seq, list(range(1, len(seq) + 1)), cigar(text))], "reference_name string, position long, reverse_strand boolean, aligned_sequence string, aligned_quality array<int>, cigar array<struct<operation: string, operation_length: long>>")
+    schema = "reference_name string, position long, reverse_strand boolean, aligned_sequence string, aligned_quality array<int>, cigar array<struct<operation: string, operation_length: long>>"
+    df = spark.createDataFrame([("chr1", 123, False, seq, list(range(1, len(seq) + 1)), cigar(text))], schema)
     assert sorted((r.position, r.base, r.quality) for r in contamination.aligned_bases(df).collect()) == want
+    some = spark.createDataFrame([("1", p) for p in (100, 123, 125, 128)], "reference_name string, position long")
+    for size in (2, 256):
+        got = contamination.bases_at(some, df, size)
+        assert sorted((r.position, r.base, r.quality) for r in got.collect()) == [w for w in want if w[0] in (123, 125, 128)]
 
 
 def test_sampling(spark):
