@@ -4,7 +4,7 @@ A text is lower-cased (A-Z), cut into words, and written as its words' bytes wit
 end mark. Each byte is coded bit by bit along a Huffman tree chosen by the byte before, so a byte takes about
 three binary decisions. Several predictors look each decision up by a hash of its node and a context (the last
 3 and 5 bytes; the word so far, or the word before), and one by the node alone. Their log-odds are mixed by weights that a
-gate picks from the predictors' confidence and that are refined online within the text, by a gradient step every 64 decisions,
+gate picks from the predictors' confidence and that are refined online within the text, by a gradient step every 128 decisions,
 restarting every 1,024. The score is the log10 probability of the text; `bits_per_byte` follows from it.
 
 Counts come from every training text: word counts (for the unigram base), byte pairs (for the trees) and
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import map_rows, n_partitions, short_batches
 
-BLOCK, STEPS = 64, 16  # decisions between gradient steps; steps before the weights restart
+BLOCK, STEPS = 128, 8  # decisions between gradient steps; steps before the weights restart
 _ODD = 0x9E3779B97F4A7C15
 _INV = pow(_ODD, -1, 1 << 64)
 
@@ -41,7 +41,7 @@ class Params:
     mixer_fold: int = 40  # one of so many training texts is left to the mixer
     rate: float = 0.06
     top_words: int = 150_000  # words looked up from a broadcast table; rarer ones are joined
-    chunk_bytes: int = 600_000
+    chunk_bytes: int = 40_000  # of text worked on at once: its arrays stay in a core's cache
 
 
 CONTEXTS = 3
@@ -68,7 +68,8 @@ class Trees:
         self.length = np.zeros(65536, dtype=np.uint8)
         node_of: list[int] = []
         bit_of: list[int] = []
-        self.prior = np.zeros(65536, dtype=np.float32)
+        prior = np.zeros(65536, dtype=np.float32)
+        prior_of: list[np.ndarray] = []
         flat = pairs.sum(axis=0).astype(float)
         flat = (flat + 0.01) / (flat.sum() + 2.56)
         plain: dict[bytes, tuple] = {}
@@ -78,7 +79,6 @@ class Trees:
             if key is not None and key in plain:  # bytes never seen before another share a tree
                 base = plain[key]
                 self.offset[before * 256 : before * 256 + 256], self.length[before * 256 : before * 256 + 256] = base[0], base[1]
-                self.prior[before * 256 : before * 256 + 256] = base[2]
                 continue
             heap = [(c, s) for s, c in enumerate(count.tolist())]
             heapq.heapify(heap)
@@ -95,17 +95,22 @@ class Trees:
                 zero, one = kids[n - 1]
                 own = paths.pop(255 + n)
                 paths[zero], paths[one] = [*own, (n - 1, 0)], [*own, (n - 1, 1)]
-                self.prior[before * 256 + n - 1] = np.log(weight[one] / weight[zero])
+                prior[before * 256 + n - 1] = np.log(weight[one] / weight[zero])
+            first = len(node_of)
             for s in range(256):
                 self.offset[before * 256 + s] = len(node_of)
                 self.length[before * 256 + s] = len(paths[s])
                 node_of += [n for n, _ in paths[s]]
                 bit_of += [b for _, b in paths[s]]
+            prior_of.append(prior[before * 256 + np.array(node_of[first:], dtype=np.int64)])
             if key is not None:
                 at = slice(before * 256, before * 256 + 256)
-                plain[key] = (self.offset[at].copy(), self.length[at].copy(), self.prior[at].copy())
-        self.node = np.array(node_of, dtype=np.uint8)
+                plain[key] = (self.offset[at].copy(), self.length[at].copy())
+        # by path entry: the bit, also as +1 or -1, the node's log-odds, and a hash of the node
         self.bit = np.array(bit_of, dtype=np.uint8)
+        self.sign = self.bit.astype(np.float32) * 2 - 1
+        self.prior = np.concatenate(prior_of).astype(np.float32)
+        self.salt = (np.array(node_of, dtype=np.uint64) * np.uint64(0x2545F491) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
 # --- events --------------------------------------------------------------------------------------
@@ -128,11 +133,15 @@ def _contexts(data: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
         b3 |= back[2] << np.uint32(16)
         o3 = b3 * np.uint32(0x85EBCA6B)
         o5 = (b3 | back[3] << np.uint32(24)) * np.uint32(0xC2B2AE35)
-        o5 ^= back[4] * np.uint32(0x27D4EB2F)
+        o5 += back[4] * np.uint32(0x27D4EB2F)
+        o5 ^= o5 >> np.uint32(15)
+        o5 *= np.uint32(0x9E3779B1)
         # the hash of a word's bytes so far, from sums of byte * odd**position
         if len(_powers[0]) <= n:
             for i, odd in enumerate((_ODD, _INV)):
-                _powers[i] = np.cumprod(np.concatenate([[1], np.full(2 * n, odd, dtype=np.uint64)]).astype(np.uint64))
+                factors = np.full(2 * n + 1, odd, dtype=np.uint64)
+                factors[0] = 1
+                _powers[i] = np.cumprod(factors, dtype=np.uint64)
         power, inverse = _powers
         total = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum((data + np.uint64(1)) * power[:n], out=total[1:])
@@ -150,8 +159,8 @@ def _contexts(data: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
     return [o3, o5, w]
 
 
-def events(texts: list[bytes], trees: Trees, slot_bits: int, segment: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray], np.ndarray | None]:
-    """All decisions of some streams: decisions a text, bits, tree-and-node, slots by predictor, and which are real.
+def events(texts: list[bytes], trees: Trees, slot_bits: int, segment: int = 1) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray | None]:
+    """All decisions of some streams: decisions a text, path entries, slots by predictor, and which are real.
 
     With a segment over 1 each text's decisions are padded to whole segments (by repeats of some decision, not real).
     """
@@ -180,19 +189,16 @@ def events(texts: list[bytes], trees: Trees, slot_bits: int, segment: int = 1) -
         for end, pad in zip(ends.tolist(), (-count % segment).tolist()):
             real[end - pad : end] = 0
             at[end - pad : end] = 0
-    node = trees.node[at].astype(np.uint32)
     shift = np.uint32(32 - slot_bits)
     slots = []
     with np.errstate(over="ignore"):
-        salt = node * np.uint32(0x2545F491)
+        salt = np.take(trees.salt, at, mode="clip")
         for h in hashes:
-            x = h[pos]
+            x = np.take(h, pos, mode="clip")
             x += salt
-            x ^= x >> np.uint32(15)
-            x *= np.uint32(0x9E3779B1)
             x >>= shift
             slots.append(x)
-    return count, trees.bit[at], (before[pos] << 8) + node.astype(np.int32), slots, real
+    return count, at, slots, real
 
 
 def chunks(texts: list[bytes], limit: int) -> list[list[bytes]]:
@@ -320,15 +326,28 @@ def _count_contexts(train: DataFrame, trees, p: Params) -> list[np.ndarray]:
     def make():
         own = trees.value
         total = [np.zeros(size, dtype=np.uint32) for _ in range(CONTEXTS)]
+        waiting: list[list[np.ndarray]] = [[] for _ in range(CONTEXTS)]
 
         def work(batch: pa.RecordBatch):
-            for part in chunks([stream(tokens(t)) for t in batch.column("text").to_pylist()], 2 * p.chunk_bytes):
-                _, bit, _, slots, _ = events(part, own, p.slot_bits)
+            for part in chunks([stream(tokens(t)) for t in batch.column("text").to_pylist()], p.chunk_bytes):
+                _, at, slots, _ = events(part, own, p.slot_bits)
+                bit = np.take(own.bit, at)
                 for k in range(CONTEXTS):
-                    total[k] += np.bincount((slots[k].astype(np.int64) << 1) + bit, minlength=size).astype(np.uint32)
+                    slots[k] <<= 1
+                    slots[k] |= bit
+                    waiting[k].append(slots[k])
+                if sum(map(len, waiting[0])) > 4_000_000:
+                    flush()
             return ()
 
+        def flush():
+            for k in range(CONTEXTS):
+                if waiting[k]:
+                    total[k] += np.bincount(np.concatenate(waiting[k]), minlength=size).astype(np.uint32)
+                    waiting[k].clear()
+
         def end():
+            flush()
             step = size // parts
             for k in range(CONTEXTS):
                 for b in range(parts):
@@ -366,17 +385,17 @@ class Mixer:
 
     def inputs(self, texts: list[bytes], segment: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
         """Decisions a text, signs (+1 for bit 1), log-odds INPUTS x decisions, gates, which decisions are real."""
-        count, bit, node, slots, real = events(texts, self.trees, self.params.slot_bits, segment)
-        s = np.empty((INPUTS, len(bit)), dtype=np.float32)
-        np.take(self.trees.prior, node, out=s[0], mode="clip")
-        gate = np.zeros(len(bit), dtype=np.int16)
+        count, entry, slots, real = events(texts, self.trees, self.params.slot_bits, segment)
+        s = np.empty((INPUTS, len(entry)), dtype=np.float32)
+        np.take(self.trees.prior, entry, out=s[0], mode="clip")
+        gate = np.zeros(len(entry), dtype=np.int16)
         for k in range(CONTEXTS):
             v = np.take(self.tables[k], slots[k], mode="clip")
-            np.multiply(v >> 2, np.float32(0.01), out=s[k + 1], casting="unsafe")
+            np.multiply(v, np.float32(0.0025), out=s[k + 1], casting="unsafe")  # the two bits of confidence change this by under 0.01
             gate <<= 2
             v &= 3
             gate |= v
-        return count, bit.astype(np.float32) * 2 - 1, s, gate, real
+        return count, np.take(self.trees.sign, entry, mode="clip"), s, gate, real
 
     def fit(self, texts: list[bytes]) -> None:
         """The gates' weights: Newton steps of ridge logistic regression, pulled towards one common fit."""

@@ -221,29 +221,73 @@ def _summed(shares: DataFrame, width: int, finish) -> np.ndarray:
     return out
 
 
-class IdBitmap:
-    """A broadcast bitmap of hashed ids: `picks` tells which of some ids may be among them."""
+_BITMAP_BLOCKS = 64
 
-    def __init__(self, ids: DataFrame, column: str, p: Params):
-        bits = p.id_bits
 
+def _marked(ids: DataFrame, column: str, bits: int) -> np.ndarray:
+    """The bitmap of hashed ids, eight flags a byte. Tasks hold the slots of their own ids; blocks of the bitmap meet in two levels."""
+    step = (1 << bits) // _BITMAP_BLOCKS
+
+    def out(slots: np.ndarray):
+        cuts = np.searchsorted(slots, np.arange(_BITMAP_BLOCKS + 1) * step)
+        for b in range(_BITMAP_BLOCKS):
+            own = slots[cuts[b] : cuts[b + 1]]
+            if len(own):
+                yield {"block": [b], "at": [zlib.compress(np.diff(own - b * step, prepend=0).astype(np.uint32).tobytes(), 1)]}
+
+    def collect():
+        waiting: list[np.ndarray] = []
+
+        def work(batch: pa.RecordBatch):
+            waiting.append(_slot(batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64), bits))
+            if sum(map(len, waiting)) > 4_000_000:
+                yield from end()
+
+        def end():
+            if waiting:
+                slots = np.unique(np.concatenate(waiting))
+                waiting.clear()
+                yield from out(slots)
+
+        work.end = end
+        return work
+
+    def merge(last: bool):
         def make():
-            own = _Counters(1 << bits)
+            own: dict[int, np.ndarray] = {}
 
             def work(batch: pa.RecordBatch):
-                own.add(_slot(batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64), bits))
+                for b, raw in zip(batch.column("block").to_pylist(), batch.column("at").to_pylist()):
+                    own.setdefault(b, np.zeros(step, dtype=np.uint8))[np.cumsum(np.frombuffer(zlib.decompress(raw), dtype=np.uint32), dtype=np.int64)] = 1
                 return ()
 
             def end():
-                for b, packed in own.packed():
-                    yield {"block": [b], "counts": [packed]}
+                for b, flags in own.items():
+                    if last:
+                        yield {"block": [b], "at": [zlib.compress(np.packbits(flags).tobytes(), 1)]}
+                    else:
+                        yield from out(np.flatnonzero(flags) + b * step)
 
             work.end = end
             return work
 
-        flags = _summed(map_rows(ids.select(column), make, "block int, counts binary"), 1 << bits, lambda t: (t > 0).astype(np.uint8))
-        self.shared = ids.sparkSession.sparkContext.broadcast(np.packbits(flags))
-        self.bits = bits
+        return make
+
+    parts, schema = n_partitions(ids.sparkSession), "block int, at binary"
+    shares = map_rows(ids.select(column), collect, schema)
+    once = map_rows(shares.repartition(parts, "block", F.pmod(F.xxhash64("at"), F.lit(max(1, parts // 16)))), merge(False), schema)
+    flags = np.zeros((1 << bits) // 8, dtype=np.uint8)
+    for r in map_rows(once.repartition(_BITMAP_BLOCKS, "block"), merge(True), schema).collect():
+        flags[r.block * step // 8 : (r.block + 1) * step // 8] = np.frombuffer(zlib.decompress(r["at"]), dtype=np.uint8)
+    return flags
+
+
+class IdBitmap:
+    """A broadcast bitmap of hashed ids: `picks` tells which of some ids may be among them."""
+
+    def __init__(self, ids: DataFrame, column: str, p: Params):
+        self.shared = ids.sparkSession.sparkContext.broadcast(_marked(ids, column, p.id_bits))
+        self.bits = p.id_bits
 
     def __getstate__(self):
         return {"shared": self.shared, "bits": self.bits}
