@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import ALPHAS, BIN, FRIENDS, LOCI, QUANTILES, REGION, WIDTH
+from .queries import ALPHAS, FRIENDS, LOCI, QUANTILES, REGION, WIDTH
 
 READS = """reads AS (SELECT l_orderkey || ':' || l_linenumber || ':' || l_partkey AS id, 'frag' || l_orderkey AS fragment_name,
   CASE WHEN l_orderkey % 101 = 0 THEN '*' WHEN l_suppkey % 25 = 0 THEN 'GL.1' WHEN l_suppkey % 25 = 23 THEN 'chrX' WHEN l_suppkey % 25 = 24 THEN 'chrY' ELSE 'chr' || (l_suppkey % 25) END AS reference_name,
@@ -119,5 +119,5 @@ ORACLES: dict[str, str] = {
     "annotate_effect": _w(SITES, ALLELES, EFFECT) + "SELECT * FROM eff",
     "annotate_variants": _w(SITES, ALLELES, KNOWN, EXACT, EFFECT) + "SELECT concat_ws(':', reference_name, start, allele, variant_id) AS key, count(*) AS n, string_agg(e, ',' ORDER BY e) AS effects FROM (SELECT reference_name, start, allele, variant_id, 'KNOWN:' || gene_id AS e FROM exact UNION ALL SELECT reference_name, start, allele, variant_id, effect || ':' || gene_id FROM eff) GROUP BY 1",
     "bam_diff": _w(READS, "a AS (SELECT *, row_number() OVER (PARTITION BY reference_name, position, id ORDER BY mq, seq) AS n FROM reads)", "b AS (SELECT reference_name, position, id, mq2 AS mq, seq, row_number() OVER (PARTITION BY reference_name, position, id ORDER BY mq2, seq) AS n FROM (SELECT *, mq + CASE WHEN position % 50 = 0 THEN 1 ELSE 0 END AS mq2 FROM reads WHERE NOT dup))") + "SELECT status, count(*) AS n FROM (SELECT CASE WHEN b.id IS NULL THEN 'first only' WHEN a.id IS NULL THEN 'second only' WHEN a.mq <> b.mq OR a.seq <> b.seq THEN 'different' END AS status FROM a FULL JOIN b USING (reference_name, position, id, n)) WHERE status IS NOT NULL GROUP BY 1",
+    "event_buckets": "SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS bucket, event_type, count(*) AS n, min(value) AS least, max(value) AS most FROM events GROUP BY 1, 2",
 }
-assert BIN > 0

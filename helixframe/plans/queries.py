@@ -11,6 +11,7 @@ from ..functions import reads as R
 from ..functions import regions, variants as V
 from ..operators import annotate, contamination, coverage, rangejoin, similarity
 from ..operators import variants as ops
+from ..streaming import buckets
 from . import views
 
 WIDTH, QUANTILES, LOCI, BIN = 64, 3, 10_000, 1000
@@ -231,3 +232,8 @@ def bam_diff(spark, d):
     a = views.reads(spark, d)
     b = a.where("NOT duplicate_fragment").withColumn("mapping_quality", F.when(F.col("position") % 50 == 0, F.col("mapping_quality") + 1).otherwise(F.col("mapping_quality")))
     return diff_reads(a, b, ["reference_name", "position", "id"], ["mapping_quality", "aligned_sequence"]).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query
+def event_buckets(spark, d):
+    return buckets.event_buckets(views.table(spark, d, "events"))
