@@ -57,7 +57,7 @@ def _likelihood(alpha: float) -> str:
     prior = ["ref_freq * ref_freq", "ref_freq * (1 - ref_freq)", "(1 - ref_freq) * (1 - ref_freq)"]
     terms = [f"(ln({prior[i]}) + ln({prior[j]}) + l{i}{j})" for i, j in ks]
     top = f"greatest({', '.join(terms)})"
-    return f"SELECT {alpha} AS alpha, round(sum({top} + ln({' + '.join(f'exp({t} - {top})' for t in terms)})), 4) AS log_likelihood FROM (SELECT reference_name, position, ref_freq, {sums} FROM piles GROUP BY ALL)"
+    return f"SELECT CAST({alpha} AS DOUBLE) AS alpha, round(sum({top} + ln({' + '.join(f'exp({t} - {top})' for t in terms)})), 4) AS log_likelihood FROM (SELECT reference_name, position, ref_freq, {sums} FROM piles GROUP BY ALL)"
 
 
 def _w(*blocks: str) -> str:
