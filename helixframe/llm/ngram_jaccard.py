@@ -535,28 +535,43 @@ def _verify(pairs: DataFrame, docs: DataFrame, scratch: Scratch, p: Params) -> D
     return map_rows(rows, make, "a long, b long")
 
 
+def _picked(rows: DataFrame, ids: DataFrame, p: Params) -> DataFrame:
+    """The rows (rep, set) whose rep may be in ids(rep), found by bitmap without an exchange of the sets."""
+    wanted = IdBitmap(ids.select("rep").distinct(), "rep", p)
+
+    def make():
+        def work(batch: pa.RecordBatch):
+            own = batch.take(pa.array(np.flatnonzero(wanted.picks(batch.column("rep")))))
+            if own.num_rows:
+                yield {"rep": own.column("rep"), "set": own.column("set")}
+
+        return work
+
+    return map_rows(rows.select("rep", "set"), make, "rep long, set binary")
+
+
 def _attached(docs: DataFrame, classes: DataFrame, scratch: Scratch, p: Params) -> DataFrame:
-    """Verified links (a, b) that attach classes to highly similar ones, found in chunks of the min-hash bands."""
-    spark = docs.sparkSession
-    banded = classes.select("rep", F.posexplode("bands").alias("band", "key"))
-    banded = banded.join(banded.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1").select("band", "key"), ["band", "key"])
-    banded = scratch.save(banded.select("rep", "band", "key"))
-    sets = scratch.save(_sets(docs, banded, p))
-    edges = spark.createDataFrame([], "a long, b long")
-    for band in range(_BANDS):
-        left = banded.where(F.col("band") == band).select("rep", "key").join(edges.select(F.col("a").alias("rep")), "rep", "left_anti")
-        size = None
-        while True:
-            # all keys of several classes at first, then those whose classes did not fit one chunk
-            count = left.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > (1 if size is None else p.chunk))
-            left = scratch.save(left.join(count, "key").select("rep", "key", F.pmod(F.xxhash64("rep", F.lit(size or 0)), F.ceil(F.col("size") / p.chunk)).alias("salt")))
-            before, size = size, left.count()
-            if not size or before is not None and size > 0.9 * before:
-                break
-            found = scratch.save(_attach(left.join(sets, "rep"), p))
-            edges = scratch.save(edges.unionByName(found))
-            left = left.select("rep", "key").join(found.select(F.col("a").alias("rep")), "rep", "left_anti")
-    return edges
+    """Verified links (a, b) that attach classes to highly similar ones, found in chunks of the min-hash bands.
+
+    All bands are read in one exchange of the sets; after it only classes go on whose key did not fit a chunk and
+    that are not attached yet, as long as their number falls.
+    """
+    banded = classes.select("rep", F.posexplode("bands").alias("band", "key")).select("rep", F.xxhash64("band", "key").alias("key"))
+    count = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    left = scratch.save(banded.join(count, "key").select("rep", "key", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / p.chunk)).alias("salt"), "size"))
+    sets = scratch.save(_sets(docs, left, p))
+    edges = scratch.save(_attach(left.join(sets, "rep"), p).distinct())
+    before = None
+    while True:
+        left = left.where(F.col("size") > p.chunk).select("rep", "key").join(edges.select(F.col("a").alias("rep")).distinct(), "rep", "left_anti")
+        count = left.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+        left = scratch.save(left.join(count, "key").select("rep", "key", F.pmod(F.xxhash64("rep", "key"), F.ceil(F.col("size") / p.chunk)).alias("salt"), "size"))
+        size = left.count()
+        if not size or before is not None and size > 0.9 * before:
+            return edges
+        before = size
+        found = _attach(left.join(_picked(sets, left, p), "rep"), p)
+        edges = scratch.save(edges.unionByName(found).distinct())
 
 
 def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
@@ -591,11 +606,14 @@ def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
     for c in ("ca", "cb"):
         open_pairs = open_pairs.join(merged.select(F.col("node").alias(c), F.col("component").alias(f"{c}_now")), c, "left")
         open_pairs = open_pairs.join(sizes.select(F.col("comp").alias(c), F.col("members").alias(f"{c}_n")), c, "left")
-    open_pairs = open_pairs.where("coalesce(ca_now, ca) <> coalesce(cb_now, cb) and (coalesce(ca_n, 1) > 1 or coalesce(cb_n, 1) > 1)")
-    open_pairs = scratch.save(open_pairs.select("ca", "cb"))
+    now = {c: F.coalesce(f"{c}_now", c) for c in ("ca", "cb")}
+    open_pairs = open_pairs.where((now["ca"] != now["cb"]) & F.expr("coalesce(ca_n, 1) > 1 or coalesce(cb_n, 1) > 1"))
+    open_pairs = scratch.save(open_pairs.select(F.least(now["ca"], now["cb"]).alias("ca"), F.greatest(now["ca"], now["cb"]).alias("cb")).distinct())
     if open_pairs.limit(1).count():
+        # by the components as they are now: what has been linked meanwhile is not met again
         flagged = open_pairs.select(F.col("ca").alias("comp")).unionByName(open_pairs.select(F.col("cb").alias("comp"))).distinct()
-        rows = posts.join(flagged, "comp", "left_semi").select("token", "comp", "rep", F.col("n").alias("n_min"), F.col("n").alias("n_max"), "left")
+        rows = posts.drop("comp").join(merged.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        rows = scratch.save(rows.join(flagged, "comp", "left_semi").select("token", "comp", "rep", F.col("n").alias("n_min"), F.col("n").alias("n_max"), "left"))
         # a list matters here if two of the flagged components are on it
         shared = rows.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("token")
         more = _meetings(rows.join(shared, "token", "left_semi"), p, one=False).join(open_pairs, ["ca", "cb"], "left_semi").select("a", "b").distinct()
