@@ -568,6 +568,7 @@ def _attached(docs: DataFrame, classes: DataFrame, scratch: Scratch, p: Params)
         left = scratch.save(left.join(count, "key").select("rep", "key", F.pmod(F.xxhash64("rep", "key"), F.ceil(F.col("size") / p.chunk)).alias("salt"), "size"))
         size = left.count()
         if not size or before is not None and size > 0.9 * before:
+            scratch.drop(sets)
             return edges
         before = size
         found = _attach(left.join(_picked(sets, left, p), "rep"), p)
