@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.regions import parse_regions
+from ..shipping import ship
 from . import sam
 
 #: Fixed values of the format: the empty last block, letters of operations and of packed bases, the index's metadata bin and windows.
@@ -318,6 +319,7 @@ class BamSource(DataSource):
 
 
 def read_bam(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    ship(spark)
     spark.dataSource.register(BamSource)
     return spark.read.format("bam").options(**options).load(path)
 
@@ -365,6 +367,7 @@ def write_bam(rows: DataFrame, header: dict, path: str, partitions: int | None =
     under a name of its own attempt and returns that name, so that a lost or repeated task leaves no part in the result.
     """
     spark = rows.sparkSession
+    ship(spark)
     names = [s["SN"] for s in header.get("SQ", [])]
     index = {n: i for i, n in enumerate(names)}
     parts = f"{path}.parts-{uuid.uuid4().hex}"
