@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: Rows per Arrow batch sent to Python; texts can be long, so batches are kept short.
 ARROW_ROWS = 1000
 
@@ -69,6 +71,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterab
     from pyspark.sql.types import _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship(df.sparkSession)
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
