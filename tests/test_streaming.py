@@ -1,11 +1,13 @@
 """The streaming form gives the batch form's rows, but for buckets that the watermark has not passed."""
 
+from pyspark.sql import functions as F
+
 from helixframe.streaming.buckets import event_buckets, run_to_end, stream_events
 
 
 def test_stream_equals_batch(spark, tmp_path):
     rows = [(i, f"2024-01-{1 + i // 40:02d} {i % 24:02d}:30:00", i % 5, "ab"[i % 2], float(i % 17), "{}") for i in range(400)]
-    df = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string").withColumn("ts", __import__("pyspark").sql.functions.to_timestamp("ts"))
+    df = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string").withColumn("ts", F.to_timestamp("ts"))
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     df.coalesce(1).write.parquet(source)
     stream = event_buckets(stream_events(spark, source))
