@@ -32,8 +32,8 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 @dataclass(frozen=True)
 class Params:
     rows_per_language: int = 400  # labelled rows of each language
-    reference_chars: int = 400_000  # of all languages' references together
-    cached_tokens: int = 400_000  # tokens whose parse a worker remembers
+    reference_chars: int = 160_000  # of all languages' references together
+    cached_tokens: int = 150_000  # tokens whose parse a worker remembers
     cached_length: int = 48
 
 
