@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, map_rows, n_partitions, short_batches
+from .common import Scratch, carried, components, map_rows, n_partitions, short_batches
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -633,8 +633,20 @@ def deduplicate(docs: DataFrame, params: Params = Params()) -> DataFrame:
 
     Rows without an id stay, as nothing names their group; of rows that repeat an id, one stays.
     """
-    keep = join(docs, params).where("doc_id = component_id").select("doc_id")
-    named = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi").select(*docs.columns)
+    found = join(docs, params).select("doc_id", "component_id")
+    removed = Scratch(docs.sparkSession, "duplicates").save(found.where("doc_id <> component_id").select("doc_id"))
+    # only rows whose id may be among the removed ones meet them in a join; the other texts are not exchanged
+    wanted = IdBitmap(removed, "doc_id", params)
+    names, schema = carried(docs, ("_maybe",))
+
+    def make():
+        def work(batch: pa.RecordBatch):
+            yield {c: batch.column(c) for c in names} | {"_maybe": wanted.picks(batch.column("doc_id"))}
+
+        return work
+
+    flagged = map_rows(docs.select(*names), make, f"{schema}, _maybe boolean")
+    named = flagged.where("not _maybe").unionByName(flagged.where("_maybe").join(removed, "doc_id", "left_anti").select(*flagged.columns)).select(*names)
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        named = named.dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+        named = named.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null").select(*names))
+    return named
