@@ -8,7 +8,8 @@ gate picks from the predictors' confidence and that are refined online within th
 restarting every 1,024. The score is the log10 probability of the text; `bits_per_byte` follows from it.
 
 Counts come from every training text: word counts (for the unigram base), byte pairs (for the trees) and
-context counts, each summed over tasks before they meet. A small part of the training texts is left out of the context counts;
+context counts, each summed over tasks before they meet. Contexts are counted by 32-bit hash; a predictor's table has
+two slots or more for each context met, so it grows with the input, and is read from a mapped file. A small part of the training texts is left out of the context counts;
 its first texts, up to `mixer_bytes`, fit the gates' weights.
 
 Defined results: a null or empty text is the end mark alone (one token); repeated rows score alike; rows with a null id
@@ -18,6 +19,9 @@ are scored and never learned from; with nothing to learn from, all predictions a
 from __future__ import annotations
 
 import heapq
+import os
+import tempfile
+import uuid
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -36,7 +40,7 @@ _INV = pow(_ODD, -1, 1 << 64)
 
 @dataclass(frozen=True)
 class Params:
-    slot_bits: int = 20  # slots of each predictor's table
+    slot_bits: int = 20  # slots of each predictor's table, at least; it has two for each context met, or more
     mixer_bytes: int = 400_000  # of text that fits the mixing weights
     mixer_fold: int = 40  # one of so many training texts is left to the mixer
     rate: float = 0.06
@@ -159,7 +163,7 @@ def _contexts(data: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
     return [o3, o5, w]
 
 
-def events(texts: list[bytes], trees: Trees, slot_bits: int, segment: int = 1) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray | None]:
+def events(texts: list[bytes], trees: Trees, bits: list[int], segment: int = 1) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray | None]:
     """All decisions of some streams: decisions a text, path entries, slots by predictor, and which are real.
 
     With a segment over 1 each text's decisions are padded to whole segments (by repeats of some decision, not real).
@@ -189,14 +193,13 @@ def events(texts: list[bytes], trees: Trees, slot_bits: int, segment: int = 1) -
         for end, pad in zip(ends.tolist(), (-count % segment).tolist()):
             real[end - pad : end] = 0
             at[end - pad : end] = 0
-    shift = np.uint32(32 - slot_bits)
     slots = []
     with np.errstate(over="ignore"):
         salt = np.take(trees.salt, at, mode="clip")
-        for h in hashes:
+        for h, b in zip(hashes, bits):
             x = np.take(h, pos, mode="clip")
             x += salt
-            x >>= shift
+            x >>= np.uint32(32 - b)
             slots.append(x)
     return count, at, slots, real
 
@@ -319,58 +322,204 @@ def _count_words(rows: DataFrame, scratch, p: Params) -> Words:
     return Words(sum(r.n for r in scale), sum(r.words for r in scale), top, words.where(~frequent))
 
 
-def _count_contexts(train: DataFrame, trees, p: Params) -> list[np.ndarray]:
-    """Every predictor's table as int16: log-odds * 100, shifted up by two bits that hold the confidence."""
-    size, parts = 2 << p.slot_bits, 16
+class Tally:
+    """Counts by 32-bit key, as sorted runs; a run is merged into the one before while it is at least half as long."""
+
+    def __init__(self):
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def __len__(self) -> int:
+        return sum(len(k) for k, _ in self.runs)
+
+    def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> None:
+        if counts is None:
+            keys = np.sort(keys)
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
+            keys, counts = keys[first], np.diff(first, append=len(keys))
+        if not len(keys):
+            return
+        self.runs.append((keys, counts.astype(np.uint32)))
+        while len(self.runs) > 1 and 2 * len(self.runs[-1][0]) >= len(self.runs[-2][0]):
+            self._merge()
+
+    def _merge(self) -> None:
+        (a, m), (b, n) = self.runs[-2:]
+        keys = np.concatenate([a, b])
+        order = np.argsort(keys, kind="stable")  # two sorted runs: one merge
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        total = np.add.reduceat(np.concatenate([m, n])[order], first, dtype=np.uint64)
+        self.runs[-2:] = [(keys[first], np.minimum(total, 2**32 - 1).astype(np.uint32))]
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.runs) > 1:
+            self._merge()
+        return self.runs.pop() if self.runs else (np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.uint32))
+
+
+def _planes(*columns: np.ndarray) -> bytes:
+    """Columns of 32-bit numbers, byte by byte: most of the higher bytes are zeros."""
+    return zlib.compress(b"".join(c.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns), 1)
+
+
+def _columns(packed: bytes, n: int) -> list[np.ndarray]:
+    raw = np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(n, 4, -1)
+    return [np.ascontiguousarray(c.T).view("<u4").ravel() for c in raw]
+
+
+_SHARE = "block int, bit int, n long, packed binary"  # keys (their steps) and counts of a block: a predictor's keys with the same upper bits
+
+
+def _share(train: DataFrame, trees, block_bits: int, p: Params) -> DataFrame:
+    """Every task's context counts by 32-bit key, nothing shared or left out."""
 
     def make():
         own = trees.value
-        total = [np.zeros(size, dtype=np.uint32) for _ in range(CONTEXTS)]
-        waiting: list[list[np.ndarray]] = [[] for _ in range(CONTEXTS)]
+        tally = [[Tally(), Tally()] for _ in range(CONTEXTS)]
+        waiting: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
 
         def work(batch: pa.RecordBatch):
             for part in chunks([stream(tokens(t)) for t in batch.column("text").to_pylist()], p.chunk_bytes):
-                _, at, slots, _ = events(part, own, p.slot_bits)
-                bit = np.take(own.bit, at)
-                for k in range(CONTEXTS):
-                    slots[k] <<= 1
-                    slots[k] |= bit
-                    waiting[k].append(slots[k])
-                if sum(map(len, waiting[0])) > 4_000_000:
+                _, at, keys, _ = events(part, own, [32] * CONTEXTS)
+                one = np.take(own.bit, at).view(bool)
+                for bit, which in enumerate((~one, one)):
+                    waiting[bit].append([k[which] for k in keys])
+                if sum(len(w[0]) for w in waiting[0]) > 1_000_000:
                     flush()
-            return ()
+                    if sum(len(t) for pair in tally for t in pair) > 8_000_000:
+                        yield from give()
 
         def flush():
+            for bit in range(2):
+                for k in range(CONTEXTS):
+                    if waiting[bit]:
+                        tally[k][bit].add(np.concatenate([w[k] for w in waiting[bit]]))
+                waiting[bit].clear()
+
+        def give():
+            edges = np.arange(1, 1 << block_bits, dtype=np.uint64) << np.uint64(32 - block_bits)
             for k in range(CONTEXTS):
-                if waiting[k]:
-                    total[k] += np.bincount(np.concatenate(waiting[k]), minlength=size).astype(np.uint32)
-                    waiting[k].clear()
+                for bit in range(2):
+                    keys, counts = tally[k][bit].take()
+                    cut = [0, *np.searchsorted(keys, edges.astype(np.uint32)).tolist(), len(keys)]
+                    for b, (i, j) in enumerate(zip(cut, cut[1:])):
+                        if i < j:
+                            yield {"block": [k << block_bits | b], "bit": [bit], "n": [j - i], "packed": [_planes(np.diff(keys[i:j], prepend=np.uint32(0)), counts[i:j])]}
 
         def end():
             flush()
-            step = size // parts
-            for k in range(CONTEXTS):
-                for b in range(parts):
-                    if (packed := _pack(total[k][b * step : (b + 1) * step])) is not None:
-                        yield {"block": [k * parts + b], "counts": [packed]}
+            yield from give()
 
         work.end = end
         return work
 
-    def finish(t: np.ndarray) -> bytes:
-        n0, n1 = t[0::2].astype(np.float64), t[1::2].astype(np.float64)
-        n = n0 + n1
-        odds = np.clip(np.round(100 * np.log((n1 + 0.2) / (n0 + 0.2))), -1200, 1200).astype(np.int16)
-        sure = (n > 0).astype(np.int16) + (n > 3) + (n > 30)
-        return (odds * 4 + sure.astype(np.int16)).astype(np.int16).tobytes()
+    return map_rows(train.select("text"), make, _SHARE)
+
+
+def _meet(shares: DataFrame, block_bits: int) -> DataFrame:
+    """The shares of each block summed: its contexts' keys (`bit` 0 and 1 apart). A task holds one block at a time."""
+
+    def make():
+        now: dict = {"block": None}
+        tally = [Tally(), Tally()]
+
+        def finish():
+            for bit in range(2):
+                keys, counts = tally[bit].take()
+                if len(keys):
+                    yield {"block": [now["block"]], "bit": [bit], "n": [len(keys)], "packed": [_planes(np.diff(keys, prepend=np.uint32(0)), counts)]}
+
+        def work(batch: pa.RecordBatch):
+            for block, bit, packed in zip(*(batch.column(c).to_pylist() for c in ("block", "bit", "packed"))):
+                if block != now["block"]:
+                    yield from finish()
+                    now["block"] = block
+                steps, counts = _columns(packed, 2)
+                tally[bit].add(np.cumsum(steps, dtype=np.uint32), counts)
+
+        work.end = finish
+        return work
+
+    parts = max(n_partitions(shares.sparkSession), (CONTEXTS << block_bits) // 8)
+    return map_rows(shares.repartition(parts, "block").sortWithinPartitions("block"), make, _SHARE)
+
+
+@dataclass
+class Table:
+    """A predictor's slots as int16 in a file: log-odds * 100, shifted up by two bits that hold the confidence.
+
+    The file lies in the shared checkpoint folder, or, where that is no mounted folder, is handed out by Spark. It is mapped, not
+    loaded, so it may outgrow memory, and the workers of a node share its pages.
+    """
+
+    name: str
+    shared: bool
+    bits: int
 
-    schema = "block int, counts binary"
-    step = size // parts
-    tables = [np.zeros(size // 2, dtype=np.int16) for _ in range(CONTEXTS)]
-    for r in _summed(map_rows(train.select("text"), make, schema), step, finish, schema).collect():
-        k, b = divmod(r.block, parts)
-        tables[k][b * step // 2 : (b + 1) * step // 2] = np.frombuffer(r.counts, dtype=np.int16)
-    return tables
+    def open(self) -> np.ndarray:
+        from pyspark import SparkFiles
+
+        return np.asarray(np.memmap(self.name if self.shared else SparkFiles.get(self.name), dtype=np.int16, mode="r"))
+
+
+def _tables(met: DataFrame, block_bits: int, p: Params, bits: list[int] | None = None) -> list[Table]:
+    """Files of all predictors' slots, two or more for each of its contexts (at most 2^32); filled a block at a time."""
+    from .common import checkpoint_root
+
+    spark = met.sparkSession
+    if bits is None:
+        most = {r.k: r.n for r in met.groupBy(F.shiftright("block", block_bits).alias("k")).agg(F.sum("n").alias("n")).collect()}  # of both bits: at least the contexts
+        bits = [min(32, max(p.slot_bits, block_bits, int(2 * most.get(k, 1) - 1).bit_length())) for k in range(CONTEXTS)]
+
+    def make():
+        now: dict = {"block": None, "own": {}}
+
+        def finish():
+            if now["own"]:
+                k = now["block"] >> block_bits
+                empty = (np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.uint32))
+                (a, m), (b, n) = (now["own"].get(bit, empty) for bit in range(2))
+                slots = np.unique(np.concatenate([a >> np.uint32(32 - bits[k]), b >> np.uint32(32 - bits[k])]))
+                n0, n1 = np.zeros(len(slots)), np.zeros(len(slots))
+                np.add.at(n0, np.searchsorted(slots, a >> np.uint32(32 - bits[k])), m)
+                np.add.at(n1, np.searchsorted(slots, b >> np.uint32(32 - bits[k])), n)
+                odds = np.clip(np.round(100 * np.log((n1 + 0.2) / (n0 + 0.2))), -1200, 1200).astype(np.int16)
+                n = n0 + n1
+                sure = (n > 0).astype(np.int16) + (n > 3) + (n > 30)
+                value = (odds * 4 + sure.astype(np.int16)).astype(np.int16).view(np.uint16)
+                yield {"block": [now["block"]], "packed": [_planes(np.diff(slots, prepend=np.uint32(0)), value)]}
+                now["own"] = {}
+
+        def work(batch: pa.RecordBatch):
+            for block, bit, packed in zip(*(batch.column(c).to_pylist() for c in ("block", "bit", "packed"))):
+                if block != now["block"]:
+                    yield from finish()
+                    now["block"] = block
+                steps, counts = _columns(packed, 2)
+                now["own"][bit] = (np.cumsum(steps, dtype=np.uint32), counts)
+
+        work.end = finish
+        return work
+
+    root = checkpoint_root(spark)
+    shared = root.startswith(("/", "file:"))
+    folder = "/" + root.removeprefix("file:").lstrip("/") if shared else tempfile.gettempdir()
+    os.makedirs(folder, exist_ok=True)
+    names = [os.path.join(folder, f"helixframe-lm-{uuid.uuid4().hex}.slots") for _ in range(CONTEXTS)]
+    for name, b in zip(names, bits):
+        with open(name, "wb") as f:
+            f.truncate(2 << b)
+    files = [np.memmap(name, dtype=np.int16, mode="r+") for name in names]
+    for r in map_rows(met, make, "block int, packed binary").toLocalIterator():
+        steps, value = _columns(r.packed, 2)
+        files[r.block >> block_bits][np.cumsum(steps, dtype=np.uint32)] = value.astype(np.uint16).view(np.int16)
+    for f in files:
+        f.flush()
+    del files
+    if not shared:
+        for name in names:
+            spark.sparkContext.addFile(name)
+    return [Table(name if shared else os.path.basename(name), shared, b) for name, b in zip(names, bits)]
 
 
 # --- mixing --------------------------------------------------------------------------------------
@@ -379,18 +528,24 @@ def _count_contexts(train: DataFrame, trees, p: Params) -> list[np.ndarray]:
 @dataclass
 class Mixer:
     trees: Trees
-    tables: list[np.ndarray]
+    tables: list[Table]
     weights: np.ndarray  # gates x INPUTS
     params: Params
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "opened"}
+
     def inputs(self, texts: list[bytes], segment: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
         """Decisions a text, signs (+1 for bit 1), log-odds INPUTS x decisions, gates, which decisions are real."""
-        count, entry, slots, real = events(texts, self.trees, self.params.slot_bits, segment)
+        count, entry, slots, real = events(texts, self.trees, [t.bits for t in self.tables], segment)
+        opened = self.__dict__.get("opened")
+        if opened is None:
+            opened = self.opened = [t.open() for t in self.tables]
         s = np.empty((INPUTS, len(entry)), dtype=np.float32)
         np.take(self.trees.prior, entry, out=s[0], mode="clip")
         gate = np.zeros(len(entry), dtype=np.int16)
         for k in range(CONTEXTS):
-            v = np.take(self.tables[k], slots[k], mode="clip")
+            v = np.take(opened[k], slots[k], mode="clip")
             np.multiply(v, np.float32(0.0025), out=s[k + 1], casting="unsafe")  # the two bits of confidence change this by under 0.01
             gate <<= 2
             v &= 3
@@ -484,8 +639,10 @@ def fit(docs: DataFrame, allowed: Column, params: Params = Params()) -> Model:
     scratch.drop(first)
     trees = Trees(pairs.reshape(256, 256))
     aside = F.pmod(F.xxhash64("doc_id"), F.lit(p.mixer_fold)) == 0
-    tables = _count_contexts(train.where(~aside), spark.sparkContext.broadcast(trees), p)
-    mixer = Mixer(trees, tables, np.zeros((64, INPUTS), dtype=np.float32), p)
+    length, shared_trees = trees.length.reshape(256, 256).astype(np.int64), spark.sparkContext.broadcast(trees)
+    block_bits = min(16, max(4, int((pairs.reshape(256, 256) * length).sum() >> 26).bit_length()))  # so that a block has some 2^26 decisions
+    met = scratch.save(_meet(_share(train.where(~aside), shared_trees, block_bits, p), block_bits))
+    mixer = Mixer(trees, _tables(met, block_bits, p), np.zeros((64, INPUTS), dtype=np.float32), p)
     # the texts that fit the weights: the first by hash that together stay within mixer_bytes
     ids = train.where(aside).select("doc_id", F.xxhash64(F.lit(1), "doc_id").alias("h"), F.length("text").alias("size")).where(F.col("size") <= p.mixer_bytes // 20)
     chosen = ids.orderBy("h", "doc_id").limit(p.mixer_bytes // 400)

@@ -329,3 +329,21 @@ def test_mixing_meets_targets(spark):
 
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_lm_tables_grow_with_the_contexts(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60))) for i in range(120)]
+    p = lm_scoring.Params(slot_bits=8, mixer_fold=10)
+    sizes = []
+    for n in (30, 120):
+        model = lm_scoring.fit(docs(spark, rows[:n]), F.lit(True), p)
+        kept = [lm_scoring.stream(lm_scoring.tokens(t)) for _, t in rows[:n]]
+        _, _, keys, _ = lm_scoring.events(kept, model.mixer.trees, [32] * lm_scoring.CONTEXTS)
+        sizes.append([2 ** t.bits for t in model.mixer.tables])
+        assert all(s >= len(np.unique(k)) for s, k in zip(sizes[-1], keys))
+    assert all(a < b for a, b in list(zip(*sizes))[1:])  # three bytes before are few contexts here
+    # the counts of a slot are those of its contexts: a table that grew scores much like one of 2^24 slots
+    wide = lm_scoring.fit(docs(spark, rows), F.lit(True), lm_scoring.Params(slot_bits=24, mixer_fold=10))
+    small, large = (sum(m.mixer.log2_probability(kept)) for m in (model, wide))
+    assert small == pytest.approx(large, rel=0.25)
