@@ -9,8 +9,8 @@ restarting every 1,024. The score is the log10 probability of the text; `bits_pe
 
 Counts come from every training text: word counts (for the unigram base), byte pairs (for the trees) and
 context counts, each summed over tasks before they meet. Contexts are counted by 32-bit hash; a predictor's table has
-two slots or more for each context met, so it grows with the input, and is read from a mapped file. A small part of the training texts is left out of the context counts;
-its first texts, up to `mixer_bytes`, fit the gates' weights.
+two slots or more for each context met, so it grows with the input, and is read from a mapped file. A small part of the training texts is first left out of the context counts;
+its first texts, up to `mixer_bytes`, fit the gates' weights. Then that part is counted too.
 
 Defined results: a null or empty text is the end mark alone (one token); repeated rows score alike; rows with a null id
 are scored and never learned from; with nothing to learn from, all predictions are even. Other columns are ignored.
@@ -42,7 +42,7 @@ _INV = pow(_ODD, -1, 1 << 64)
 class Params:
     slot_bits: int = 20  # slots of each predictor's table, at least; it has two for each context met, or more
     mixer_bytes: int = 400_000  # of text that fits the mixing weights
-    mixer_fold: int = 40  # one of so many training texts is left to the mixer
+    mixer_fold: int = 40  # one of so many training texts is counted after the mixer's fit
     rate: float = 0.06
     top_words: int = 150_000  # words looked up from a broadcast table; rarer ones are joined
     chunk_bytes: int = 40_000  # of text worked on at once: its arrays stay in a core's cache
@@ -461,6 +461,10 @@ class Table:
 
         return np.asarray(np.memmap(self.name if self.shared else SparkFiles.get(self.name), dtype=np.int16, mode="r"))
 
+    def drop(self) -> None:
+        if self.shared:
+            os.remove(self.name)
+
 
 def _tables(met: DataFrame, block_bits: int, p: Params, bits: list[int] | None = None) -> list[Table]:
     """Files of all predictors' slots, two or more for each of its contexts (at most 2^32); filled a block at a time."""
@@ -643,15 +647,32 @@ def fit(docs: DataFrame, allowed: Column, params: Params = Params()) -> Model:
     block_bits = min(16, max(4, int((pairs.reshape(256, 256) * length).sum() >> 26).bit_length()))  # so that a block has some 2^26 decisions
     met = scratch.save(_meet(_share(train.where(~aside), shared_trees, block_bits, p), block_bits))
     mixer = Mixer(trees, _tables(met, block_bits, p), np.zeros((64, INPUTS), dtype=np.float32), p)
-    # the texts that fit the weights: the first by hash that together stay within mixer_bytes
-    ids = train.where(aside).select("doc_id", F.xxhash64(F.lit(1), "doc_id").alias("h"), F.length("text").alias("size")).where(F.col("size") <= p.mixer_bytes // 20)
-    chosen = ids.orderBy("h", "doc_id").limit(p.mixer_bytes // 400)
+    # the texts that fit the weights: the first by hash, until mixer_bytes are met; the last may be cut there
+    ids = train.where(aside).select("doc_id", F.xxhash64(F.lit(1), "doc_id").alias("h"), F.length("text").alias("size")).where("size > 0")
+    wanted, size = [], 0
+    for r in ids.orderBy("h", "doc_id").limit(p.mixer_bytes // 4).collect():
+        if size >= p.mixer_bytes:
+            break
+        size += r.size
+        wanted.append(r.doc_id)
+    chosen = spark.createDataFrame([(i,) for i in dict.fromkeys(wanted)], "doc_id long")
+    start = F.substring("text", 1, p.mixer_bytes).alias("text")
+    rows = train.where(aside).join(F.broadcast(chosen), "doc_id").select(F.xxhash64(F.lit(1), "doc_id").alias("h"), "doc_id", start).where("text is not null").toLocalIterator()
     texts, size = [], 0
-    for r in sorted(train.join(F.broadcast(chosen), "doc_id").select("h", "doc_id", "text").where(F.col("text").isNotNull()).toLocalIterator(), key=lambda r: (r.h, r.doc_id)):
-        if (size := size + len(r.text)) > p.mixer_bytes:
+    for r in sorted(rows, key=lambda r: (r.h, r.doc_id, r.text)):
+        if size >= p.mixer_bytes:
             break
-        texts.append(stream(tokens(r.text)))
+        own = r.text[: p.mixer_bytes - size]
+        size += len(own)
+        texts.append(stream(tokens(own)))
     mixer.fit(texts)
+    # then those texts are learned from like all others
+    whole = scratch.save(_meet(met.unionByName(_share(train.where(aside), shared_trees, block_bits, p)), block_bits))
+    scratch.drop(met)
+    for t in mixer.tables:
+        t.drop()
+    mixer = Mixer(trees, _tables(whole, block_bits, p), mixer.weights, p)
+    scratch.drop(whole)
     return Model(words, mixer, scratch)
 
 

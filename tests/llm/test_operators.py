@@ -347,3 +347,16 @@ def test_lm_tables_grow_with_the_contexts(spark):
     wide = lm_scoring.fit(docs(spark, rows), F.lit(True), lm_scoring.Params(slot_bits=24, mixer_fold=10))
     small, large = (sum(m.mixer.log2_probability(kept)) for m in (model, wide))
     assert small == pytest.approx(large, rel=0.25)
+
+
+def test_lm_learns_from_every_text(spark, monkeypatch):
+    rows = [(i, f"word{i % 7} other{i % 5} " * 6) for i in range(40)] + [(1000 + i, f"qxz{i}jvk " * 5000) for i in range(12)]
+    fitted = []
+    real = lm_scoring.Mixer.fit
+    monkeypatch.setattr(lm_scoring.Mixer, "fit", lambda self, texts: (fitted.extend(texts), real(self, texts))[1])
+    model = lm_scoring.fit(docs(spark, rows), F.lit(True), lm_scoring.Params(slot_bits=16, mixer_fold=1, mixer_bytes=300_000))
+    # every text is the mixer's, and still counted: its contexts are in the tables
+    assert max(map(len, fitted)) > 20_000 and 299_000 < sum(map(len, fitted)) <= 300_000 + len(fitted)
+    for _, t in rows:
+        _, _, slots, _ = lm_scoring.events([lm_scoring.stream(lm_scoring.tokens(t))], model.mixer.trees, [x.bits for x in model.mixer.tables])
+        assert all((x.open()[s] & 3 > 0).all() for x, s in zip(model.mixer.tables, slots))
