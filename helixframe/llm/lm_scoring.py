@@ -4,8 +4,8 @@ A text is lower-cased (A-Z), cut into words, and written as its words' bytes wit
 end mark. Each byte is coded bit by bit along a Huffman tree chosen by the byte before, so a byte takes about
 three binary decisions. Several predictors look each decision up by a hash of its node and a context (the last
 3 and 5 bytes; the word so far, or the word before), and one by the node alone. Their log-odds are mixed by weights that a
-gate picks from the predictors' confidence and that are refined online within the text, by a gradient step every 128 decisions,
-restarting every 1,024. The score is the log10 probability of the text; `bits_per_byte` follows from it.
+gate picks from the predictors' confidence and that are refined online within the text, by a gradient step every 64 decisions,
+carried from a text's first decision to its last. The score is the log10 probability of the text; `bits_per_byte` follows from it.
 
 Counts come from every training text: word counts (for the unigram base), byte pairs (for the trees) and
 context counts, each summed over tasks before they meet. Contexts are counted by 32-bit hash; a predictor's table has
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import map_rows, n_partitions, short_batches
 
-BLOCK, STEPS = 128, 8  # decisions between gradient steps; steps before the weights restart
+BLOCK = 64  # decisions between gradient steps
 _ODD = 0x9E3779B97F4A7C15
 _INV = pow(_ODD, -1, 1 << 64)
 
@@ -45,7 +45,8 @@ class Params:
     mixer_fold: int = 40  # one of so many training texts is counted after the mixer's fit
     rate: float = 0.06
     top_words: int = 150_000  # words looked up from a broadcast table; rarer ones are joined
-    chunk_bytes: int = 40_000  # of text worked on at once: its arrays stay in a core's cache
+    chunk_bytes: int = 40_000  # of text counted at once: its arrays stay in a core's cache
+    score_bytes: int = 400_000  # of text scored at once: texts of like length take their gradient steps together
 
 
 CONTEXTS = 3
@@ -466,14 +467,13 @@ class Table:
             os.remove(self.name)
 
 
-def _tables(met: DataFrame, block_bits: int, p: Params, bits: list[int] | None = None) -> list[Table]:
+def _tables(met: DataFrame, block_bits: int, p: Params) -> list[Table]:
     """Files of all predictors' slots, two or more for each of its contexts (at most 2^32); filled a block at a time."""
     from .common import checkpoint_root
 
     spark = met.sparkSession
-    if bits is None:
-        most = {r.k: r.n for r in met.groupBy(F.shiftright("block", block_bits).alias("k")).agg(F.sum("n").alias("n")).collect()}  # of both bits: at least the contexts
-        bits = [min(32, max(p.slot_bits, block_bits, int(2 * most.get(k, 1) - 1).bit_length())) for k in range(CONTEXTS)]
+    most = {r.k: r.n for r in met.groupBy(F.shiftright("block", block_bits).alias("k")).agg(F.sum("n").alias("n")).collect()}  # of both bits: at least the contexts
+    bits = [min(32, max(p.slot_bits, block_bits, int(2 * most.get(k, 1) - 1).bit_length())) for k in range(CONTEXTS)]
 
     def make():
         now: dict = {"block": None, "own": {}}
@@ -583,12 +583,20 @@ class Mixer:
                 self.weights[g] = newton(s[:, own].astype(float), sign[own].astype(float), common, 20.0)
 
     def log2_probability(self, texts: list[bytes]) -> np.ndarray:
-        """Of each stream: the sum over its decisions, weights refined online."""
-        segment = BLOCK * STEPS
-        count, sign, s, gate, real = self.inputs(texts, segment)
-        segments = -(-count // segment)
-        first = np.concatenate([[0], np.cumsum(segments)])
-        n = int(first[-1])
+        """Of each stream: the sum over its decisions, weights refined online from its first decision to its last."""
+        size = np.array([len(t) for t in texts])
+        out = np.zeros(len(texts))
+        order = np.argsort(-size, kind="stable")
+        at = 0
+        for part in chunks([texts[i] for i in order], self.params.score_bytes):
+            out[order[at : at + len(part)]] = self._refined(part)
+            at += len(part)
+        return out
+
+    def _refined(self, texts: list[bytes]) -> np.ndarray:
+        count, sign, s, gate, real = self.inputs(texts, BLOCK)
+        blocks = -(-count // BLOCK)
+        first = np.concatenate([[0], np.cumsum(blocks)[:-1]])
         at = gate.astype(np.intp)
         sign *= real  # padding has even odds and no gradient
         mixed = np.zeros(len(sign), dtype=np.float32)
@@ -597,24 +605,31 @@ class Mixer:
             w = np.take(np.ascontiguousarray(self.weights[:, k]), at, mode="clip")
             w *= s[k]
             mixed += w
-        z0, x = mixed.reshape(n, STEPS, BLOCK), s.reshape(INPUTS, n, STEPS, BLOCK)
-        delta = np.zeros((INPUTS, n, 1), dtype=np.float32)
-        total = np.zeros(n)
+        z0, x = mixed.reshape(-1, BLOCK), s.reshape(INPUTS, -1, BLOCK)
+        order = np.argsort(-blocks, kind="stable")  # the texts that have a step left come first
+        first, left = first[order], blocks[order]
+        delta = np.zeros((INPUTS, len(texts), 1), dtype=np.float32)
+        total = np.zeros(len(texts))
         rate = np.float32(self.params.rate / 8)
-        for t in range(STEPS):
-            z = z0[:, t].copy()
+        m = len(texts)
+        for t in range(int(left[0])):
+            while left[m - 1] <= t:
+                m -= 1
+            rows = first[:m] + t
+            own = x[:, rows]
+            z = z0[rows]
             if t:
                 for k in range(INPUTS):
-                    z += delta[k] * x[k][:, t]
+                    z += delta[k, :m] * own[k]
             np.clip(z, -15, 15, out=z)
             np.negative(z, out=z)
             np.exp(z, out=z)
-            total -= np.log(1 + z).sum(axis=1, dtype=np.float64)
+            total[:m] -= np.log(1 + z).sum(axis=1, dtype=np.float64)
             z /= 1 + z
-            for k in range(INPUTS):
-                delta[k, :, 0] += rate * np.einsum("ij,ij->i", z, x[k][:, t])
-        padding = segments * segment - count
-        return np.add.reduceat(total, first[:-1]) / np.log(2) + padding
+            delta[:, :m, 0] += rate * np.einsum("ij,kij->ki", z, own)
+        bits = np.empty(len(texts))
+        bits[order] = total / np.log(2)
+        return bits + (blocks * BLOCK - count)
 
 
 # --- the operator --------------------------------------------------------------------------------
@@ -695,7 +710,7 @@ def score(docs: DataFrame, model: Model, ids: tuple[str, ...] = ("doc_id",)) ->
         def work(batch: pa.RecordBatch):
             rows = [tokens(t) for t in batch.column("text").to_pylist()]
             streams = [stream(r) for r in rows]
-            bits = np.concatenate([mix.log2_probability(c) for c in chunks(streams, mix.params.chunk_bytes)]) if rows else np.zeros(0)
+            bits = mix.log2_probability(streams)
             base, hits = [], []
             for own in rows:
                 got = [value[w] for w in own if w in value]
