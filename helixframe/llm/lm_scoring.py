@@ -695,12 +695,14 @@ def score(docs: DataFrame, model: Model, ids: tuple[str, ...] = ("doc_id",)) ->
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row of docs(doc_id, text).
 
     One map gives the mixed score and the base score of the frequent words; rarer words are
-    joined to their counts by word and summed by text.
+    joined to their counts by word, summed once for each distinct text, and joined back by the text's digest,
+    so that neither repeated nor null ids matter.
     """
     spark, words = docs.sparkSession, model.words
     short_batches(spark, 500)
     top, mixer, total, distinct = spark.sparkContext.broadcast(words.top), spark.sparkContext.broadcast(model.mixer), words.total, words.distinct
-    keyed = docs.select("doc_id", "text")
+    digest = F.substring(F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)), 1, 16)
+    keyed = docs.select("doc_id", "text", digest.alias("digest"))
     below = float(np.log10(total + 0.5 * (distinct + 1)))
 
     def make():
@@ -720,33 +722,33 @@ def score(docs: DataFrame, model: Model, ids: tuple[str, ...] = ("doc_id",)) ->
                 hits.append(len(got))
             n = np.array([len(r) + 1 for r in rows])
             yield {
-                "doc_id": batch.column("doc_id"), "n_tokens": n, "top_known": hits, "top_base": base, "score": bits * np.log10(2), "size": [len(s) for s in streams],
+                "doc_id": batch.column("doc_id"), "digest": batch.column("digest"), "n_tokens": n, "top_known": hits, "top_base": base, "score": bits * np.log10(2), "size": [len(s) for s in streams],
             }
 
         return work
 
-    scored = map_rows(keyed, make, "doc_id long, n_tokens long, top_known long, top_base double, score double, size long")
+    scored = map_rows(keyed, make, "doc_id long, digest binary, n_tokens long, top_known long, top_base double, score double, size long")
 
     def rare_words():
         known = top.value
 
         def work(batch: pa.RecordBatch):
             out: tuple[list, list, list] = [], [], []
-            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for i, text in zip(batch.column("digest").to_pylist(), batch.column("text").to_pylist()):
                 own = Counter(w for w in tokens(text) if w not in known)
                 if _END not in known:
                     own[_END] += 1
                 out[0].extend(own)
                 out[1].extend([i] * len(own))
                 out[2].extend(own.values())
-            yield dict(zip(("word", "doc_id", "tf"), out))
+            yield dict(zip(("word", "digest", "tf"), out))
 
         return work
 
-    one = keyed.where("doc_id is not null")
-    asked = map_rows(one, rare_words, "word binary, doc_id long, tf int")
-    met = asked.join(words.rare, "word").groupBy("doc_id").agg(F.sum("tf").alias("rare_known"), F.sum(F.col("tf") * F.log10(F.col("n") + 0.5)).alias("rare_base"))
-    out = scored.join(met, "doc_id", "left")
+    asked = map_rows(keyed.select("digest", "text"), rare_words, "word binary, digest binary, tf int")
+    once = asked.join(words.rare, "word").groupBy("word", "digest").agg(F.max("tf").alias("tf"), F.max("n").alias("n"))  # repeats of a text ask alike
+    met = once.groupBy("digest").agg(F.sum("tf").alias("rare_known"), F.sum(F.col("tf") * F.log10(F.col("n") + 0.5)).alias("rare_base"))
+    out = scored.join(met, "digest", "left")
     hit = F.coalesce("rare_known", F.lit(0)) + F.col("top_known")
     unknown = (F.col("n_tokens") - hit) * float(np.log10(0.5))
     return out.select(

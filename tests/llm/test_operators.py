@@ -373,3 +373,15 @@ def test_lm_weights_are_carried_through_a_text(spark):
             want -= np.log2(1 + np.exp(-z)).sum()
             delta += mixer.params.rate / 8 * (x / (1 + np.exp(z))).sum(axis=1)
         assert bits == pytest.approx(want, rel=1e-3, abs=1e-2)
+
+
+def test_lm_rare_words_of_repeated_and_null_ids(spark):
+    rows = [(i, f"common rare{i} rare{i + 1}") for i in range(30)]
+    odd = [(3, "rare5 common rare6"), (3, "rare7 rare7"), (3, "rare7 rare7"), (None, "rare9 common unseen"), (None, None), (200, "rare7 rare7")]
+    model = lm_scoring.fit(docs(spark, rows), F.lit(True), lm_scoring.Params(slot_bits=12, top_words=3))
+    counts = {"common": 30, "\n": 30, "rare0": 1, "rare30": 1} | {f"rare{i}": 2 for i in range(1, 30)}
+    n, v = sum(counts.values()), len(counts)
+    got = sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6)) for r in lm_scoring.score(docs(spark, rows + odd), model).collect())
+    own = [(i, [*(t or "").split(), "\n"]) for i, t in rows + odd]
+    want = sorted((str(i), len(w), sum(x in counts for x in w), round(sum(np.log10((counts.get(x, 0) + 0.5) / (n + 0.5 * (v + 1))) for x in w), 6)) for i, w in own)
+    assert [g[:3] for g in got] == [w[:3] for w in want] and [g[3] for g in got] == pytest.approx([w[3] for w in want], abs=1e-5)
