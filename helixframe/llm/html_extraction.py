@@ -1,8 +1,8 @@
 """HTML main text by markup and nearest-URL page differencing.
 
 Pages are cut into text lines (one a block element). Pages are then sorted by host and URL path, each is
-paired with the neighbour of its host that shares the longer leading path, the lines of both
-are aligned by longest common subsequence, and aligned (shared) lines are deleted.
+paired with the neighbour of its host that shares the longer leading path (the nearest page on either side
+whose lines differ: a copy tells nothing), the lines of both are aligned by longest common subsequence, and aligned (shared) lines are deleted.
 
 Differencing alone errs where menus change from page to page and where articles quote the same passage, so the
 markup decides first: scripts, styles, forms, menus, headers, footers, asides, adverts, notices and reader
@@ -11,20 +11,21 @@ such an element nothing outside it counts. Shared lines are deleted from pages w
 
 Defined results: null, empty or text-free html gives an empty text; a null or malformed url has an empty host and
 is paired within that; repeated pages are one row each; broken or cut-off markup is closed at the end of the page; a page
-without a neighbour of its host in its partition loses no line. Other columns are ignored.
+whose host has no page with other lines loses no line. Results do not depend on partitions. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import re
 import zlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, n_partitions, short_batches
+from .common import map_rows, short_batches
 
 BOILERPLATE, ARTICLE, OPEN = 0, 1, 2
 
@@ -192,8 +193,8 @@ def _lcs(a: list[str], b: list[str]) -> list[int]:
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_lines, n_shared) of every row of pages(page_id, url, html).
 
-    One range exchange by (host, path, page_id), so that a hot host spreads over tasks; the lines travel
-    compressed. Memory: three pages at a time.
+    Neighbours are found on paths and digests of lines alone, sorted by host; then each distinct list of lines is
+    joined in by digest, as a page's own and as its neighbour's. Lines travel compressed. Memory: two pages at a time.
     """
     spark = pages.sparkSession
     short_batches(spark, 200)
@@ -201,62 +202,67 @@ def extract(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1))
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
 
-    def cut():
+    def cut(pack: bool):
         def work(batch: pa.RecordBatch):
-            packed = []
+            packed, digests = [], []
             for page in batch.column("html").to_pylist():
                 texts, kinds = lines(page)
-                packed.append(zlib.compress(("".join(map(str, kinds)) + "\n" + "\n".join(texts)).encode("utf-8", "surrogatepass"), 1))
-            yield {c: batch.column(c) for c in ("page_id", "url", "host", "path")} | {"packed": packed}
-
-        return work
-
-    found = map_rows(pages.select("page_id", "url", host.alias("host"), path.alias("path"), "html"), cut, "page_id long, url string, host string, path string, packed binary")
-    placed = found.repartitionByRange(n_partitions(spark), "host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
-
-    def common(a: str, b: str) -> int:
-        n = 0
-        for x, y in zip(a.split("/"), b.split("/")):
-            if x != y:
-                break
-            n += 1
-        return n
+                body = "\n".join(texts).encode("utf-8", "surrogatepass")
+                packed.append(zlib.compress("".join(map(str, kinds)).encode() + b"\n" + body, 6) if pack else None)
+                # whether lines differ is told by `of_lines`; the pages of one `digest` have the same standings too
+                of_lines = hashlib.sha256(body).digest()[:16]
+                digests.append(of_lines + hashlib.sha256(bytes(kinds)).digest()[:8])
+            yield {c: batch.column(c) for c in ("page_id", "url", "host", "path")} | {"digest": digests, "packed": packed}
+
+        return lambda: work
+
+    # pages are cut once for their digests and once for their lines: keeping the lines in between would take more disk
+    placed = pages.select("page_id", "url", host.alias("host"), path.alias("path"), "html")
+    schema = "page_id long, url string, host string, path string, digest binary, packed binary"
+    found, packed_lines = map_rows(placed, cut(False), schema), map_rows(placed, cut(True), schema)
+    of_lines = F.substring("digest", 1, 16)
+    order = ("path", "page_id", "digest", "url")
+
+    def nearest(*by):
+        w = Window.partitionBy("host").orderBy(*by)
+        side = F.struct("digest", "path")
+        changed = F.lag(of_lines).over(w) != of_lines
+        return changed, F.lag(side).over(w), w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    met = found.select("page_id", "url", "host", "path", "digest")
+    for name, by in (("before", order), ("after", tuple(F.col(c).desc() for c in order))):
+        changed, side, running = nearest(*by)
+        met = met.withColumn("step", F.when(changed, side)).withColumn(name, F.last("step", ignorenulls=True).over(running)).drop("step")
+
+    def common(x: str):
+        same = F.zip_with(F.split("path", "/"), F.split(F.col(x).path, "/"), lambda a, b: a.eqNullSafe(b))
+        at = F.array_position(same, False)
+        return F.when(F.col(x).isNull(), F.lit(-1)).when(at > 0, at - 1).otherwise(F.size(same))
+
+    near = F.when(common("after") > common("before"), F.col("after").digest).otherwise(F.col("before").digest)
+    contents = packed_lines.groupBy("digest").agg(F.first("packed").alias("packed"))
+    own = met.select("page_id", "url", "digest", near.alias("near")).join(contents, "digest")
+    both = own.join(contents.select(F.col("digest").alias("near"), F.col("packed").alias("other")), "near", "left").select("page_id", "url", "packed", "other")
+
+    def unpack(packed: bytes) -> tuple[list[int], list[str]]:
+        kinds, _, body = zlib.decompress(packed).decode("utf-8", "surrogatepass").partition("\n")
+        return list(map(int, kinds)), body.split("\n") if kinds else []
 
     def pair():
-        state: dict = {"before": None, "now": None}
-
-        def finish(after):
-            before, now = state["before"], state["now"]
-            near = [x for x in (before, after) if x is not None and x["host"] == now["host"]]
-            shared: set[int] = set()
-            if near:
-                best = max(near, key=lambda x: common(x["path"], now["path"]))
-                shared = shared_lines(now["lines"], best["lines"])
-            kinds = now["kinds"]
-            if ARTICLE in kinds:
-                kept = [t for t, k in zip(now["lines"], kinds) if k == ARTICLE]
-            else:
-                kept = [t for i, (t, k) in enumerate(zip(now["lines"], kinds)) if k == OPEN and i not in shared]
-            return now["page_id"], now["url"], " ".join(kept), len(kinds), len(shared)
-
-        def done(rows):
-            return dict(zip(("page_id", "url", "text", "n_lines", "n_shared"), map(list, zip(*rows)) if rows else [[]] * 5))
-
         def work(batch: pa.RecordBatch):
-            out = []
-            for page_id, u, h, p, packed in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "path", "packed"))):
-                kinds, _, body = zlib.decompress(packed).decode("utf-8", "surrogatepass").partition("\n")
-                row = {"page_id": page_id, "url": u, "host": h, "path": p, "kinds": list(map(int, kinds)), "lines": body.split("\n") if kinds else []}
-                if state["now"] is not None:
-                    out.append(finish(row))
-                state["before"], state["now"] = state["now"], row
-            yield done(out)
-
-        def end():
-            if state["now"] is not None:
-                yield done([finish(None)])
-
-        work.end = end
+            texts, n_lines, n_shared = [], [], []
+            for packed, other in zip(batch.column("packed").to_pylist(), batch.column("other").to_pylist()):
+                kinds, now = unpack(packed)
+                shared = shared_lines(now, unpack(other)[1]) if other is not None else set()
+                if ARTICLE in kinds:
+                    kept = [t for t, k in zip(now, kinds) if k == ARTICLE]
+                else:
+                    kept = [t for i, (t, k) in enumerate(zip(now, kinds)) if k == OPEN and i not in shared]
+                texts.append(" ".join(kept))
+                n_lines.append(len(kinds))
+                n_shared.append(len(shared))
+            yield {"page_id": batch.column("page_id"), "url": batch.column("url"), "text": texts, "n_lines": n_lines, "n_shared": n_shared}
+
         return work
 
-    return map_rows(placed, pair, "page_id long, url string, text string, n_lines int, n_shared int")
+    return map_rows(both, pair, "page_id long, url string, text string, n_lines int, n_shared int")

@@ -385,3 +385,17 @@ def test_lm_rare_words_of_repeated_and_null_ids(spark):
     own = [(i, [*(t or "").split(), "\n"]) for i, t in rows + odd]
     want = sorted((str(i), len(w), sum(x in counts for x in w), round(sum(np.log10((counts.get(x, 0) + 0.5) / (n + 0.5 * (v + 1))) for x in w), 6)) for i, w in own)
     assert [g[:3] for g in got] == [w[:3] for w in want] and [g[3] for g in got] == pytest.approx([w[3] for w in want], abs=1e-5)
+
+
+def test_html_copies_and_partitions(spark):
+    page = lambda body: f"<body><div>Home About</div><p>{body}</p><div>Rights</div></body>"
+    rows = [(i, f"http://h/a/{i:02d}", page(f"body {i // 3}")) for i in range(12)] + [(50, "http://two/1", page("x")), (51, "http://two/2", page("y")), (60, "http://same/1", page("z")), (61, "http://same/1", page("z"))]
+    want = sorted([(i, f"body {i // 3}") for i in range(12)] + [(50, "x"), (51, "y"), (60, "Home About z Rights"), (61, "Home About z Rights")])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (1, 3, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            got = html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(n)).collect()
+            assert sorted((r.page_id, r.text) for r in got) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
