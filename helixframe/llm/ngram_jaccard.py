@@ -45,6 +45,7 @@ class Params:
     #: Similarity, in percent, at which a class is attached to an earlier one in a chunk.
     attach_percent: int = 80
     chunk: int = 128  # classes of a key compared in one chunk
+    list_rows: int = 256  # postings of a token that one task meets; a longer list is met block pair by block pair
     id_bits: int = 26  # bits of an id bitmap: 8 MB when broadcast, at any input size
     sketch_bits: int = 21  # counters of the count sketch: 2 MB when broadcast, at any input size
 
@@ -110,11 +111,11 @@ _SIGN = "kind int, doc_id long, n long, d1 long, d2 long, bands array<long>, blo
 
 
 def _bands(s: np.ndarray) -> list[int]:
-    """Hashes of pairs of min-hashes: the least element of each eighth of the hash space (the next one's where it is empty)."""
+    """Keys from pairs of min-hashes: the least element of each eighth of the hash space (the next one's where it is empty)."""
     at = np.searchsorted(s, np.arange(2 * _BANDS, dtype=np.uint64) << np.uint64(61))
     least = s[at % len(s)]
     with np.errstate(over="ignore"):
-        return _signed(_mix(least[0::2] * np.uint64(31) + _mix(least[1::2]))).tolist()
+        return _signed(_mix(least[0::2] * np.uint64(31) + _mix(least[1::2]) + np.arange(_BANDS, dtype=np.uint64))).tolist()
 
 
 def pack(own: np.ndarray) -> bytes:
@@ -305,8 +306,7 @@ def _slot(ids: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, p: Params) -> DataFrame:
-    """(rep, set) of the documents in ids(rep): the set as bytes of its sorted hashes. Only those sets are exchanged."""
-    ids = ids.select("rep").distinct()
+    """(rep, set) of the documents that may be in ids(rep): the set as bytes of its sorted hashes. No exchange."""
     wanted = IdBitmap(ids, "rep", p)
 
     def make():
@@ -318,7 +318,44 @@ def _sets(docs: DataFrame, ids: DataFrame, p: Params) -> DataFrame:
 
         return work
 
-    return map_rows(docs.select("doc_id", "text"), make, "rep long, set binary").join(ids, "rep")
+    return map_rows(docs.select("doc_id", "text"), make, "rep long, set binary")
+
+
+_LEVEL_BITS = 20
+
+
+def _banded(docs: DataFrame, left: DataFrame, turn: int, p: Params) -> DataFrame:
+    """(key, salt, rep, set): each set that left(rep, key, size) names, once for each of its keys that several classes share.
+
+    Reps and keys are told by bitmaps, and how many chunks a large key is cut into by a sketch, all of fixed size, so the sets
+    go straight from the texts to their chunks. What a bitmap lets through in error meets others without a result.
+    """
+    reps, keys = IdBitmap(left, "rep", p), IdBitmap(left, "key", p)
+    slots = left.where(F.col("size") > p.chunk).groupBy(F.pmod("key", F.lit(1 << _LEVEL_BITS)).alias("slot")).agg(F.max("size").alias("size")).collect()  # at most 2^20
+    level = np.zeros(1 << _LEVEL_BITS, dtype=np.uint8)
+    for r in slots:
+        level[r.slot] = int(-(-r.size // p.chunk) - 1).bit_length()
+    levels = docs.sparkSession.sparkContext.broadcast(level)
+
+    def make():
+        chunks = levels.value
+
+        def work(batch: pa.RecordBatch):
+            own = batch.take(pa.array(np.flatnonzero(reps.picks(batch.column("doc_id")))))
+            if not own.num_rows:
+                return
+            sets = [(i, s) for i, s in zip(own.column("doc_id").to_pylist(), shingle_sets(own.column("text").to_pylist(), p.words)) if len(s)]
+            key = np.array([_bands(s) for _, s in sets], dtype=np.int64).ravel()
+            at = np.flatnonzero(keys.picks(pa.array(key)))
+            rep, key = np.repeat(np.array([i for i, _ in sets], dtype=np.int64), _BANDS)[at], key[at]
+            with np.errstate(over="ignore"):
+                drawn = _mix(rep.view(np.uint64) * np.uint64(31) + np.uint64(turn) + _mix(key.view(np.uint64)) * np.uint64(turn > 0))
+            salt = (drawn & ((np.uint64(1) << chunks[key & (1 << _LEVEL_BITS) - 1].astype(np.uint64)) - np.uint64(1))).astype(np.int64)
+            yield {"key": key, "salt": salt, "rep": rep, "set": [sets[i // _BANDS][1].tobytes() for i in at.tolist()]}
+
+        return work
+
+    return map_rows(docs.select("doc_id", "text"), make, "key long, salt long, rep long, set binary")
 
 
 def _ranks(signed: DataFrame, p: Params) -> bytes:
@@ -442,8 +479,8 @@ def _postings(docs: DataFrame, reps: DataFrame, ranks: bytes, p: Params) -> Data
 def _meetings(lists: DataFrame, p: Params, one: bool, block: int = 256) -> DataFrame:
     """(ca, cb, a, b): postings of different components on one list that could overlap enough; if `one`, a task gives two components once.
 
-    lists: (token, comp, rep, n_min, n_max, left) streamed in (token, n_min) order; memory holds the part of
-    one list whose sizes still fit. Sizes and positions left rule out whole blocks before pairs are looked at.
+    lists: (token, comp, rep, n_min, n_max, left), dealt out so that a group holds two blocks of a list at most and streamed in
+    order of size. Sizes and positions left rule out whole runs of postings before pairs are looked at.
     """
 
     def make():
@@ -456,18 +493,22 @@ def _meetings(lists: DataFrame, p: Params, one: bool, block: int = 256) -> DataF
                 return np.zeros(0, dtype=int), np.zeros(0, dtype=int)
             ok = (x["comp"][:, None] != y["comp"][None, :]) & (100 * x["n_max"][:, None] >= p.percent * y["n_min"][None, :]) & (100 * y["n_max"][None, :] >= p.percent * x["n_min"][:, None])
             ok &= np.minimum(x["left"][:, None], y["left"][None, :]) >= least(x["n_min"][:, None], y["n_min"][None, :])
+            ok &= (x["i"][:, None] == x["j"][:, None]) | (x["block"][:, None] != y["block"][None, :])  # two blocks: each one's own pairs are met elsewhere
             if same:
                 ok = np.triu(ok, 1)
             return np.nonzero(ok)
 
         def work(batch: pa.RecordBatch):
-            cols = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("token", "comp", "rep", "n_min", "n_max", "left")}
+            cols = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("token", "i", "j", "block", "comp", "rep", "n_min", "n_max", "left")}
             token = cols["token"]
-            edges = np.concatenate([[0], np.flatnonzero(np.diff(token)) + 1, [len(token)]])
+            if not len(token):
+                return
+            edges = np.concatenate([[0], np.flatnonzero((np.diff(token) != 0) | (np.diff(cols["i"]) != 0) | (np.diff(cols["j"]) != 0)) + 1, [len(token)]])
             got: list[tuple] = []
             for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                if state["token"] != token[lo]:
-                    state["token"], state["blocks"] = token[lo], []
+                group = (token[lo], cols["i"][lo], cols["j"][lo])
+                if state["token"] != group:
+                    state["token"], state["blocks"] = group, []
                 elif hi - lo and state["blocks"] and 100 * state["blocks"][0]["n_max"].max() < p.percent * cols["n_min"][lo]:
                     state["blocks"] = [b for b in state["blocks"] if 100 * b["n_max"].max() >= p.percent * cols["n_min"][lo]]
                 if hi - lo == 1 and not state["blocks"]:
@@ -505,16 +546,37 @@ def _meetings(lists: DataFrame, p: Params, one: bool, block: int = 256) -> DataF
         return work
 
     spark = lists.sparkSession
-    return map_rows(lists.repartition(n_partitions(spark), "token").sortWithinPartitions("token", "n_min", "rep"), make, "ca long, cb long, a long, b long")
+    return map_rows(_dealt(lists, p).repartition(n_partitions(spark), "token", "i", "j").sortWithinPartitions("token", "i", "j", "n_min", "rep"), make, "ca long, cb long, a long, b long")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, scratch: Scratch, p: Params) -> DataFrame:
-    """Pairs (a, b) that link. Each a meets its b's in chunks."""
-    sets = scratch.save(_sets(docs, pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))), p))
+def _verify(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
+    """Pairs (a, b) that link. Sets go to their pairs in two exchanges: each set once, by its id, to the places that ask
+    for it, then to the pairs; there each a meets its b's in chunks."""
+    sets = _sets(docs, pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))), p)
     count = pairs.groupBy("a").agg(F.ceil(F.count("*") / 128).alias("chunks"))
-    salted = pairs.join(count, "a").withColumn("salt", F.pmod(F.xxhash64("b"), "chunks"))
-    right = salted.join(sets.withColumnRenamed("rep", "b"), "b").select("a", "salt", "b", "set")
-    left = salted.select("a", "salt").distinct().join(sets.withColumnRenamed("rep", "a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "set")
+    salted = pairs.join(count, "a").select("a", "b", F.pmod(F.xxhash64("b"), "chunks").alias("salt"))
+    none = lambda kind: F.lit(None).cast(kind)
+    places = salted.select(F.col("b").alias("rep"), "a", "salt", "b", none("binary").alias("set"))
+    places = places.unionByName(salted.select("a", "salt").distinct().select(F.col("a").alias("rep"), "a", "salt", none("long").alias("b"), none("binary").alias("set")))
+    asked = sets.select("rep", none("long").alias("a"), none("long").alias("salt"), none("long").alias("b"), "set").unionByName(places)
+    parts = n_partitions(pairs.sparkSession)
+
+    def give():
+        state: dict = {"rep": None, "set": None}
+
+        def work(batch: pa.RecordBatch):
+            out: tuple[list, ...] = ([], [], [], [])
+            for rep, raw, *place in zip(*(batch.column(c).to_pylist() for c in ("rep", "set", "a", "salt", "b"))):
+                if raw is not None:
+                    state["rep"], state["set"] = rep, raw
+                elif state["rep"] == rep:
+                    for o, x in zip(out, (*place, state["set"])):
+                        o.append(x)
+            yield dict(zip(("a", "salt", "b", "set"), out))
+
+        return work
+
+    given = map_rows(asked.repartition(parts, "rep").sortWithinPartitions("rep", F.col("set").isNull()), give, "a long, salt long, b long, set binary")
 
     def make():
         state: dict = {"a": None, "set": None}
@@ -531,23 +593,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, scratch: Scratch, p: Params) -> D
 
         return work
 
-    rows = left.unionByName(right).repartition(n_partitions(pairs.sparkSession), "a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
-    return map_rows(rows, make, "a long, b long")
-
-
-def _picked(rows: DataFrame, ids: DataFrame, p: Params) -> DataFrame:
-    """The rows (rep, set) whose rep may be in ids(rep), found by bitmap without an exchange of the sets."""
-    wanted = IdBitmap(ids.select("rep").distinct(), "rep", p)
-
-    def make():
-        def work(batch: pa.RecordBatch):
-            own = batch.take(pa.array(np.flatnonzero(wanted.picks(batch.column("rep")))))
-            if own.num_rows:
-                yield {"rep": own.column("rep"), "set": own.column("set")}
-
-        return work
-
-    return map_rows(rows.select("rep", "set"), make, "rep long, set binary")
+    return map_rows(given.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b")), make, "a long, b long")
 
 
 def _attached(docs: DataFrame, classes: DataFrame, scratch: Scratch, p: Params) -> DataFrame:
@@ -556,23 +602,62 @@ def _attached(docs: DataFrame, classes: DataFrame, scratch: Scratch, p: Params)
     All bands are read in one exchange of the sets; after it only classes go on whose key did not fit a chunk and
     that are not attached yet, as long as their number falls.
     """
-    banded = classes.select("rep", F.posexplode("bands").alias("band", "key")).select("rep", F.xxhash64("band", "key").alias("key"))
-    count = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    left = scratch.save(banded.join(count, "key").select("rep", "key", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / p.chunk)).alias("salt"), "size"))
-    sets = scratch.save(_sets(docs, left, p))
-    edges = scratch.save(_attach(left.join(sets, "rep"), p).distinct())
-    before = None
+    banded = classes.select("rep", F.explode("bands").alias("key"))
+
+    def shared(rows: DataFrame) -> DataFrame:
+        count = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+        return scratch.save(rows.join(count, "key").select("rep", "key", "size"))
+
+    left = shared(banded)
+    edges = scratch.save(_attach(_banded(docs, left, 0, p), p).distinct())
+    before, turn = None, 0
     while True:
-        left = left.where(F.col("size") > p.chunk).select("rep", "key").join(edges.select(F.col("a").alias("rep")).distinct(), "rep", "left_anti")
-        count = left.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-        left = scratch.save(left.join(count, "key").select("rep", "key", F.pmod(F.xxhash64("rep", "key"), F.ceil(F.col("size") / p.chunk)).alias("salt"), "size"))
+        left = shared(left.where(F.col("size") > p.chunk).select("rep", "key").join(edges.select(F.col("a").alias("rep")).distinct(), "rep", "left_anti"))
         size = left.count()
         if not size or before is not None and size > 0.9 * before:
-            scratch.drop(sets)
             return edges
-        before = size
-        found = _attach(left.join(_picked(sets, left, p), "rep"), p)
-        edges = scratch.save(edges.unionByName(found).distinct())
+        before, turn = size, turn + 1
+        edges = scratch.save(edges.unionByName(_attach(_banded(docs, left, turn, p), p)).distinct())
+
+
+#: Hot tokens up to this number are broadcast (16 bytes each); there are at most postings / list_rows of them.
+_HOT_TOKENS = 200_000
+
+
+def _dealt(lists: DataFrame, p: Params) -> DataFrame:
+    """lists with (i, j, block): a token of many postings has them in blocks, and every two blocks meet in a group of their own."""
+    count = lists.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > p.list_rows)
+    hot = count.limit(_HOT_TOKENS + 1).count()
+    if not hot:
+        return lists.withColumns({"i": F.lit(0), "j": F.lit(0), "block": F.lit(0)})
+    dealt = lists.join(F.broadcast(count) if hot <= _HOT_TOKENS else count, "token", "left").withColumn("blocks", F.coalesce(F.ceil(F.col("m") / p.list_rows).cast("int"), F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("m", "blocks", "other")
+
+
+def distinct_ids(docs: DataFrame, scratch: Scratch, p: Params = Params()) -> DataFrame:
+    """docs with one row an id: of rows that repeat one, that with the smallest text (a null text last). Rows without an id stay.
+
+    Only rows whose id may be a repeated one are exchanged; they are told by a bitmap.
+    """
+    repeated = scratch.save(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if not repeated.limit(1).count():
+        return docs
+    wanted = IdBitmap(repeated, "doc_id", p)
+    names, schema = carried(docs, ("_maybe",))
+
+    def make():
+        def work(batch: pa.RecordBatch):
+            yield {c: batch.column(c) for c in names} | {"_maybe": wanted.picks(batch.column("doc_id"))}
+
+        return work
+
+    flagged = map_rows(docs.select(*names), make, f"{schema}, _maybe boolean")
+    plain = [f.name for f in docs.schema if f.name in names and f.dataType.typeName() not in ("map", "variant")]
+    order = F.struct(F.col("text").isNull(), "text", F.xxhash64(*plain))
+    one = flagged.where("_maybe").groupBy("doc_id").agg(F.min_by(F.struct(*names), order).alias("row")).select("row.*")
+    return flagged.where("not _maybe").select(*names).unionByName(scratch.save(one))
 
 
 def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
@@ -580,9 +665,7 @@ def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
     p, spark = params, docs.sparkSession
     short_batches(spark)
     scratch = Scratch(spark, "jaccard")
-    docs = docs.select("doc_id", "text")
-    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        docs = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text")).unionByName(docs.where("doc_id is null"))
+    docs = distinct_ids(docs.select("doc_id", "text"), scratch, p)
     every = scratch.save(_sign(docs, p))
     signed = every.where("kind = 0 and doc_id is not null").select("doc_id", "n", "d1", "d2", "bands")
     ranks = _ranks(every, p)
@@ -592,12 +675,13 @@ def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
     comp = scratch.save(components(edges, scratch).select(F.col("node").alias("rep"), F.col("component").alias("comp")))
 
     # lists of components: one posting a component and token, with the widest bounds of its sets
-    posts = scratch.save(_postings(docs, classes, ranks, p))
-    posts = posts.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    grouped = posts.groupBy("token", "comp").agg(F.min("rep").alias("rep"), F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("left").alias("left"))
+    listed = scratch.save(_postings(docs, classes, ranks, p))
+    posts = listed.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    grouped = scratch.save(posts.groupBy("token", "comp").agg(F.min("rep").alias("rep"), F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("left").alias("left")))
     met = _meetings(grouped, p, one=True).groupBy("ca", "cb").agg(F.min(F.struct("a", "b")).alias("p"))
     met = scratch.save(met.select("ca", "cb", "p.a", "p.b"))
-    first = scratch.save(_verify(met.select("a", "b"), docs, scratch, p))
+    scratch.drop(grouped)
+    first = scratch.save(_verify(met.select("a", "b"), docs, p))
     edges2 = edges.unionByName(first)
 
     # components of more than one set whose chosen pair doesn't link: all their pairs on shared lists
@@ -618,8 +702,9 @@ def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
         # a list matters here if two of the flagged components are on it
         shared = rows.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("token")
         more = _meetings(rows.join(shared, "token", "left_semi"), p, one=False).join(open_pairs, ["ca", "cb"], "left_semi").select("a", "b").distinct()
-        edges2 = edges2.unionByName(_verify(scratch.save(more), docs, scratch, p))
+        edges2 = edges2.unionByName(_verify(scratch.save(more), docs, p))
         merged = scratch.save(components(edges2, scratch).select(F.col("node"), F.col("component")))
+    scratch.drop(listed)
 
     # classes keep their smallest document; a document follows its class
     final = classes.join(merged.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", "n", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
@@ -631,10 +716,12 @@ def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
 def deduplicate(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """One document of each component stays: the one with the smallest id. Columns of docs are kept.
 
-    Rows without an id stay, as nothing names their group; of rows that repeat an id, one stays.
+    Rows without an id stay, as nothing names their group; of rows that repeat an id, the one that `join` compares stays.
     """
+    scratch = Scratch(docs.sparkSession, "duplicates")
+    docs = distinct_ids(docs, scratch, params)
     found = join(docs, params).select("doc_id", "component_id")
-    removed = Scratch(docs.sparkSession, "duplicates").save(found.where("doc_id <> component_id").select("doc_id"))
+    removed = scratch.save(found.where("doc_id <> component_id").select("doc_id"))
     # only rows whose id may be among the removed ones meet them in a join; the other texts are not exchanged
     wanted = IdBitmap(removed, "doc_id", params)
     names, schema = carried(docs, ("_maybe",))
@@ -646,7 +733,4 @@ def deduplicate(docs: DataFrame, params: Params = Params()) -> DataFrame:
         return work
 
     flagged = map_rows(docs.select(*names), make, f"{schema}, _maybe boolean")
-    named = flagged.where("not _maybe").unionByName(flagged.where("_maybe").join(removed, "doc_id", "left_anti").select(*flagged.columns)).select(*names)
-    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        named = named.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null").select(*names))
-    return named
+    return flagged.where("not _maybe").unionByName(flagged.where("_maybe").join(removed, "doc_id", "left_anti").select(*flagged.columns)).select(*names)
