@@ -1,13 +1,12 @@
 """Quality classifier by compression.
 
-Two raw-content zstandard dictionaries are built from labelled good and bad text.
-Every whole text is compressed in blocks against each dictionary and against none;
-the compressed-size differences, divided by the text's length, are calibrated to a
-probability by a ridge logistic fit on other labelled rows.
-
-Defined results: a null or empty text has size 0 and scores as the calibration says
-for zero difference; repeated rows score alike; rows with a null id are scored and
-never used for fitting; columns of other names are ignored.
+Two raw-content zstandard dictionaries are built from whole labelled texts, good and bad ones. Every whole text is compressed in
+blocks against each; the difference of the compressed sizes, divided by the text's length, is calibrated to a probability by a
+logistic fit on other labelled rows (with the length's logarithm, since a short text's difference says less).
+
+Defined results: a null or empty text has difference 0 and scores as the calibration says for that; repeated rows score alike,
+and an id's smallest text is learned from; rows with a null id are scored and never used for fitting; without labels of both
+classes nothing is compressed and all texts score alike; columns of other names are ignored.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import carried, map_rows, short_batches
@@ -24,11 +23,9 @@ from .common import carried, map_rows, short_batches
 
 @dataclass(frozen=True)
 class Params:
-    """Bounds of the labelled sample and of the dictionaries."""
+    """Bounds of the labelled rows that are learned from; their texts are used whole."""
 
-    dictionary_bytes: int = 400_000
-    snippet_bytes: int = 300
-    dictionary_rows: int = 1_500  # labelled rows of each class for the dictionaries
+    dictionary_rows: int = 1_000  # labelled rows of each class for the dictionaries: as many of one as of the other
     calibration_rows: int = 5_000  # labelled rows of either class for the calibration
     block_bytes: int = 4_096
     level: int = 3
@@ -45,42 +42,40 @@ class Model:
     params: Params
 
 
-def _sizer(good: bytes, bad: bytes, p: Params):
+def sizer(good: bytes, bad: bytes, p: Params):
+    """A function from text to its compressed sizes with the good and with the bad dictionary, and its length, in bytes."""
     import zstandard as z
 
     def compressor(content: bytes) -> "z.ZstdCompressor":
-        options = {"level": p.level, "write_checksum": False, "write_content_size": False}
         if len(content) < 8:
-            return z.ZstdCompressor(**options)
+            return z.ZstdCompressor(level=p.level, write_checksum=False, write_content_size=False)
+        # tables with a slot or two for each two bytes of the dictionary, so that none of it is forgotten
+        bits = min(26, max(17, len(content).bit_length() - 1))
+        options = z.ZstdCompressionParameters.from_level(
+            p.level, dict_size=len(content), window_log=min(30, max(19, len(content).bit_length() + 1)), hash_log=bits, chain_log=bits, write_checksum=0, write_content_size=0
+        )
         d = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
-        d.precompute_compress(level=p.level)
-        return z.ZstdCompressor(dict_data=d, **options)
+        d.precompute_compress(compression_params=options)
+        return z.ZstdCompressor(dict_data=d, compression_params=options)
 
-    every = [compressor(good), compressor(bad), compressor(b"")]
+    both = (compressor(good), compressor(bad))
 
-    def sizes(data: bytes) -> tuple[int, int, int, int]:
-        out = [0, 0, 0]
-        for i in range(0, len(data), p.block_bytes):
-            block = data[i : i + p.block_bytes]
-            for k, c in enumerate(every):
-                out[k] += len(c.compress(block))
-        return (*out, len(data))
+    def sizes(text: str | None) -> tuple[int, int, int]:
+        data = (text or "").encode("utf-8", "surrogatepass")
+        blocks = [data[i : i + p.block_bytes] for i in range(0, len(data), p.block_bytes)]
+        return (*(sum(len(c.compress(b)) for b in blocks) for c in both), len(data))
 
     return sizes
 
 
 def features(sizes: np.ndarray) -> np.ndarray:
-    """Normalised size differences and their products. sizes: columns good, bad, none, raw."""
-    n = np.maximum(sizes[:, 3], 1.0)
-    good, bad, plain = (sizes[:, k] / n for k in range(3))
-    diff, log_n = good - bad, np.log(n)
-    rel = diff / np.maximum(good + bad, 1e-9)
-    cols = [diff, rel, good, bad, plain, log_n, good - plain, bad - plain]
-    cols += [diff * diff, rel * rel, plain * plain, diff * plain, rel * plain, diff * log_n, plain * log_n, rel * log_n, diff * rel]
-    return np.stack(cols, axis=1)
+    """The normalised size difference, the logarithm of the length, and their product. sizes: columns good, bad, raw."""
+    n = np.maximum(sizes[:, 2], 1.0)
+    difference = (sizes[:, 1] - sizes[:, 0]) / n
+    return np.stack([difference, np.log(n), difference * np.log(n)], axis=1)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     z = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(z.shape[1])
     for _ in range(50):
@@ -95,49 +90,40 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, params: Params = Params()) -> Model:
     """Fit on labelled rows where `allowed` (a column over doc_id) holds.
 
-    The rows are the first by a hash of their id: params bound their number, so
-    what reaches the driver is bounded (snippets of the dictionaries, four numbers a row).
+    The rows are the first by a hash of their id. What reaches the driver is bounded by their number: the dictionaries' texts, and
+    three numbers of each calibration row.
     """
     spark = docs.sparkSession
     short_batches(spark)
     lab = labels.select("doc_id", F.col("quality").cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull()).where(allowed).groupBy("doc_id").agg(F.max("y").alias("y"))
     lab = lab.withColumn("h", F.xxhash64("doc_id"))
-    first = lambda q, n: lab.where(q).orderBy("h", "doc_id").limit(n)
     for_dict = F.pmod("h", F.lit(2)) == 0
-    chosen = first(for_dict & (F.col("y") == 1), params.dictionary_rows).withColumn("use", F.lit("good"))
-    chosen = chosen.unionByName(first(for_dict & (F.col("y") == 0), params.dictionary_rows).withColumn("use", F.lit("bad")))
-    chosen = chosen.unionByName(first(~for_dict, params.calibration_rows).withColumn("use", F.lit("fit")))
-    # bounded: 2 * dictionary_rows + calibration_rows ids
-    rows = docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("raw")).join(F.broadcast(chosen), "doc_id")
-    n, size = F.length("raw"), params.snippet_bytes
-    start = F.when(n > size, F.pmod(F.hash("doc_id"), F.greatest(n - size, F.lit(1)))).otherwise(0)
-    snippets = rows.where("use <> 'fit'").select("use", "h", "doc_id", F.substring("raw", start + 1, F.lit(size)).alias("cut")).collect()
-    content = {
-        use: b"".join(bytes(r.cut) for r in sorted((r for r in snippets if r.use == use), key=lambda r: (r.h, r.doc_id)))[: params.dictionary_bytes]
-        for use in ("good", "bad")
-    }
-    sized = _sized(rows.where("use = 'fit'").select("doc_id", "y", F.decode("raw", "UTF-8").alias("text")), ["doc_id long", "y int"], content["good"], content["bad"], params)
-    got = sorted(sized.select("doc_id", "y", "s0", "s1", "s2", "s3").collect())
-    if not got:
-        return Model(content["good"], content["bad"], np.zeros(17), np.ones(17), np.zeros(18), params)
-    x, y = features(np.array([r[2:] for r in got], dtype=float)), np.array([r[1] for r in got], dtype=float)
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    return Model(content["good"], content["bad"], mean, scale, _logistic((x - mean) / scale, y), params)
-
-
-def _sized(df: DataFrame, keep: list[str], good: bytes, bad: bytes, p: Params) -> DataFrame:
-    names = [k.split()[0] for k in keep]
+    sizes = {r.y: r["count"] for r in lab.where(for_dict).groupBy("y").count().collect()}
+    each = min(params.dictionary_rows, sizes.get(0, 0), sizes.get(1, 0))
+    first = lambda q, n, use: lab.where(q).orderBy("h", "doc_id").limit(n).withColumn("use", F.lit(use))
+    chosen = first(for_dict & (F.col("y") == 1), each, "good").unionByName(first(for_dict & (F.col("y") == 0), each, "bad")).unionByName(first(~for_dict, params.calibration_rows, "fit"))
+    # bounded: 2 * dictionary_rows + calibration_rows ids; of an id's rows one is used
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("use", "h", "doc_id", "y").agg(F.min("text").alias("text"))
+    texts = sorted((r.use, r.h, r.doc_id, r.text) for r in rows.where("use <> 'fit'").collect())
+    good, bad = ("\n".join(t for use, _, _, t in texts if use == k).encode("utf-8", "surrogatepass") for k in ("good", "bad"))
+    shared = spark.sparkContext.broadcast((good, bad))
 
     def make():
-        sizes = _sizer(good, bad, p)
+        sizes_of = sizer(*shared.value, params)
 
         def work(batch: pa.RecordBatch):
-            got = [sizes((t or "").encode()) for t in batch.column("text").to_pylist()]
-            yield {n: batch.column(n) for n in names} | {f"s{k}": [g[k] for g in got] for k in range(4)}
+            got = [sizes_of(t) for t in batch.column("text").to_pylist()]
+            yield {c: batch.column(c) for c in ("doc_id", "y")} | {k: [g[i] for g in got] for i, k in enumerate(("good", "bad", "raw"))}
 
         return work
 
-    return map_rows(df, make, ", ".join([*keep, *(f"s{k} long" for k in range(4))]))
+    sized = map_rows(rows.where("use = 'fit'").select("doc_id", "y", "text"), make, "doc_id long, y int, good long, bad long, raw long")
+    got = sorted(sized.collect())
+    if not got:
+        return Model(good, bad, np.zeros(3), np.ones(3), np.zeros(4), params)
+    x, y = features(np.array([r[2:] for r in got], dtype=float)), np.array([r[1] for r in got], dtype=float)
+    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
+    return Model(good, bad, mean, scale, logistic((x - mean) / scale, y), params)
 
 
 def score(docs: DataFrame, model: Model, carry: bool = False) -> DataFrame:
@@ -152,12 +138,12 @@ def score(docs: DataFrame, model: Model, carry: bool = False) -> DataFrame:
 
     def make():
         own = m.value
-        sizes = _sizer(own.good, own.bad, own.params)
+        sizes_of = sizer(own.good, own.bad, own.params)
 
         def work(batch: pa.RecordBatch):
             if not batch.num_rows:
                 return
-            x = features(np.array([sizes((t or "").encode()) for t in batch.column("text").to_pylist()], dtype=float))
+            x = features(np.array([sizes_of(t) for t in batch.column("text").to_pylist()], dtype=float))
             z = np.clip(own.weights[0] + ((x - own.mean) / own.scale) @ own.weights[1:], -30, 30)
             s = 1 / (1 + np.exp(-z))
             yield {c: batch.column(c) for c in keep} | {"score": s, "predicted": (s >= own.params.threshold).astype(np.int32)}
