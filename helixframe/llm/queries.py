@@ -20,7 +20,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs, crc_bucket(F.col("doc_id"), 4) != 2)
-    return language_id.predict(docs, model).select("doc_id", (crc_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+    return language_id.predict(docs, model).select("doc_id", (crc_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "ratio", "expected")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
