@@ -26,10 +26,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, model, carry=True).where("predicted = 1").select(*COLUMNS)
 
 
+#: A text stays if one language stands out, and if that language's automaton needs at most half as many phrases again as its
+#: text usually does (and three standard deviations of a count of that size).
+LEAST_LANGUAGE_SCORE, MOST_PHRASES, DEVIATIONS = 0.5, 1.5, 3.0
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents in which no language is found."""
+    """Drop the documents in which the cross-parse finds no language, none that stands out, or none that explains the text."""
     model = language_id.fit(docs, crc_bucket(F.col("doc_id"), 4) != 2)
-    return language_id.predict(docs, model, carry=True).where(F.col("lang_pred") != language_id.UNDETERMINED).select(*COLUMNS)
+    found = language_id.predict(docs, model, carry=True).where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return found.where(F.col("ratio") <= MOST_PHRASES + DEVIATIONS / F.sqrt("expected")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -263,70 +263,160 @@ def labelled(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
 
 
+def crc(name, n):
+    return F.crc32(F.col(name).cast("string").cast("binary")) % n
+
+
+def greedy(text, ref):
+    """Longest matches that cover the text, by search alone."""
+    n = i = 0
+    while i < len(text):
+        k = i
+        while k < len(text) and text[i : k + 1] in ref:
+            k += 1
+        i, n = max(k, i + 1), n + 1
+    return n
+
+
 def test_language_id(spark):
     df = labelled(spark)
-    crc = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
-    model = language_id.fit(df, crc != 2)
+    allowed = crc("doc_id", 4) != 2
+    p = language_id.Params(rows_per_language=20, rate_rows=20, stretch=200)
+    model = language_id.fit(df, allowed, p)
     got = df.join(language_id.predict(df, model), "doc_id")
-    assert got.where("lang = lang_pred").count() / got.count() > 0.98
+    assert got.where("lang = lang_pred and score between 0.5 and 1").count() / got.count() > 0.98
+    # the whole operator against a search in the references it draws: the first rows by hash, by turns
+    rows = df.where(allowed).select("lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("h")).collect()
+    refs, rates = {}, {}
+    for lang in ("de", "en"):
+        texts = [language_id.letters(r.text) for r in sorted((r for r in rows if r.lang == lang), key=lambda r: r.h)][:40]
+        refs[lang] = b"".join(texts[::2])
+        rates[lang] = sum(greedy(t[i : i + 200], refs[lang]) for t in texts[1::2] for i in range(0, len(t), 200)) / sum(map(len, texts[1::2]))
+    for r in got.where("doc_id < 24").collect():
+        own = language_id.letters(r.text)
+        ratio = {k: sum(greedy(own[i : i + 200], refs[k]) for i in range(0, len(own), 200)) / len(own) / rates[k] for k in refs}
+        best = min(ratio, key=lambda k: (ratio[k], k))
+        assert r.lang_pred == best and r.ratio == pytest.approx(ratio[best])
+        assert r.score == pytest.approx(1 / sum(np.exp(4 * (ratio[best] - x)) for x in ratio.values()))
     edge = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(docs(spark, edge_rows() + [(8, "²³"), (9, "日本"), (10, "ther" * 9000)]), model).collect()}
     assert all(edge[i] == ("und", 0.0) for i in (1, 2, 3, 7, 8)) and edge[9][0] in ("de", "en") and edge[10][0] == "en"
-    empty = language_id.fit(df.limit(0), crc != 2)
-    assert {r.lang_pred for r in language_id.predict(df, empty).collect()} == {"und"}
+    # repeated rows and clashing names; a row that fills the table counts once in learning
+    clash = df.withColumns({"score": F.lit("old"), "expected": F.lit("old")})
+    again = language_id.predict(clash.unionByName(clash), model, carry=True)
+    assert again.columns == ["doc_id", "text", "lang", "quality", "lang_pred", "score", "ratio", "expected"]
+    assert again.distinct().count() == 240 and again.count() == 480
+    many = df.unionByName(df.where("doc_id = 0").crossJoin(spark.range(500).select()))
+    assert language_id.fit(many, allowed, p).languages == ["de", "en"] and np.allclose(language_id.fit(many, allowed, p).rates, model.rates)
+    # ties go to the first name
+    twins = df.where("lang = 'en'").select("doc_id", "text", F.explode(F.array(F.lit("x"), F.lit("w"))).alias("lang"))
+    assert {r.lang_pred for r in language_id.predict(df, language_id.fit(twins, allowed, p)).collect()} == {"w"}
+    empty = language_id.fit(df.limit(0), allowed)
+    assert {(r.lang_pred, r.ratio) for r in language_id.predict(df, empty).collect()} == {("und", None)}
+    one = language_id.fit(df.where("doc_id = 1"), F.lit(True))
+    assert {r.lang_pred for r in language_id.predict(df, one).collect()} == {"de"}
 
 
 def test_suffix_automaton_phrases():
-    start = language_id.suffix_automaton("abcabd ca")
-    ref, rng = "abcabd ca", random.Random(1)
-    for _ in range(200):
-        token, n, i = "".join(rng.choice("abcdx ") for _ in range(rng.randrange(0, 12))), 0, 0
-        while i < len(token):
-            k = i
-            while k < len(token) and token[i : k + 1] in ref:
-                k += 1
-            i, n = max(k, i + 1), n + 1
-        assert language_id.phrases(token, start) == n
+    rng = random.Random(1)
+    letters = bytes(range(60, 200))
+    refs = [b"abcabd ca", bytes(rng.choice(letters) for _ in range(3000)), bytes(rng.choice(b"ab") for _ in range(300))]
+    automata = language_id.Automata(refs)
+    texts = [bytes(rng.choice(rng.choice([b"abcdx ", letters, b"ab\xff"])) for _ in range(rng.randrange(0, 40))) for _ in range(200)]
+    texts += [refs[1][i : i + 90] for i in range(0, 900, 90)]
+    for stretch in (7, 4096):
+        got = automata.phrases(texts, stretch)
+        for t, row in zip(texts, got.tolist()):
+            assert row == [sum(greedy(t[i : i + stretch], r) for i in range(0, len(t), stretch)) for r in refs]
+    assert automata.phrases([b"", b""], 5).tolist() == [[0] * 3] * 2
 
 
 def test_quality_classifier(spark):
     df = labelled(spark)
-    allowed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
-    model = quality_classifier.fit(df.select("doc_id", "text"), df.select("doc_id", "quality"), allowed, quality_classifier.Params(dictionary_rows=60))
-    got = df.join(quality_classifier.score(df.select("doc_id", "text"), model), "doc_id").where(~allowed)
-    assert got.where("quality = predicted").count() / got.count() > 0.95
-    edge = quality_classifier.score(docs(spark, edge_rows()), model).collect()
-    assert len(edge) == 8 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in edge)
+    allowed = crc("doc_id", 5) != 0
+    p = quality_classifier.Params(dictionary_rows=20, block_bytes=300)
+    model = quality_classifier.fit(df.select("doc_id", "text"), df.select("doc_id", "quality"), allowed, p)
+    got = df.join(quality_classifier.score(df.select("doc_id", "text"), model), "doc_id")
+    assert got.where(~allowed).where("quality = predicted").count() / got.where(~allowed).count() > 0.95
+    # the whole operator again, from plain lists
+    import zstandard as z
+
+    rows = {r.doc_id: r for r in df.where(allowed).select("*", F.xxhash64("doc_id").alias("h")).collect()}
+    half = sorted((r for r in rows.values() if r.h % 2 == 0), key=lambda r: r.h)
+    of = [[r for r in half if r.quality == y] for y in (1, 0)]
+    n = min(20, *map(len, of))
+    content = ["\n".join(r.text for r in sorted(x[:n], key=lambda r: r.h)).encode() for x in of]
+    assert (model.good, model.bad) == tuple(content)
+    packers = []
+    for c in content:
+        bits = max(17, len(c).bit_length() - 1)
+        o = z.ZstdCompressionParameters.from_level(3, dict_size=len(c), window_log=max(19, len(c).bit_length() + 1), hash_log=bits, chain_log=bits, write_checksum=0, write_content_size=0)
+        packers.append(z.ZstdCompressor(dict_data=z.ZstdCompressionDict(c, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=o))
+    def row(t):  # noqa: E301
+        raw = t.encode()
+        good, bad = (sum(len(k.compress(raw[i : i + 300])) for i in range(0, len(raw), 300)) for k in packers)
+        m = max(1, len(raw))
+        return [(bad - good) / m, np.log(m), (bad - good) / m * np.log(m)]
+    fit = [r for r in rows.values() if r.h % 2]
+    x, y = np.array([row(r.text) for r in fit]), np.array([r.quality for r in fit], dtype=float)
+    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
+    w = np.zeros(4)
+    d = np.column_stack([np.ones(len(x)), (x - mean) / scale])
+    for _ in range(20_000):  # plain gradient ascent on the same ridge objective
+        w += 0.02 * (d.T @ (y - 1 / (1 + np.exp(-d @ w))) - 0.1 * w)
+    for r in got.where("doc_id < 40").collect():
+        assert r.score == pytest.approx(1 / (1 + np.exp(-(w[0] + ((np.array(row(r.text)) - mean) / scale) @ w[1:]))), abs=2e-3)
+    edge = quality_classifier.score(docs(spark, edge_rows() + [(8, "word " * 200_000)]), model).collect()
+    assert len(edge) == 9 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in edge)
+    assert len({r.score for r in edge if r.doc_id in (1, 2)}) == 1
     carried = quality_classifier.score(docs(spark, edge_rows()), model, carry=True)
     assert carried.columns == ["doc_id", "text", "rep", "score", "predicted"]
+    # repeated ids, in documents and labels, are learned from once
+    twice = quality_classifier.fit(df.select("doc_id", "text").unionByName(df.select("doc_id", "text")), df.select("doc_id", "quality").unionByName(df.select("doc_id", "quality")), allowed, p)
+    assert twice.good == model.good and np.allclose(twice.weights, model.weights)
     nothing = quality_classifier.fit(df.limit(0), df.select("doc_id", "quality").limit(0), allowed)
-    assert quality_classifier.score(df, nothing).count() == 240
+    assert {r.score for r in quality_classifier.score(df, nothing).collect()} == {0.5}
 
 
 def test_mixing_meets_targets(spark):
     df = labelled(spark)
     domains = df.select("doc_id", F.when(F.col("quality") == 0, "poor").otherwise("clean").alias("domain"))
-    got = mixing.rates(df.select("doc_id", "text"), domains, {"clean": 0.9, "poor": 0.1}).toPandas()
-    total = got.n_tokens.sum()
-    for d, share in (("clean", 0.9), ("poor", 0.1)):
-        assert (got.n_tokens * got.rate * got[f"p_{d}"]).sum() == pytest.approx(share * total, rel=1e-4)
-    assert (got.rate >= 0).all()
-    # brute force: the same descent in NumPy, with clipping at work
-    import pandas as pd
-
-    soft = pd.DataFrame({"n": [10.0, 20, 30, 40], "p": [[0.9, 0.1], [0.5, 0.5], [0.1, 0.9], [0.3, 0.7]]})
-    frame = spark.createDataFrame([(int(n), p) for n, p in zip(soft.n, soft.p)], "n_tokens long, posterior array<double>")
-    steps, reached = mixing.fit_rates(frame, {"a": 90.0, "b": 15.0}, ["a", "b"])
-    p, n = np.array(soft.p.tolist()), soft.n.to_numpy()
-    inverse, r = np.linalg.inv((p * n[:, None]).T @ p), np.ones(4)
-    for _ in steps:
-        r = np.maximum(0, r - p @ (inverse @ ((n * r) @ p - [90, 15])))
-    assert np.allclose(reached, (n * r) @ p, atol=1e-6) and (r == 0).any()
-    mixed = mixing.mix(docs(spark, edge_rows() + [(4, "one")]), domains.limit(0), {"clean": 1.0})
-    assert mixed.count() == 9 and {"doc_id", "text", "score", "rep", "n_tokens", "rate"} <= set(mixed.columns)
+    got = mixing.rates(df.select("doc_id", "text"), domains, {"clean": 0.9, "poor": 0.1})
+    share = {r.domain: r.share for r in mixing.totals(got, ["clean", "poor"]).collect()}
+    assert share == {"clean": pytest.approx(0.9, rel=1e-5), "poor": pytest.approx(0.1, rel=1e-5)}
+    assert got.where("rate < 0").count() == 0
+    told = got.join(domains, "doc_id").toPandas()
+    assert ((told.p_poor > 0.5) == (told.domain == "poor")).mean() > 0.98
+    # brute force: the same descent in NumPy, with clipping at work, and rates written between steps
+    n, p = np.array([10.0, 20, 30, 40]), np.array([[0.9, 0.1], [0.5, 0.5], [0.1, 0.9], [0.3, 0.7]])
+    frame = spark.createDataFrame([(int(a), b) for a, b in zip(n, p.tolist())], "n_tokens long, posterior array<double>")
+    inverse = np.linalg.inv((p * n[:, None]).T @ p)
+    for fold in (2, 16):
+        steps, reached = mixing.fit_rates(frame, {"a": 90.0, "b": 15.0}, ["a", "b"], mixing.Params(fold=fold))
+        r = np.ones(4)
+        for _ in steps:
+            r = np.maximum(0, r - p @ (inverse @ ((n * r) @ p - [90, 15])))
+        assert np.allclose(reached, (n * r) @ p, atol=1e-6) and (r == 0).any()
+        for _ in range(2000):
+            r = np.maximum(0, r - p @ (inverse @ ((n * r) @ p - [90, 15])))
+        assert np.allclose(reached, (n * r) @ p, rtol=1e-4)
+    with pytest.warns(UserWarning, match="no rates reach"):
+        mixing.fit_rates(frame, {"a": 100.0}, ["a", "b"])
+    with pytest.raises(RuntimeError):
+        mixing.fit_rates(frame, {"a": 90.0, "b": 15.0}, ["a", "b"], mixing.Params(iterations=1))
+    mixed = mixing.mix(docs(spark, edge_rows() + [(4, "one"), (8, "long " * 200_000)]), domains.limit(0), {"clean": 1.0})
+    assert mixed.count() == 10 and {"doc_id", "text", "score", "rep", "n_tokens", "rate"} <= set(mixed.columns)
+    assert len({r.rate for r in mixed.where("doc_id = 4").collect()}) == 1 and mixed.where("rate is null").count() == 0
+    assert mixing.rates(df.limit(0), domains, {"clean": 1.0}).count() == 0
     with pytest.raises(ValueError):
         mixing.fit_rates(frame, {"a": -1.0}, ["a", "b"])
 
 
+def test_trigrams():
+    slots, value = mixing.trigrams("abcabcabd")
+    assert len(slots) == 4 and (value**2).sum() == pytest.approx(1) and sorted((value**2 * 7).round().tolist()) == [1, 2, 2, 2]
+    assert len(mixing.trigrams("ab")[0]) == len(mixing.trigrams(None)[0]) == 0
+
+
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
 

@@ -62,7 +62,20 @@ def test_stages(spark, corpus):
             good = {i for i in before if i < 200 and i % 5 != 4}
             assert len(good - after) <= 2 and len(after & {i for i in before if i < 200 and i % 5 == 4}) <= 2
         elif name == "language ID":
-            assert after == {i for i in before if texts[i][1] and any(c.isalpha() for c in texts[i][1])}
+            from helixframe.llm import language_id
+
+            # the same learned rows, every text parsed by search
+            model = language_id.fit(spark.createDataFrame([texts[i][:3] for i in sorted(before)], "doc_id long, text string, lang string"), cp.crc_bucket(cp.F.col("doc_id"), 4) != 2)
+            own = {i: t for i in before if (t := language_id.letters(texts[i][1]))}
+            ratio = {i: model.ratios([t])[0] for i, t in own.items()}
+            expected = {i: model.rates[r.argmin()] * len(own[i]) for i, r in ratio.items()}
+            assert after == {i for i, r in ratio.items() if 1 / np.exp(4 * (r.min() - r)).sum() >= 0.5 and r.min() <= 1.5 + 3 / expected[i] ** 0.5}
+            # no learned language explains these, whatever the stage before thinks of them
+            rng = random.Random(3)
+            odd = [(300 + i, " ".join("".join(rng.choice("αβγδεζηθ") for _ in range(5)) for _ in range(200)), "en", "s0", 9) for i in range(4)]
+            with_odd = spark.read.parquet(f"{d}/documents.parquet").unionByName(spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long"))
+            stayed = {r.doc_id for r in cp.language(spark, with_odd, d).collect()}
+            assert {i for i in range(200) if i % 25 != 8} <= stayed and not stayed & {200, 201, 202, 300, 301, 302, 303}
         elif name == "n-gram Jaccard join":
             want = brute_jaccard([(i, texts[i][1]) for i in sorted(before)])
             assert after == {i for i, (_, c) in want.items() if c == i} and after < before
@@ -79,7 +92,7 @@ def test_stages(spark, corpus):
     want, inverse, r = n.sum() * share / share.sum(), np.linalg.pinv((p * n[:, None]).T @ p, rcond=1e-9), np.ones(len(n))
     for _ in range(3000):
         r = np.maximum(0, r - p @ (inverse @ ((n * r) @ p - want)))
-    assert (n * out.rate.to_numpy()) @ p == pytest.approx((n * r) @ p, rel=1e-2) and (out.rate >= 0).all()
+    assert (n * out.rate.to_numpy()) @ p == pytest.approx((n * r) @ p, rel=1e-3) and (out.rate >= 0).all()
     assert kept["mixing sources to target weights"] == kept["benchmark decontamination"]
     assert {r.doc_id for r in cp.run(spark, d).collect()} == set(out.doc_id)
 
