@@ -6,8 +6,9 @@ whose lines differ: a copy tells nothing), the lines of both are aligned by long
 
 Differencing alone errs where menus change from page to page and where articles quote the same passage, so the
 markup decides first: scripts, styles, forms, menus, headers, footers, asides, adverts, notices and reader
-comments never count; lines inside an article (or main) element are kept even if shared, and where a page has
-such an element nothing outside it counts. Shared lines are deleted from pages without one.
+comments never count; prose (paragraphs, headings, items, quotes, cells) inside an article (or main) element is kept even if
+shared, and where a page has such an element nothing outside it counts. Shared lines are deleted where no prose element holds
+them: all of a page without an article, and an article's bare lines.
 
 Defined results: null, empty or text-free html gives an empty text; a null or malformed url has an empty host and
 is paired within that; repeated pages are one row each; broken or cut-off markup is closed at the end of the page; a page
@@ -25,15 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, short_batches
+from .common import Scratch, map_rows, n_partitions, short_batches
 
-BOILERPLATE, ARTICLE, OPEN = 0, 1, 2
+BOILERPLATE, ARTICLE, OPEN, BARE = 0, 1, 2, 3
 
 _TOKEN = re.compile(r"<!--|<[!?][^>]*+>?|</?([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</?([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)>?")
 _RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "object", "title", "svg", "math"}
 _RAW_END = {t: re.compile(rf"</{t}\s*+[^>]*+>", re.I) for t in _RAW}
 _DROPPED = {"head", "nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "label", "fieldset"}
 _INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+_PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dd", "dt", "blockquote", "pre", "td", "th", "caption", "figcaption"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _WORDS = re.compile(r"[a-z]+")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|style)\s*=\s*(\"[^\"]*+\"|'[^']*+'|[^\s>]+)", re.I)
@@ -43,7 +45,7 @@ _MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcru
 
 
 def lines(page: str | None) -> tuple[list[str], list[int]]:
-    """Text lines of a page in order, each with its standing: boilerplate, article, or open."""
+    """Text lines of a page in order, each with its standing: boilerplate, article's prose, open, or bare in an article."""
     out: list[str] = []
     kinds: list[int] = []
     if not page:
@@ -59,7 +61,7 @@ def lines(page: str | None) -> tuple[list[str], list[int]]:
             text = " ".join(text.split())
             if text:
                 out.append(text)
-                kinds.append(BOILERPLATE if drops else ARTICLE if articles else OPEN)
+                kinds.append(BOILERPLATE if drops else OPEN if not articles else ARTICLE if any(e[0] in _PROSE for e in stack) else BARE)
 
     at, end = 0, len(page)
     search = _TOKEN.search
@@ -190,10 +192,32 @@ def _lcs(a: list[str], b: list[str]) -> list[int]:
     return out[::-1]
 
 
+def _beyond(met: DataFrame, parts: DataFrame) -> DataFrame:
+    """(part, host, before1, before2, after1, after2) of each range partition: the nearest page outside it of the host at its edge,
+    and the nearest there whose lines differ from that page's. One row a partition is folded on the driver."""
+    edges = {r.part: r for r in parts.collect()}
+    order = sorted(edges)
+    rows: dict[int, dict[str, tuple | None]] = {p: {} for p in order}
+    for name, way, own, other in (("before", order, "last", "first"), ("after", order[::-1], "first", "last")):
+        known: tuple | None = None  # host, nearest, nearest that differs from it
+        for at, p in enumerate(way):
+            if known is not None:
+                rows[p][name] = known
+            end, start = edges[p][own], edges[p][other]
+            nearest, differs = end.side, end[name]
+            if differs is None and known is not None and known[0] == end.host and start.host == end.host:
+                differs = known[1] if known[1].digest[:16] != nearest.digest[:16] else known[2]
+            known = (end.host, nearest, differs)
+    side = "struct<digest: binary, path: string>"
+    out = [(p, *(rows[p].get("before") or (None,) * 3), *(rows[p].get("after") or (None,) * 3)) for p in order]
+    return met.sparkSession.createDataFrame(out, f"part int, before_host string, before1 {side}, before2 {side}, after_host string, after1 {side}, after2 {side}")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_lines, n_shared) of every row of pages(page_id, url, html).
 
-    Neighbours are found on paths and digests of lines alone, sorted by host; then each distinct list of lines is
+    Neighbours are found on paths and digests of lines alone, sorted by host and path over range partitions, so that a large host
+    is shared among tasks; what lies beyond a partition's edges is handed to it. Then each distinct list of lines is
     joined in by digest, as a page's own and as its neighbour's. Lines travel compressed. Memory: two pages at a time.
     """
     spark = pages.sparkSession
@@ -217,22 +241,29 @@ def extract(pages: DataFrame) -> DataFrame:
         return lambda: work
 
     # pages are cut once for their digests and once for their lines: keeping the lines in between would take more disk
+    scratch = Scratch(spark, "html")
     placed = pages.select("page_id", "url", host.alias("host"), path.alias("path"), "html")
     schema = "page_id long, url string, host string, path string, digest binary, packed binary"
-    found, packed_lines = map_rows(placed, cut(False), schema), map_rows(placed, cut(True), schema)
-    of_lines = F.substring("digest", 1, 16)
+    packed_lines = map_rows(placed, cut(True), schema)
+    found = scratch.save(map_rows(placed, cut(False), schema).drop("packed"))
     order = ("path", "page_id", "digest", "url")
+    met = scratch.save(found.repartitionByRange(n_partitions(spark), "host", *order).withColumn("part", F.spark_partition_id()))
+    side = F.struct("digest", "path")
 
-    def nearest(*by):
-        w = Window.partitionBy("host").orderBy(*by)
-        side = F.struct("digest", "path")
-        changed = F.lag(of_lines).over(w) != of_lines
-        return changed, F.lag(side).over(w), w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    def of_lines(c):
+        return F.substring(c, 1, 16)
 
-    met = found.select("page_id", "url", "host", "path", "digest")
     for name, by in (("before", order), ("after", tuple(F.col(c).desc() for c in order))):
-        changed, side, running = nearest(*by)
-        met = met.withColumn("step", F.when(changed, side)).withColumn(name, F.last("step", ignorenulls=True).over(running)).drop("step")
+        w = Window.partitionBy("part", "host").orderBy(*by)
+        changed = F.when(F.lag(of_lines("digest")).over(w) != of_lines("digest"), F.lag(side).over(w))
+        met = met.withColumn("step", changed).withColumn(name, F.last("step", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("step")
+    met = scratch.save(met)
+    place, row = F.struct("host", *order), F.struct("host", side.alias("side"), "before", "after")
+    beyond = _beyond(met, met.groupBy("part").agg(F.min_by(row, place).alias("first"), F.max_by(row, place).alias("last")))
+    met = met.join(F.broadcast(beyond), "part")  # a row a partition
+    for name in ("before", "after"):
+        outside = F.when(of_lines(F.col(f"{name}1").digest) != of_lines("digest"), F.col(f"{name}1")).otherwise(F.col(f"{name}2"))
+        met = met.withColumn(name, F.coalesce(name, F.when(F.col(f"{name}_host") == F.col("host"), outside)))
 
     def common(x: str):
         same = F.zip_with(F.split("path", "/"), F.split(F.col(x).path, "/"), lambda a, b: a.eqNullSafe(b))
@@ -254,10 +285,8 @@ def extract(pages: DataFrame) -> DataFrame:
             for packed, other in zip(batch.column("packed").to_pylist(), batch.column("other").to_pylist()):
                 kinds, now = unpack(packed)
                 shared = shared_lines(now, unpack(other)[1]) if other is not None else set()
-                if ARTICLE in kinds:
-                    kept = [t for t, k in zip(now, kinds) if k == ARTICLE]
-                else:
-                    kept = [t for i, (t, k) in enumerate(zip(now, kinds)) if k == OPEN and i not in shared]
+                counted = BARE if ARTICLE in kinds or BARE in kinds else OPEN
+                kept = [t for i, (t, k) in enumerate(zip(now, kinds)) if k == ARTICLE or k == counted and i not in shared]
                 texts.append(" ".join(kept))
                 n_lines.append(len(kinds))
                 n_shared.append(len(shared))
