@@ -134,7 +134,7 @@ FROM w LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)""",
 WITH e AS (SELECT list, kind, key, action, DATE '2024-01-01' + CAST(d AS INTEGER) AS since FROM (VALUES {_ENTRY_ROWS}) t(list, kind, key, action, d)),
 v AS (SELECT * FROM (SELECT *, lead(since) OVER (PARTITION BY list, kind, key ORDER BY since) AS until FROM e) WHERE action = 'add'),
 c AS (SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 37) % 366 AS INTEGER) AS t,
-  lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)) AS host, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)) || '/' AS path FROM pages),
+  lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)) AS host, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) || '/' AS path FROM pages),
 h AS (SELECT page_id, count(*) AS n_entries, string_agg(DISTINCT list, ',' ORDER BY list) AS lists, arg_min(list || ':' || key, (CASE kind WHEN 'host' THEN 1000 ELSE 0 END) - length(key) + (CASE list WHEN 'pharma' THEN -0.5 ELSE 0 END)) AS first_entry
   FROM c JOIN v ON since <= t AND (until IS NULL OR t < until) AND CASE kind WHEN 'host' THEN host = key OR ends_with(host, '.' || key) ELSE starts_with(host || path, key || '/') END GROUP BY page_id)
 SELECT c.page_id, url, host, coalesce(n_entries, 0) AS n_entries, coalesce(lists, '') AS lists, coalesce(first_entry, '') AS first_entry, n_entries IS NOT NULL AS blocked FROM c LEFT JOIN h USING (page_id)""",

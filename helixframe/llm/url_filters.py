@@ -5,6 +5,9 @@ List entries (list, kind, key, action, since) are dated: `add` and `remove` even
 validity interval [since, until); an as-of join evaluates every capture against the entries
 active at its fetch time.
 
+Hosts are compared in lower case without a final dot, paths as they are written (their case counts), without empty segments; keys are
+brought to that form before their events are put in order.
+
 Defined results: a null or malformed url, or a null fetch time, matches nothing and is kept;
 repeated captures are evaluated each; of events of one key at one time the last by action name counts (`remove`
 after `add`); unknown actions and entries with a null field are ignored; an empty list matches nothing; other columns of captures are kept,
@@ -28,20 +31,31 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
 
 
+def _path_segments(path: Column) -> Column:
+    return F.filter(F.split(path, "/", -1), lambda s: s != "")
+
+
+def key_of(kind: Column, key: Column) -> Column:
+    """An entry's key in the form that `keys_of` gives those of a capture."""
+    host = F.rtrim(F.lower(F.substring_index(key, "/", 1)), F.lit("."))
+    segments = _path_segments(F.regexp_replace(key, "^[^/]*", ""))
+    return F.when(kind == "host", F.rtrim(F.lower(key), F.lit("."))).otherwise(F.array_join(F.concat(F.array(host), segments), "/"))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """(list, kind, key, since, until): until is null while the entry is active; intervals of a key are disjoint."""
-    e = entries.where(F.col("action").isin("add", "remove")).dropna(subset=["list", "kind", "key", "since"])
+    e = entries.where(F.col("action").isin("add", "remove")).dropna(subset=["list", "kind", "key", "since"]).withColumn("key", key_of(F.col("kind"), F.col("key")))
     # of events at one time the last action counts
     e = e.groupBy("list", "kind", "key", "since").agg(F.max("action").alias("action"))
     w = Window.partitionBy("list", "kind", "key").orderBy("since")
-    return e.withColumn("until", F.lead("since").over(w)).where("action = 'add'").select("list", "kind", F.lower("key").alias("key"), "since", "until")
+    return e.withColumn("until", F.lead("since").over(w)).where("action = 'add'").select("list", "kind", "key", "since", "until")
 
 
 def keys_of(host: Column, path: Column) -> Column:
     """Every key that could list a capture: the host's suffixes, and the host with leading path segments."""
     labels = F.split(host, r"\.", -1)
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.struct(F.lit("host").alias("kind"), F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("key")))
-    segments = F.filter(F.split(F.lower(path), "/", -1), lambda s: s != "")
+    segments = _path_segments(path)
     leading = F.transform(
         F.filter(F.sequence(F.lit(0), F.size(segments)), lambda i: i > 0),
         lambda i: F.struct(F.lit("prefix").alias("kind"), F.concat(host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/")).alias("key")),
