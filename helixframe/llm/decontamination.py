@@ -13,6 +13,7 @@ id or text are ignored; an empty benchmark hits nothing. Whole texts are scanned
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, map_rows, short_batches
+from .common import Scratch, carried, map_rows, short_batches
 
 #: Bytes of words: digits, letters and everything beyond ASCII; A-Z become a-z, all else a blank.
 _NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -102,18 +103,18 @@ def merged(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
-def _blocks(benchmark: DataFrame, chars: int) -> list[list[tuple[int, str]]]:
-    """Items in blocks of bounded text; they come to the driver one partition at a time."""
+def _blocks(benchmark: DataFrame, chars: int) -> Iterator[list[tuple[int, str]]]:
+    """Items in blocks of bounded text; the driver holds one block and one partition of the benchmark at a time."""
     rows = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text")
-    blocks: list[list[tuple[int, str]]] = [[]]
+    block: list[tuple[int, str]] = []
     size = 0
     for r in rows.toLocalIterator():
-        if blocks[-1] and size + len(r.text) > chars:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((r.item_id, r.text))
+        if block and size + len(r.text) > chars:
+            yield block
+            block, size = [], 0
+        block.append((r.item_id, r.text))
         size += len(r.text)
-    return blocks
+    yield block
 
 
 _MADE = ("n_words", "n_hit", "span_starts", "span_ends", "item_ids")
@@ -122,8 +123,8 @@ _MADE = ("n_words", "n_hit", "span_starts", "span_ends", "item_ids")
 def scan(docs: DataFrame, benchmark: DataFrame, params: Params = Params(), carry: bool = False) -> DataFrame:
     """(doc_id, text, n_words, n_hit, span_starts, span_ends, item_ids) of every row of docs(doc_id, text).
 
-    One map a block of the benchmark; no shuffle. With several blocks a row carries its
-    spans and items from each scan to the next, so nothing is joined back.
+    One map a block of the benchmark; no shuffle. With several blocks a row carries its spans and items from each scan to the next,
+    so nothing is joined back; each scan but the last is written, so that workers hold one block's windows at a time.
     """
     spark = docs.sparkSession
     short_batches(spark)
@@ -131,8 +132,15 @@ def scan(docs: DataFrame, benchmark: DataFrame, params: Params = Params(), carry
     keep, kept_schema = carried(out, _MADE)
     out = out.select(*keep)
     schema = f"{kept_schema}, n_words long, span_starts array<int>, span_ends array<int>, item_ids array<long>"
-    for block in _blocks(benchmark, params.block_chars):
-        shared = spark.sparkContext.broadcast((block, params.window))
+    scratch, written, last = Scratch(spark, "windows"), None, None
+    for k, block in enumerate(_blocks(benchmark, params.block_chars)):
+        if k:
+            written, before = scratch.save(out), written
+            last.unpersist()
+            if before is not None:
+                scratch.drop(before)
+            out = written
+        last = shared = spark.sparkContext.broadcast((block, params.window))
 
         def make(shared=shared):
             find = Windows(*shared.value)
