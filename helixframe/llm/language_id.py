@@ -27,6 +27,8 @@ from .common import carried, map_rows, short_batches
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _DRAWS = 1 << 30
+#: A table of at most so many languages' sizes is broadcast.
+_LANGUAGES = 10_000
 
 
 @dataclass(frozen=True)
@@ -173,7 +175,8 @@ def fit(docs: DataFrame, allowed: Column, params: Params = Params()) -> Model:
     rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(_DRAWS)).alias("h"))
     # the first rows lie below this hash (four times as many as wanted do): no language's rows meet in one task
     sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("rows"))
-    drawn = rows.join(sizes, "lang").where(F.col("h") * F.col("rows") < 4 * wanted * _DRAWS).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    few = sizes.limit(_LANGUAGES + 1).count() <= _LANGUAGES
+    drawn = rows.join(F.broadcast(sizes) if few else sizes, "lang").where(F.col("h") * F.col("rows") < 4 * wanted * _DRAWS).groupBy("lang", "h").agg(F.min("text").alias("text"))
     first = drawn.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("at") <= wanted)
     texts: dict[str, list[bytes]] = {}
     for r in sorted(first.select("lang", "at", "text").collect(), key=lambda r: (r.lang, r["at"])):
