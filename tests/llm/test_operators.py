@@ -200,6 +200,29 @@ def test_url_filters(spark):
     del day
 
 
+def test_url_filter_keys_are_brought_to_one_form(spark):
+    events = [("a", "host", "Bad.org", "add", 1), ("a", "host", "bad.org.", "remove", 5), ("p", "prefix", "OK.com./X//y/", "add", 1), ("p", "prefix", "ok.com/X/y", "remove", 9), ("q", "prefix", "ok.com/x", "add", 1), ("r", "prefix", "solo.net", "add", 1)]
+    frame = spark.createDataFrame(events, "list string, kind string, key string, action string, d int").withColumn("since", F.timestamp_seconds(F.col("d") * 86400))
+    rows = [("http://www.BAD.org./", 2, "a"), ("http://bad.org", 6, ""), ("http://ok.com/X/y/z", 3, "p"), ("http://ok.com/x/y", 3, "q"), ("http://ok.com/X//y?a=/x", 3, "p"), ("http://ok.com/X/y", 9, ""), ("http://ok.com/" + "x/" * 500, 2, "q")]
+    captures = spark.createDataFrame(rows, "url string, d int, want string").withColumn("fetched_at", F.timestamp_seconds(F.col("d") * 86400))
+    assert [(r.url, r.lists) for r in url_filters.evaluate(captures, frame).where("lists <> want").collect()] == []
+    # whole operator against loops
+    rng, day = random.Random(3), 86400
+    events = [(rng.choice("ab"), "host", rng.choice(["x.org", "Y.x.org", "z.net"]), rng.choice(["add", "remove"]), rng.randrange(20)) for _ in range(60)]
+    rows = [(i, f"http://{rng.choice(['', 'y.', 'Q.y.'])}{rng.choice(['x.org', 'z.net'])}/p", rng.randrange(20)) for i in range(80)]
+    frame = spark.createDataFrame(events, "list string, kind string, key string, action string, d int").withColumn("since", F.timestamp_seconds(F.col("d") * day))
+    captures = spark.createDataFrame(rows, "page_id int, url string, d int").withColumn("fetched_at", F.timestamp_seconds(F.col("d") * day))
+    got = {r.page_id: r.lists for r in url_filters.evaluate(captures, frame).collect()}
+    for i, url, t in rows:
+        host, on = url.split("/")[2].lower(), set()
+        for name in "ab":
+            for key in {e[2].lower() for e in events}:
+                past = [(d, action) for x, _, k, action, d in events if x == name and k.lower() == key and d <= t]
+                if past and max(past)[1] == "add" and (host == key or host.endswith("." + key)):
+                    on.add(name)
+        assert got[i] == ",".join(sorted(on))
+
+
 def test_lm_scores(spark):
     rng = random.Random(2)
     vocabulary = ["".join(rng.choice("abcdeé") for _ in range(rng.randrange(2, 7))) for _ in range(80)]
@@ -489,3 +512,70 @@ def test_html_copies_and_partitions(spark):
             assert sorted((r.page_id, r.text) for r in got) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def plain_extract(rows):
+    """The operator by plain lists: a host's pages in order, the nearest page on either side whose lines differ, a textbook LCS."""
+    place = lambda u: re.match(r"[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)([^?#]*)", u or "")
+    cut = {}
+    for k, (i, u, h) in enumerate(rows):
+        m = place(u)
+        texts, kinds = html_extraction.lines(h)
+        raw = "\n".join(texts).encode()
+        digest = hashlib.sha256(raw).digest()[:16] + hashlib.sha256(bytes(kinds)).digest()[:8]
+        cut[k] = (m[1].lower() if m else "", (m[2] if m else "", -1 if i is None else i, digest, u or ""), texts, kinds)
+    out = []
+    for k, (host, at, texts, kinds) in cut.items():
+        common = lambda o: next((n for n, (a, b) in enumerate(zip(at[0].split("/"), o[1][0].split("/"))) if a != b), max(len(at[0].split("/")), len(o[1][0].split("/"))) if o[1][0] == at[0] else min(len(at[0].split("/")), len(o[1][0].split("/"))))
+        others = [o for j, o in cut.items() if o[0] == host and o[2] != texts]
+        before = max((o for o in others if o[1] < at), key=lambda o: o[1], default=None)
+        after = min((o for o in others if o[1] > at), key=lambda o: o[1], default=None)
+        near = after if before is None or after is not None and common(after) > common(before) else before
+        shared = set()
+        if near:
+            a, b = texts, near[2]
+            size = np.zeros((len(a) + 1, len(b) + 1), dtype=int)
+            for i in range(len(a)):
+                for j in range(len(b)):
+                    size[i + 1, j + 1] = size[i, j] + 1 if a[i] == b[j] else max(size[i, j + 1], size[i + 1, j])
+            i, j = len(a), len(b)
+            while i and j:
+                if a[i - 1] == b[j - 1]:
+                    i, j = i - 1, j - 1
+                    shared.add(i)
+                elif size[i - 1, j] >= size[i, j - 1]:
+                    i -= 1
+                else:
+                    j -= 1
+        open_ = 3 if {1, 3} & set(kinds) else 2
+        out.append((str(rows[k][0]), " ".join(t for i, (t, c) in enumerate(zip(texts, kinds)) if c == 1 or c == open_ and i not in shared)))
+    return sorted(out)
+
+
+def test_html_against_plain_lists(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(90):
+        menu = ["Home", "News", f"Part {i % 3}"]
+        body = [f"<div>{rng.choice(['alpha', 'beta', 'gamma'])} {j} {rng.choice([0, i])}</div>" for j in range(rng.randrange(0, 4))]
+        kind = i % 3
+        if kind == 0:
+            page = "".join(f"<div>{m}</div>" for m in menu) + "".join(body)
+        elif kind == 1:
+            page = f"<nav>x</nav><div>{menu[0]}</div><article><div>Share this</div><p>quoted by all</p>{''.join(body)}</article>"
+        else:
+            page = "<div>same</div><div>lines</div>"
+        host = rng.choice(["hot.org", "hot.org", "hot.org", "B.com", "c.net"])
+        rows.append((i if i % 17 else None, rng.choice([f"http://{host}/a/{rng.randrange(6)}/{i % 4}", f"https://{host}/b?x={i}"]) if i % 13 else None, f"<body>{page}</body>"))
+    rows += [(200, "http://big/1", "<p>" + "word " * 100_000 + "</p>"), (201, "http://big/2", None), (202, "not a url", "")]
+    want = plain_extract(rows)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (1, 4, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit("old"), "host": F.lit("old"), "part": F.lit(1)}).repartition(n)
+            got = html_extraction.extract(frame).collect()
+            assert sorted((str(r.page_id), r.text) for r in got) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert html_extraction.extract(frame.limit(0)).count() == 0
