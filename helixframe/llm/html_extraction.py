@@ -137,7 +137,12 @@ def lines(page: str | None) -> tuple[list[str], list[int]]:
     return out, kinds
 
 
-def shared_lines(a: list[str], b: list[str]) -> set[int]:
+def line_hash(line: bytes) -> bytes:
+    """Lines are compared by 64-bit hashes."""
+    return hashlib.blake2b(line, digest_size=8).digest()
+
+
+def shared_lines(a: list, b: list) -> set[int]:
     """Positions of a that a longest common subsequence of a and b aligns (bit-parallel rows, halved if large)."""
     lo = 0
     while lo < len(a) and lo < len(b) and a[lo] == b[lo]:
@@ -217,8 +222,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_lines, n_shared) of every row of pages(page_id, url, html).
 
     Neighbours are found on paths and digests of lines alone, sorted by host and path over range partitions, so that a large host
-    is shared among tasks; what lies beyond a partition's edges is handed to it. Then each distinct list of lines is
-    joined in by digest, as a page's own and as its neighbour's. Lines travel compressed. Memory: two pages at a time.
+    is shared among tasks; what lies beyond a partition's edges is handed to it. Then each distinct list of lines is joined in by
+    digest: a page's own as text, compressed and without its boilerplate, its neighbour's as hashes. Memory: a page at a time.
     """
     spark = pages.sparkSession
     short_batches(spark, 200)
@@ -228,27 +233,29 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def cut(pack: bool):
         def work(batch: pa.RecordBatch):
-            packed, digests = [], []
+            packed, digests, hashes = [], [], []
             for page in batch.column("html").to_pylist():
                 texts, kinds = lines(page)
-                body = "\n".join(texts).encode("utf-8", "surrogatepass")
-                packed.append(zlib.compress("".join(map(str, kinds)).encode() + b"\n" + body, 6) if pack else None)
+                raw = [t.encode("utf-8", "surrogatepass") for t in texts]
                 # whether lines differ is told by `of_lines`; the pages of one `digest` have the same standings too
-                of_lines = hashlib.sha256(body).digest()[:16]
+                of_lines = hashlib.sha256(b"\n".join(raw)).digest()[:16]
                 digests.append(of_lines + hashlib.sha256(bytes(kinds)).digest()[:8])
-            yield {c: batch.column(c) for c in ("page_id", "url", "host", "path")} | {"digest": digests, "packed": packed}
+                hashes.append(b"".join(line_hash(r) for r in raw))
+                body = b"\n".join(r for r, k in zip(raw, kinds) if k != BOILERPLATE)
+                packed.append(zlib.compress("".join(map(str, kinds)).encode() + b"\n" + body, 6) if pack else None)
+            yield {c: batch.column(c) for c in ("page_id", "url", "host", "path")} | {"digest": digests, "hashes": hashes, "packed": packed}
 
         return lambda: work
 
-    # pages are cut once for their digests and once for their lines: keeping the lines in between would take more disk
+    # pages are cut once for the digests of their lines and once for the lines: keeping the lines in between would take more disk
     scratch = Scratch(spark, "html")
     placed = pages.select("page_id", "url", host.alias("host"), path.alias("path"), "html")
-    schema = "page_id long, url string, host string, path string, digest binary, packed binary"
+    schema = "page_id long, url string, host string, path string, digest binary, hashes binary, packed binary"
     packed_lines = map_rows(placed, cut(True), schema)
     found = scratch.save(map_rows(placed, cut(False), schema).drop("packed"))
     order = ("path", "page_id", "digest", "url")
-    met = scratch.save(found.repartitionByRange(n_partitions(spark), "host", *order).withColumn("part", F.spark_partition_id()))
-    side = F.struct("digest", "path")
+    ranged = scratch.save(found.drop("hashes").repartitionByRange(n_partitions(spark), "host", *order).withColumn("part", F.spark_partition_id()))
+    side, met = F.struct("digest", "path"), ranged
 
     def of_lines(c):
         return F.substring(c, 1, 16)
@@ -258,6 +265,7 @@ def extract(pages: DataFrame) -> DataFrame:
         changed = F.when(F.lag(of_lines("digest")).over(w) != of_lines("digest"), F.lag(side).over(w))
         met = met.withColumn("step", changed).withColumn(name, F.last("step", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("step")
     met = scratch.save(met)
+    scratch.drop(ranged)
     place, row = F.struct("host", *order), F.struct("host", side.alias("side"), "before", "after")
     beyond = _beyond(met, met.groupBy("part").agg(F.min_by(row, place).alias("first"), F.max_by(row, place).alias("last")))
     met = met.join(F.broadcast(beyond), "part")  # a row a partition
@@ -271,23 +279,22 @@ def extract(pages: DataFrame) -> DataFrame:
         return F.when(F.col(x).isNull(), F.lit(-1)).when(at > 0, at - 1).otherwise(F.size(same))
 
     near = F.when(common("after") > common("before"), F.col("after").digest).otherwise(F.col("before").digest)
-    contents = packed_lines.groupBy("digest").agg(F.first("packed").alias("packed"))
-    own = met.select("page_id", "url", "digest", near.alias("near")).join(contents, "digest")
-    both = own.join(contents.select(F.col("digest").alias("near"), F.col("packed").alias("other")), "near", "left").select("page_id", "url", "packed", "other")
-
-    def unpack(packed: bytes) -> tuple[list[int], list[str]]:
-        kinds, _, body = zlib.decompress(packed).decode("utf-8", "surrogatepass").partition("\n")
-        return list(map(int, kinds)), body.split("\n") if kinds else []
+    contents = packed_lines.groupBy("digest").agg(F.first("packed").alias("packed"), F.first("hashes").alias("hashes"))
+    hashes = found.groupBy(F.col("digest").alias("near")).agg(F.first("hashes").alias("other"))
+    asked = met.select("page_id", "url", "digest", near.alias("near")).join(hashes, "near", "left")
+    both = asked.join(contents, "digest").select("page_id", "url", "packed", "hashes", "other")
 
     def pair():
         def work(batch: pa.RecordBatch):
             texts, n_lines, n_shared = [], [], []
-            for packed, other in zip(batch.column("packed").to_pylist(), batch.column("other").to_pylist()):
-                kinds, now = unpack(packed)
-                shared = shared_lines(now, unpack(other)[1]) if other is not None else set()
+            for packed, own, other in zip(*(batch.column(c).to_pylist() for c in ("packed", "hashes", "other"))):
+                kinds, _, body = zlib.decompress(packed).partition(b"\n")
+                kinds = [k - 48 for k in kinds]
+                left = iter(body.decode("utf-8", "surrogatepass").split("\n"))
+                now = [None if k == BOILERPLATE else next(left) for k in kinds]
+                shared = shared_lines(*([h[i : i + 8] for i in range(0, len(h), 8)] for h in (own, other))) if other is not None else set()
                 counted = BARE if ARTICLE in kinds or BARE in kinds else OPEN
-                kept = [t for i, (t, k) in enumerate(zip(now, kinds)) if k == ARTICLE or k == counted and i not in shared]
-                texts.append(" ".join(kept))
+                texts.append(" ".join(t for i, (t, k) in enumerate(zip(now, kinds)) if k == ARTICLE or k == counted and i not in shared))
                 n_lines.append(len(kinds))
                 n_shared.append(len(shared))
             yield {"page_id": batch.column("page_id"), "url": batch.column("url"), "text": texts, "n_lines": n_lines, "n_shared": n_shared}
