@@ -3,13 +3,15 @@
 Vectors of one label (and one length) are compared by cosine in double precision:
 
 1. Equal vectors collapse into classes.
-2. Centroids, fitted on a bounded sample a label, cut each label into shards; every class goes to its nearest few, so shards overlap.
+2. A label is a shard. A shard over the cap is cut by centroids, fitted on a bounded sample of it by an executor; every class goes to
+   its nearest few, so shards overlap. Shards that are still over the cap are cut again, so that they stay small however many
+   vectors a label has.
 3. Each shard builds a graph: nearest candidates, robust-pruned. The adjacency lists of a
    class from all its shards are united, with their reverse edges.
 4. In each shard, every class searches the united graph greedily from the medoid, and from the best
    found (and its own node) the search expands over everything in range. What it finds is verified at the threshold.
    A pair that several shards hold is counted in the lowest of them only, so counts add up and no pairs are emitted.
-5. Shards over the size cap skip the graph and are compared exactly, block by block.
+5. A shard that cutting does not make smaller (its vectors are all alike) is compared exactly, block by block.
 
 Result: (vec_id, n_links, component_id, kept). Vectors that are null, zero, of length 0, or hold null or non-finite
 parts, and rows with a null label, link with nothing; rows with a null id are returned with 0 links and a null component;
@@ -33,11 +35,14 @@ from .common import Scratch, components, map_rows, n_partitions
 class Params:
     cosine: float = 0.98
     shard_target: int = 400  # classes a centroid stands for
-    max_centroids: int = 256  # of one label
-    sample_rows: int = 4_000  # of one label, to fit its centroids
-    overlap: int = 3  # shards of a class
-    shard_cap: int = 2_000  # larger shards are compared exactly in blocks
+    fan: int = 256  # parts that a shard is cut into at once, at most
+    sample_rows: int = 4_000  # of one shard, to fit its centroids
+    overlap: int = 3  # parts that a class goes to when a label is cut
+    overlap_below: int = 2  # and when a part is cut again
+    shard_cap: int = 2_000  # larger shards are cut
+    stuck: float = 0.8  # a part that holds more of its shard is not cut again
     block: int = 1_000
+    broadcast_bytes: int = 32_000_000  # centroids that are broadcast; more are dealt out with the vectors
     candidates: int = 48
     degree: int = 24
     alpha: float = 1.2
@@ -140,12 +145,18 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _counted(found: np.ndarray, shards_a: list, shards_b: list, here: int) -> np.ndarray:
+def _counted(found: np.ndarray, shards_a: list, shards_b: list, here: str) -> np.ndarray:
     """Of a matrix of pairs, those whose lowest common shard is this one."""
-    i, j = np.nonzero(found)
-    keep = [k for k, (a, b) in enumerate(zip(i.tolist(), j.tolist())) if len(shards_a[a]) == 1 or len(shards_b[b]) == 1 or min(set(shards_a[a]) & set(shards_b[b])) == here]
-    out = np.zeros_like(found)
-    out[i[keep], j[keep]] = True
+    at_a: dict[str, list[int]] = {}
+    at_b: dict[str, list[int]] = {}
+    for at, shards in ((at_a, shards_a), (at_b, shards_b)):
+        for i, own in enumerate(shards):
+            for s in own:
+                if s < here:
+                    at.setdefault(s, []).append(i)
+    out = found.copy()
+    for s in at_a.keys() & at_b.keys():
+        out[np.ix_(at_a[s], at_b[s])] = False
     return out
 
 
@@ -174,6 +185,99 @@ def _groups(columns: tuple[str, ...], keys: tuple[str, ...], use):
     return make
 
 
+def _nearest(x: np.ndarray, centroids: np.ndarray, k: int) -> np.ndarray:
+    sim = unit(x) @ centroids.T
+    k = min(k, len(centroids))
+    return np.sort(np.argpartition(-sim, k - 1, axis=1)[:, :k], axis=1)
+
+
+def _parts(shard: str, at: list[int]) -> list[str]:
+    return [f"{shard}/{i:03d}" for i in at]
+
+
+def _cut(placed: DataFrame, big: DataFrame, overlap: int, scratch: Scratch, p: Params) -> DataFrame:
+    """placed(rep, m, x, shards) with each shard in big(shard, size) replaced by those of its parts that a class is nearest to."""
+    spark, parts = placed.sparkSession, n_partitions(placed.sparkSession)
+    big = F.broadcast(big) if big.limit(100_001).count() <= 100_000 else big
+    inside = placed.select("rep", "x", F.explode("shards").alias("shard")).join(big, "shard")
+    draws = 1 << 20
+    sample = inside.where(F.pmod(F.xxhash64("rep"), F.lit(draws)) * F.col("size") < p.sample_rows * draws)
+
+    def fit(key, got):
+        c = fit_centroids(unit(np.array([r[1] for r in got])), max(2, min(p.fan, -(-got[0][2] // p.shard_target))))
+        yield {"shard": [key[0]], "dim": [c.shape[1]], "centroids": [c.tobytes()]}
+
+    ordered = sample.select("shard", "rep", "x", "size").repartition(parts, "shard").sortWithinPartitions("shard", "rep")
+    centroids = scratch.save(map_rows(ordered, _groups(("rep", "x", "size"), ("shard",), fit), "shard string, dim int, centroids binary"))
+    unpacked = lambda raw, dim: np.frombuffer(raw, dtype=np.float64).reshape(-1, dim)
+    if (centroids.agg(F.sum(F.length("centroids"))).first()[0] or 0) <= p.broadcast_bytes:
+        shared = spark.sparkContext.broadcast({r.shard: unpacked(r.centroids, r.dim) for r in centroids.collect()})
+
+        def route():
+            known = shared.value
+
+            def work(batch: pa.RecordBatch):
+                shards, x = batch.column("shards").to_pylist(), batch.column("x").to_pylist()
+                at: dict[str, list[int]] = {}
+                for i, own in enumerate(shards):
+                    for s in own:
+                        if s in known:
+                            at.setdefault(s, []).append(i)
+                for s, rows in at.items():
+                    for i, near in zip(rows, _nearest(np.array([x[i] for i in rows]), known[s], overlap).tolist()):
+                        shards[i] = [t for t in shards[i] if t != s] + _parts(s, near)
+                yield {c: batch.column(c) for c in ("rep", "m", "x")} | {"shards": shards}
+
+            return work
+
+        return map_rows(placed, route, "rep long, m long, x array<double>, shards array<string>")
+
+    # the centroids of a shard go ahead of its vectors, in as many tasks as these fill
+    salts = F.ceil(F.col("size") / 20_000).cast("int")
+    ahead = centroids.join(big, "shard").select("shard", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(None).cast("long").alias("rep"), F.lit(None).cast("array<double>").alias("x"), "dim", "centroids")
+    rows = inside.select("shard", F.pmod(F.xxhash64("rep"), salts).cast("int").alias("salt"), "rep", "x", F.lit(None).cast("int").alias("dim"), F.lit(None).cast("binary").alias("centroids"))
+
+    def deal():
+        state: dict = {}
+
+        def work(batch: pa.RecordBatch):
+            out: tuple[list, list, list] = [], [], []
+            for shard, rep, x, dim, raw in zip(*(batch.column(c).to_pylist() for c in ("shard", "rep", "x", "dim", "centroids"))):
+                if rep is None:
+                    state["centroids"] = unpacked(raw, dim)
+                else:
+                    for o, value in zip(out, (rep, shard, _parts(shard, _nearest(np.array([x]), state["centroids"], overlap)[0].tolist()))):
+                        o.append(value)
+            yield dict(zip(("rep", "shard", "parts"), out))
+
+        return work
+
+    together = ahead.unionByName(rows).repartition(parts, "shard", "salt").sortWithinPartitions("shard", "salt", F.asc_nulls_first("rep"))
+    dealt = map_rows(together, deal, "rep long, shard string, parts array<string>")
+    each = placed.select("rep", "m", "x", F.explode("shards").alias("shard")).join(dealt, ["rep", "shard"], "left")
+    return each.groupBy("rep").agg(F.first("m").alias("m"), F.first("x").alias("x"), F.flatten(F.collect_list(F.coalesce("parts", F.array("shard")))).alias("shards"))
+
+
+def _placed(rows: DataFrame, scratch: Scratch, p: Params) -> tuple[DataFrame, DataFrame]:
+    """rows(g, rep, m, x) in their shards: (rep, m, x, shards), and (shard, size). Shards over the cap are cut until none is, or it does not help."""
+    placed = rows.select("rep", "m", "x", F.array(F.concat_ws(":", F.col("g.dim"), F.hex(F.encode(F.col("g.label").cast("string"), "UTF-8")))).alias("shards"))
+    overlap, before = p.overlap, None
+    while True:
+        sizes = scratch.save(placed.select(F.explode("shards").alias("shard")).groupBy("shard").agg(F.count("*").alias("size")))
+        big = sizes.where(F.col("size") > p.shard_cap)
+        if before is not None:
+            parent = before.select(F.col("shard").alias("parent"), F.col("size").alias("whole"))
+            big = big.withColumn("parent", F.regexp_replace("shard", "/[0-9]+$", "")).join(parent, "parent", "left").where("whole is null or size <= %r * whole" % p.stuck).select("shard", "size")
+            # a shard that has been found stuck stays so
+            big = big.join(before.select("shard"), "shard", "left_anti")
+        if not big.limit(1).count():
+            return placed, sizes
+        placed, last = scratch.save(_cut(placed, big, overlap, scratch, p)), placed if before is not None else None
+        if last is not None:
+            scratch.drop(last)
+        overlap, before = p.overlap_below, sizes if before is None else scratch.save(sizes.unionByName(before.join(sizes, "shard", "left_anti")))
+
+
 def link(vectors: DataFrame, params: Params = Params()) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of vectors(vec_id, embedding, label)."""
     p, spark = params, vectors.sparkSession
@@ -189,49 +293,12 @@ def link(vectors: DataFrame, params: Params = Params()) -> DataFrame:
     keyed = valid.withColumn("h1", F.xxhash64("g", "x")).withColumn("h2", F.xxhash64(F.lit(1), "x", "g"))
     rows = scratch.save(keyed.groupBy("g", "h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m"), F.first("x").alias("x")))
 
-    # centroids: a bounded sample of each label, the number of centroids from its exact count
-    counts = {tuple(r.g): r["n"] for r in rows.groupBy("g").agg(F.count("*").alias("n")).collect()}
-    rate = F.lit(1.0)
-    for g, n in counts.items():
-        if n > p.sample_rows:
-            rate = F.when((F.col("g.label") == g[0]) & (F.col("g.dim") == g[1]), p.sample_rows / n).otherwise(rate)
-    sampled = rows.where(F.pmod("h1", F.lit(1_000_003)) < rate * 1_000_003).select("g", "rep", "x").orderBy("rep").collect()
-    by: dict[tuple, list] = {}
-    for r in sampled:
-        by.setdefault(tuple(r.g), []).append(r.x)
-    centroids, base = {}, 0
-    for g in sorted(counts):
-        sample = unit(np.array(by.get(g) or [[1.0] * g[1]]))
-        c = fit_centroids(sample, max(1, min(p.max_centroids, -(-counts[g] // p.shard_target))))
-        centroids[g] = (base, c)
-        base += len(c)
-    shared = spark.sparkContext.broadcast(centroids)
-
-    def assign():
-        own = shared.value
-
-        def work(batch: pa.RecordBatch):
-            shards = [None] * batch.num_rows
-            groups: dict[tuple, list[int]] = {}
-            for i, g in enumerate(batch.column("g").to_pylist()):
-                groups.setdefault(tuple(g.values()), []).append(i)
-            x = batch.column("x").to_pylist()
-            for g, at in groups.items():
-                first, c = own[g]
-                sim = unit(np.array([x[i] for i in at])) @ c.T
-                k = min(p.overlap, len(c))
-                top = np.argpartition(-sim, k - 1, axis=1)[:, :k] + first
-                for i, t in zip(at, np.sort(top, axis=1).tolist()):
-                    shards[i] = t
-            yield {"rep": batch.column("rep"), "m": batch.column("m"), "x": batch.column("x"), "shards": shards}
-
-        return work
-
-    placed = scratch.save(map_rows(rows.select("g", "rep", "m", "x"), assign, "rep long, m long, x array<double>, shards array<int>"))
+    placed, sizes = _placed(rows, scratch, p)
     in_shard = placed.select(F.explode("shards").alias("shard"), "rep", "m", "x", "shards")
-    sizes = placed.select(F.explode("shards").alias("shard")).groupBy("shard").agg(F.count("*").alias("size"))
-    # at most max_centroids rows a label, so both fit a broadcast
-    in_shard = in_shard.join(F.broadcast(sizes), "shard")
+    # the shards left over the cap are known by name; their number is checked
+    over = sizes.where(F.col("size") > p.shard_cap)
+    over = F.broadcast(over) if over.limit(100_001).count() <= 100_000 else over
+    in_shard = in_shard.join(over, "shard", "left").withColumn("size", F.coalesce("size", F.lit(0)))
     small, large = in_shard.where(F.col("size") <= p.shard_cap), in_shard.where(F.col("size") > p.shard_cap)
 
     def build(_, got):
