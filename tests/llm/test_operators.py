@@ -186,6 +186,34 @@ def test_embeddings_against_brute_force(spark, cap):
     assert embedding_dedup.link(df.limit(0), p).count() == 0
 
 
+def test_embedding_shards_are_cut_until_small(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(500, 12))
+    x = np.concatenate([base, base[:150] + 0.03 * rng.normal(size=(150, 12)), base[0] + 0.02 * rng.normal(size=(80, 12))])
+    rows = [(i, v.tolist(), "a/1" if i % 3 else "a") for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    near = (u @ u.T >= 0.98) & (label[:, None] == label[None, :])
+    np.fill_diagonal(near, False)
+    seen = []
+    for budget in (1 << 20, 0):
+        p = embedding_dedup.Params(shard_cap=40, shard_target=8, fan=8, block=10, broadcast_bytes=budget)
+        scratch = Scratch(spark, "test")
+        v = df.select(F.struct("label", F.size("embedding").alias("dim")).alias("g"), F.col("vec_id").alias("rep"), F.lit(1).cast("long").alias("m"), F.col("embedding").alias("x"))
+        placed, sizes = embedding_dedup._placed(v, scratch, p)
+        size = {r.shard: r["size"] for r in sizes.collect()}
+        # cut more than once; what is left over the cap is a cluster that no cut makes smaller
+        assert max(s.count("/") for s in size) >= 2
+        assert placed.count() == len(x) and sum(len(r.shards) for r in placed.collect()) == sum(size.values())
+        got = {r.vec_id: r for r in embedding_dedup.link(df, p).collect()}
+        found, there = sum(r.n_links for r in got.values()), int(near.sum())
+        assert 0.95 * there <= found <= there
+        assert all(got[i].n_links <= near[i].sum() for i in range(len(x)))
+        seen.append({i: (r.n_links, r.component_id) for i, r in got.items()})
+    assert seen[0] == seen[1]
+
+
 def test_url_filters(spark):
     day = lambda n: F.expr(f"timestamp'2024-01-01' + make_interval(0, 0, 0, {n})")
     entries = spark.createDataFrame([("a", "host", "bad.org", "add", 10), ("a", "host", "bad.org", "remove", 20), ("a", "host", "bad.org", "add", 30), ("b", "prefix", "ok.com/x/y", "add", 0), ("b", "host", None, "add", 0), ("c", "host", "bad.org", "add", 40), ("c", "host", "bad.org", "remove", 40), ("d", "host", "q.net", "purge", 0)], "list string, kind string, key string, action string, d int")
