@@ -47,6 +47,7 @@ class Params:
     degree: int = 24
     alpha: float = 1.2
     beam: int = 24
+    at_once: int = 6  # nodes of the beam expanded together
     slack: float = 0.06  # nodes this far under the threshold are still expanded
 
 
@@ -95,20 +96,21 @@ def range_search(x: np.ndarray, graph: list[np.ndarray], medoid: int, q: int, p:
     query = x[q]
     sim = np.full(len(x), -2.0)
     seen = np.zeros(len(x), dtype=bool)
-    beam = [medoid]
+    beam = np.array([medoid])
     sim[medoid], seen[medoid] = x[medoid] @ query, True
     done = np.zeros(len(x), dtype=bool)
     while True:
-        open_ = [b for b in beam if not done[b]]
-        if not open_:
+        best = beam[~done[beam]][: p.at_once]
+        if not len(best):
             break
-        best = open_[0]
         done[best] = True
-        new = graph[best][~seen[graph[best]]]
+        near = np.concatenate([graph[b] for b in best])
+        new = np.unique(near[~seen[near]])
         if len(new):
             seen[new] = True
             sim[new] = x[new] @ query
-            beam = sorted([*beam, *new.tolist()], key=lambda b: (-sim[b], b))[: p.beam]
+            beam = np.concatenate([beam, new])
+            beam = beam[np.lexsort((beam, -sim[beam]))[: p.beam]]
     least = p.cosine - p.slack
     if not seen[q]:
         seen[q], sim[q] = True, x[q] @ query
