@@ -9,8 +9,9 @@ carried from a text's first decision to its last. The score is the log10 probabi
 
 Counts come from every training text: word counts (for the unigram base), byte pairs (for the trees) and
 context counts, each summed over tasks before they meet. Contexts are counted by 32-bit hash; a predictor's table has
-two slots or more for each context met, so it grows with the input, and is read from a mapped file. A small part of the training texts is first left out of the context counts;
-its first texts, up to `mixer_bytes`, fit the gates' weights. Then that part is counted too.
+two slots or more for each context met, so it grows with the input, and is read from a mapped file. A part of the training texts, one
+in `mixer_fold`, is counted apart: all its texts, whole, fit the gates' weights over tables without them, by Newton steps whose sums
+are taken over the tasks. The tables that score hold the counts of both parts.
 
 Defined results: a null or empty text is the end mark alone (one token); repeated rows score alike; rows with a null id
 are scored and never learned from; with nothing to learn from, all predictions are even. Other columns are ignored.
@@ -41,8 +42,9 @@ _INV = pow(_ODD, -1, 1 << 64)
 @dataclass(frozen=True)
 class Params:
     slot_bits: int = 20  # slots of each predictor's table, at least; it has two for each context met, or more
-    mixer_bytes: int = 400_000  # of text that fits the mixing weights
-    mixer_fold: int = 40  # one of so many training texts is counted after the mixer's fit
+    mixer_fold: int = 40  # one of so many training texts fits the mixing weights, over the counts of the others
+    newton_steps: int = 5  # at most, of either fit; a step under newton_least ends it
+    newton_least: float = 0.02
     rate: float = 0.06
     top_words: int = 150_000  # words looked up from a broadcast table; rarer ones are joined
     chunk_bytes: int = 40_000  # of text counted at once: its arrays stay in a core's cache
@@ -51,6 +53,7 @@ class Params:
 
 CONTEXTS = 3
 INPUTS = CONTEXTS + 1
+_GATES = 4**CONTEXTS
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -368,44 +371,49 @@ def _columns(packed: bytes, n: int) -> list[np.ndarray]:
     return [np.ascontiguousarray(c.T).view("<u4").ravel() for c in raw]
 
 
-_SHARE = "block int, bit int, n long, packed binary"  # keys (their steps) and counts of a block: a predictor's keys with the same upper bits
+#: Keys (their steps) and counts of a block: a predictor's keys with the same upper bits. kind: the bit, and 2 more where texts of the mixer's part met it.
+_SHARE = "block int, kind int, n long, packed binary"
+_KINDS = 4
+_MET = "block int, n long, packed array<binary>"  # all kinds of a block in one row, which no reader splits
 
 
 def _share(train: DataFrame, trees, block_bits: int, p: Params) -> DataFrame:
-    """Every task's context counts by 32-bit key, nothing shared or left out."""
+    """Every task's context counts by 32-bit key, nothing shared or left out. train: (text, aside)."""
 
     def make():
         own = trees.value
-        tally = [[Tally(), Tally()] for _ in range(CONTEXTS)]
-        waiting: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
+        tally = [[Tally() for _ in range(_KINDS)] for _ in range(CONTEXTS)]
+        waiting: list[list[list[np.ndarray]]] = [[] for _ in range(_KINDS)]
 
         def work(batch: pa.RecordBatch):
-            for part in chunks([stream(tokens(t)) for t in batch.column("text").to_pylist()], p.chunk_bytes):
-                _, at, keys, _ = events(part, own, [32] * CONTEXTS)
-                one = np.take(own.bit, at).view(bool)
-                for bit, which in enumerate((~one, one)):
-                    waiting[bit].append([k[which] for k in keys])
-                if sum(len(w[0]) for w in waiting[0]) > 1_000_000:
-                    flush()
-                    if sum(len(t) for pair in tally for t in pair) > 8_000_000:
-                        yield from give()
+            texts, asides = [stream(tokens(t)) for t in batch.column("text").to_pylist()], batch.column("aside").to_pylist()
+            for aside in (False, True):
+                for part in chunks([t for t, x in zip(texts, asides) if x == aside], p.chunk_bytes):
+                    _, at, keys, _ = events(part, own, [32] * CONTEXTS)
+                    one = np.take(own.bit, at).view(bool)
+                    for bit, which in enumerate((~one, one)):
+                        waiting[bit + 2 * aside].append([k[which] for k in keys])
+                    if sum(len(w[0]) for w in waiting[0]) > 1_000_000:
+                        flush()
+                        if sum(len(t) for kinds in tally for t in kinds) > 8_000_000:
+                            yield from give()
 
         def flush():
-            for bit in range(2):
+            for kind in range(_KINDS):
                 for k in range(CONTEXTS):
-                    if waiting[bit]:
-                        tally[k][bit].add(np.concatenate([w[k] for w in waiting[bit]]))
-                waiting[bit].clear()
+                    if waiting[kind]:
+                        tally[k][kind].add(np.concatenate([w[k] for w in waiting[kind]]))
+                waiting[kind].clear()
 
         def give():
             edges = np.arange(1, 1 << block_bits, dtype=np.uint64) << np.uint64(32 - block_bits)
             for k in range(CONTEXTS):
-                for bit in range(2):
-                    keys, counts = tally[k][bit].take()
+                for kind in range(_KINDS):
+                    keys, counts = tally[k][kind].take()
                     cut = [0, *np.searchsorted(keys, edges.astype(np.uint32)).tolist(), len(keys)]
                     for b, (i, j) in enumerate(zip(cut, cut[1:])):
                         if i < j:
-                            yield {"block": [k << block_bits | b], "bit": [bit], "n": [j - i], "packed": [_planes(np.diff(keys[i:j], prepend=np.uint32(0)), counts[i:j])]}
+                            yield {"block": [k << block_bits | b], "kind": [kind], "n": [j - i], "packed": [_planes(np.diff(keys[i:j], prepend=np.uint32(0)), counts[i:j])]}
 
         def end():
             flush()
@@ -414,35 +422,35 @@ def _share(train: DataFrame, trees, block_bits: int, p: Params) -> DataFrame:
         work.end = end
         return work
 
-    return map_rows(train.select("text"), make, _SHARE)
+    return map_rows(train.select("text", "aside"), make, _SHARE)
 
 
 def _meet(shares: DataFrame, block_bits: int) -> DataFrame:
-    """The shares of each block summed: its contexts' keys (`bit` 0 and 1 apart). A task holds one block at a time."""
+    """The shares of each block summed: its contexts' keys, kinds apart. A task holds one block at a time."""
 
     def make():
         now: dict = {"block": None}
-        tally = [Tally(), Tally()]
+        tally = [Tally() for _ in range(_KINDS)]
 
         def finish():
-            for bit in range(2):
-                keys, counts = tally[bit].take()
-                if len(keys):
-                    yield {"block": [now["block"]], "bit": [bit], "n": [len(keys)], "packed": [_planes(np.diff(keys, prepend=np.uint32(0)), counts)]}
+            taken = [t.take() for t in tally]
+            if any(len(keys) for keys, _ in taken):
+                packed = [_planes(np.diff(keys, prepend=np.uint32(0)), counts) if len(keys) else None for keys, counts in taken]
+                yield {"block": [now["block"]], "n": [sum(len(keys) for keys, _ in taken)], "packed": [packed]}
 
         def work(batch: pa.RecordBatch):
-            for block, bit, packed in zip(*(batch.column(c).to_pylist() for c in ("block", "bit", "packed"))):
+            for block, kind, packed in zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "packed"))):
                 if block != now["block"]:
                     yield from finish()
                     now["block"] = block
                 steps, counts = _columns(packed, 2)
-                tally[bit].add(np.cumsum(steps, dtype=np.uint32), counts)
+                tally[kind].add(np.cumsum(steps, dtype=np.uint32), counts)
 
         work.end = finish
         return work
 
     parts = max(n_partitions(shares.sparkSession), (CONTEXTS << block_bits) // 8)
-    return map_rows(shares.repartition(parts, "block").sortWithinPartitions("block"), make, _SHARE)
+    return map_rows(shares.repartition(parts, "block").sortWithinPartitions("block"), make, _MET)
 
 
 @dataclass
@@ -467,44 +475,18 @@ class Table:
             os.remove(self.name)
 
 
-def _tables(met: DataFrame, block_bits: int, p: Params) -> list[Table]:
-    """Files of all predictors' slots, two or more for each of its contexts (at most 2^32); filled a block at a time."""
+def _tables(met: DataFrame, block_bits: int, kinds: int, p: Params) -> list[Table]:
+    """Files of all predictors' slots, two or more for each of its contexts (at most 2^32); filled a block at a time, with the first `kinds`.
+
+    A block is a stretch of its file: tasks write theirs into a shared file (a task that runs again writes the same). Without a
+    shared folder the blocks come to the driver one by one.
+    """
     from .common import checkpoint_root
 
     spark = met.sparkSession
-    most = {r.k: r.n for r in met.groupBy(F.shiftright("block", block_bits).alias("k")).agg(F.sum("n").alias("n")).collect()}  # of both bits: at least the contexts
+    most = {r.k: r.n for r in met.groupBy(F.shiftright("block", block_bits).alias("k")).agg(F.sum("n").alias("n")).collect()}  # of all kinds: at least the contexts
     bits = [min(32, max(p.slot_bits, block_bits, int(2 * most.get(k, 1) - 1).bit_length())) for k in range(CONTEXTS)]
 
-    def make():
-        now: dict = {"block": None, "own": {}}
-
-        def finish():
-            if now["own"]:
-                k = now["block"] >> block_bits
-                empty = (np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.uint32))
-                (a, m), (b, n) = (now["own"].get(bit, empty) for bit in range(2))
-                slots = np.unique(np.concatenate([a >> np.uint32(32 - bits[k]), b >> np.uint32(32 - bits[k])]))
-                n0, n1 = np.zeros(len(slots)), np.zeros(len(slots))
-                np.add.at(n0, np.searchsorted(slots, a >> np.uint32(32 - bits[k])), m)
-                np.add.at(n1, np.searchsorted(slots, b >> np.uint32(32 - bits[k])), n)
-                odds = np.clip(np.round(100 * np.log((n1 + 0.2) / (n0 + 0.2))), -1200, 1200).astype(np.int16)
-                n = n0 + n1
-                sure = (n > 0).astype(np.int16) + (n > 3) + (n > 30)
-                value = (odds * 4 + sure.astype(np.int16)).astype(np.int16).view(np.uint16)
-                yield {"block": [now["block"]], "packed": [_planes(np.diff(slots, prepend=np.uint32(0)), value)]}
-                now["own"] = {}
-
-        def work(batch: pa.RecordBatch):
-            for block, bit, packed in zip(*(batch.column(c).to_pylist() for c in ("block", "bit", "packed"))):
-                if block != now["block"]:
-                    yield from finish()
-                    now["block"] = block
-                steps, counts = _columns(packed, 2)
-                now["own"][bit] = (np.cumsum(steps, dtype=np.uint32), counts)
-
-        work.end = finish
-        return work
-
     root = checkpoint_root(spark)
     shared = root.startswith(("/", "file:"))
     folder = "/" + root.removeprefix("file:").lstrip("/") if shared else tempfile.gettempdir()
@@ -513,14 +495,48 @@ def _tables(met: DataFrame, block_bits: int, p: Params) -> list[Table]:
     for name, b in zip(names, bits):
         with open(name, "wb") as f:
             f.truncate(2 << b)
-    files = [np.memmap(name, dtype=np.int16, mode="r+") for name in names]
-    for r in map_rows(met, make, "block int, packed binary").toLocalIterator():
-        steps, value = _columns(r.packed, 2)
-        files[r.block >> block_bits][np.cumsum(steps, dtype=np.uint32)] = value.astype(np.uint16).view(np.int16)
-    for f in files:
-        f.flush()
-    del files
-    if not shared:
+
+    def make():
+        def fill(block: int, packed: list[bytes | None]):
+            k, b = block >> block_bits, block & (1 << block_bits) - 1
+            shift, found = np.uint32(32 - bits[k]), []
+            for kind, own in enumerate(packed[:kinds]):
+                if own is not None:
+                    steps, counts = _columns(own, 2)
+                    found.append((np.cumsum(steps, dtype=np.uint32) >> shift, counts, kind & 1))
+            if not found:
+                return
+            slots = np.unique(np.concatenate([at for at, _, _ in found]))
+            total = np.zeros((2, len(slots)))
+            for at, counts, bit in found:
+                total[bit] += np.bincount(np.searchsorted(slots, at), weights=counts, minlength=len(slots))
+            odds = np.clip(np.round(100 * np.log((total[1] + 0.2) / (total[0] + 0.2))), -1200, 1200).astype(np.int16)
+            n = total.sum(axis=0)
+            value = odds * np.int16(4) + (n > 0).astype(np.int16) + (n > 3) + (n > 30)
+            if shared:
+                size = 1 << bits[k] - block_bits
+                stretch = np.memmap(names[k], dtype=np.int16, mode="r+", offset=2 * b * size, shape=(size,))
+                stretch[slots.astype(np.int64) - b * size] = value
+                stretch.flush()
+            else:
+                yield {"block": [block], "packed": [_planes(np.diff(slots, prepend=np.uint32(0)), value.view(np.uint16))]}
+
+        def work(batch: pa.RecordBatch):
+            for block, packed in zip(batch.column("block").to_pylist(), batch.column("packed").to_pylist()):
+                yield from fill(block, packed)
+
+        return work
+
+    filled = map_rows(met, make, "block int, packed binary")
+    if shared:
+        filled.count()  # the tasks write
+    else:
+        files = [np.memmap(name, dtype=np.int16, mode="r+") for name in names]
+        for r in filled.toLocalIterator():
+            steps, value = _columns(r.packed, 2)
+            files[r.block >> block_bits][np.cumsum(steps, dtype=np.uint32)] = value.astype(np.uint16).view(np.int16)
+        for f in files:
+            f.flush()
         for name in names:
             spark.sparkContext.addFile(name)
     return [Table(name if shared else os.path.basename(name), shared, b) for name, b in zip(names, bits)]
@@ -556,31 +572,21 @@ class Mixer:
             gate |= v
         return count, np.take(self.trees.sign, entry, mode="clip"), s, gate, real
 
-    def fit(self, texts: list[bytes]) -> None:
-        """The gates' weights: Newton steps of ridge logistic regression, pulled towards one common fit."""
-        start = np.full(INPUTS, 0.3)
-        if not texts:
-            self.weights = np.tile(start, (64, 1)).astype(np.float32)
-            return
-        parts = [self.inputs(c)[1:4] for c in chunks(texts, self.params.chunk_bytes)]
-        sign, s, gate = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts], axis=1), np.concatenate([p[2] for p in parts])
-
-        def newton(x: np.ndarray, y: np.ndarray, w0: np.ndarray, pull: float) -> np.ndarray:
-            w = w0.copy()
-            for _ in range(8):
-                z = np.clip(y * (w @ x), -30, 30)
-                e = 1 / (1 + np.exp(z))
-                g = x @ (y * e) - pull * (w - w0)
-                w = w + np.linalg.solve((x * (e * (1 - e) + 1e-4)) @ x.T + pull * np.eye(INPUTS), g)
-            return w
-
-        some = slice(None, None, max(1, len(sign) // 400_000))
-        common = newton(s[:, some].astype(float), sign[some].astype(float), start, 1.0)
-        self.weights = np.tile(common, (64, 1)).astype(np.float32)
-        for g in range(64):
-            own = np.flatnonzero(gate == g)
-            if len(own) >= 50:
-                self.weights[g] = newton(s[:, own].astype(float), sign[own].astype(float), common, 20.0)
+    def sums(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By gate, over the texts' decisions with the weights as they are: how many, the gradient of their log probability, its curvature."""
+        number, gradient, curvature = np.zeros(_GATES), np.zeros((_GATES, INPUTS)), np.zeros((_GATES, INPUTS, INPUTS))
+        for part in chunks(texts, self.params.chunk_bytes):
+            _, sign, s, gate, _ = self.inputs(part)
+            order = np.argsort(gate, kind="stable")
+            gates, first = np.unique(gate[order], return_index=True)
+            x, y, w = s[:, order].astype(float), sign[order].astype(float), self.weights[gate[order]].T.astype(float)
+            e = 1 / (1 + np.exp(np.clip(y * (w * x).sum(axis=0), -30, 30)))
+            number[gates] += np.diff(first, append=len(order))
+            gradient[gates] += np.add.reduceat(x * (y * e), first, axis=1).T
+            bent = x * (e * (1 - e) + 1e-4)
+            for i in range(INPUTS):
+                curvature[gates, i] += np.add.reduceat(bent[i] * x, first, axis=1).T
+        return number, gradient, curvature
 
     def log2_probability(self, texts: list[bytes]) -> np.ndarray:
         """Of each stream: the sum over its decisions, weights refined online from its first decision to its last."""
@@ -632,6 +638,58 @@ class Mixer:
         return bits + (blocks * BLOCK - count)
 
 
+def _sums(texts: DataFrame, mixer: Mixer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mixer.sums over all texts: a row a gate from each task, summed by gate."""
+    shared = texts.sparkSession.sparkContext.broadcast(mixer)
+    curved = [(i, j) for i in range(INPUTS) for j in range(INPUTS)]
+    names = ["n", *(f"g{i}" for i in range(INPUTS)), *(f"c{i}_{j}" for i, j in curved)]
+
+    def make():
+        own = shared.value
+        total: list[np.ndarray] = []
+
+        def work(batch: pa.RecordBatch):
+            got = own.sums([stream(tokens(t)) for t in batch.column("text").to_pylist()])
+            total[:] = [a + b for a, b in zip(total, got)] if total else got
+            return ()
+
+        def end():
+            if total:
+                n, g, c = total
+                yield {"gate": np.arange(_GATES), "n": n} | {f"g{i}": g[:, i] for i in range(INPUTS)} | {f"c{i}_{j}": c[:, i, j] for i, j in curved}
+
+        work.end = end
+        return work
+
+    rows = map_rows(texts.select("text"), make, ", ".join(["gate int", *(f"{k} double" for k in names)]))
+    number, gradient, curvature = np.zeros(_GATES), np.zeros((_GATES, INPUTS)), np.zeros((_GATES, INPUTS, INPUTS))
+    for r in rows.groupBy("gate").agg(*[F.sum(k).alias(k) for k in names]).collect():
+        number[r.gate], gradient[r.gate], curvature[r.gate] = r.n, [r[f"g{i}"] for i in range(INPUTS)], np.reshape([r[f"c{i}_{j}"] for i, j in curved], (INPUTS, INPUTS))
+    shared.unpersist()
+    return number, gradient, curvature
+
+
+def fit_weights(texts: DataFrame, mixer: Mixer, p: Params) -> np.ndarray:
+    """The gates' weights on all of texts(text): Newton steps of ridge logistic regression, first of one fit for all gates, then of each
+    gate's own, pulled towards it."""
+    start = np.full(INPUTS, 0.3)
+    common, own = start.copy(), None
+    for _ in range(p.newton_steps):
+        _, g, c = _sums(texts, Mixer(mixer.trees, mixer.tables, np.tile(common, (_GATES, 1)), p))
+        step = np.linalg.solve(c.sum(axis=0) + np.eye(INPUTS), g.sum(axis=0) - (common - start))
+        common += step
+        if np.abs(step).max() < p.newton_least:
+            break
+    own = np.tile(common, (_GATES, 1))
+    for _ in range(p.newton_steps):
+        _, g, c = _sums(texts, Mixer(mixer.trees, mixer.tables, own, p))
+        step = np.linalg.solve(c + 20.0 * np.eye(INPUTS), (g - 20.0 * (own - common))[..., None])[..., 0]
+        own = own + step
+        if np.abs(step).max() < p.newton_least:
+            break
+    return own.astype(np.float32)
+
+
 # --- the operator --------------------------------------------------------------------------------
 
 
@@ -657,37 +715,18 @@ def fit(docs: DataFrame, allowed: Column, params: Params = Params()) -> Model:
         _unpack(pairs, r.counts)
     scratch.drop(first)
     trees = Trees(pairs.reshape(256, 256))
-    aside = F.pmod(F.xxhash64("doc_id"), F.lit(p.mixer_fold)) == 0
     length, shared_trees = trees.length.reshape(256, 256).astype(np.int64), spark.sparkContext.broadcast(trees)
     block_bits = min(16, max(4, int((pairs.reshape(256, 256) * length).sum() >> 26).bit_length()))  # so that a block has some 2^26 decisions
-    met = scratch.save(_meet(_share(train.where(~aside), shared_trees, block_bits, p), block_bits))
-    mixer = Mixer(trees, _tables(met, block_bits, p), np.zeros((64, INPUTS), dtype=np.float32), p)
-    # the texts that fit the weights: the first by hash, until mixer_bytes are met; the last may be cut there
-    ids = train.where(aside).select("doc_id", F.xxhash64(F.lit(1), "doc_id").alias("h"), F.length("text").alias("size")).where("size > 0")
-    wanted, size = [], 0
-    for r in ids.orderBy("h", "doc_id").limit(p.mixer_bytes // 4).collect():
-        if size >= p.mixer_bytes:
-            break
-        size += r.size
-        wanted.append(r.doc_id)
-    chosen = spark.createDataFrame([(i,) for i in dict.fromkeys(wanted)], "doc_id long")
-    start = F.substring("text", 1, p.mixer_bytes).alias("text")
-    rows = train.where(aside).join(F.broadcast(chosen), "doc_id").select(F.xxhash64(F.lit(1), "doc_id").alias("h"), "doc_id", start).where("text is not null").toLocalIterator()
-    texts, size = [], 0
-    for r in sorted(rows, key=lambda r: (r.h, r.doc_id, r.text)):
-        if size >= p.mixer_bytes:
-            break
-        own = r.text[: p.mixer_bytes - size]
-        size += len(own)
-        texts.append(stream(tokens(own)))
-    mixer.fit(texts)
-    # then those texts are learned from like all others
-    whole = scratch.save(_meet(met.unionByName(_share(train.where(aside), shared_trees, block_bits, p)), block_bits))
-    scratch.drop(met)
+    train = train.withColumn("aside", F.pmod(F.xxhash64("doc_id"), F.lit(p.mixer_fold)) == 0)
+    met = scratch.save(_meet(_share(train, shared_trees, block_bits, p), block_bits))
+    # the weights are fitted over the counts of the other texts
+    apart = scratch.save(train.where("aside").select("text"))
+    mixer = Mixer(trees, _tables(met, block_bits, 2, p), np.zeros((_GATES, INPUTS), dtype=np.float32), p)
+    weights = fit_weights(apart, mixer, p)
     for t in mixer.tables:
         t.drop()
-    mixer = Mixer(trees, _tables(whole, block_bits, p), mixer.weights, p)
-    scratch.drop(whole)
+    mixer = Mixer(trees, _tables(met, block_bits, _KINDS, p), weights, p)
+    scratch.drop(met, apart)
     return Model(words, mixer, scratch)
 
 

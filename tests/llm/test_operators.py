@@ -489,14 +489,50 @@ def test_lm_tables_grow_with_the_contexts(spark):
 def test_lm_learns_from_every_text(spark, monkeypatch):
     rows = [(i, f"word{i % 7} other{i % 5} " * 6) for i in range(40)] + [(1000 + i, f"qxz{i}jvk " * 5000) for i in range(12)]
     fitted = []
-    real = lm_scoring.Mixer.fit
-    monkeypatch.setattr(lm_scoring.Mixer, "fit", lambda self, texts: (fitted.extend(texts), real(self, texts))[1])
-    model = lm_scoring.fit(docs(spark, rows), F.lit(True), lm_scoring.Params(slot_bits=16, mixer_fold=1, mixer_bytes=300_000))
-    # every text is the mixer's, and still counted: its contexts are in the tables
-    assert max(map(len, fitted)) > 20_000 and 299_000 < sum(map(len, fitted)) <= 300_000 + len(fitted)
-    for _, t in rows:
+    real = lm_scoring.fit_weights
+    monkeypatch.setattr(lm_scoring, "fit_weights", lambda texts, mixer, p: (fitted.append((sorted(r.text for r in texts.collect()), [t.open().copy() for t in mixer.tables], mixer)), real(texts, mixer, p))[1])
+    p = lm_scoring.Params(slot_bits=16, mixer_fold=3)
+    model = lm_scoring.fit(docs(spark, rows), F.lit(True), p)
+    # the mixer's part: all of its texts, whole; its tables lack them
+    (apart, without, first), = fitted
+    part = {r.doc_id for r in docs(spark, rows).where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).collect()}
+    assert apart == sorted(t for i, t in rows if i in part) and 5 < len(apart) < 47 and max(map(len, apart)) > 20_000
+    missing = 0
+    for i, t in rows:
         _, _, slots, _ = lm_scoring.events([lm_scoring.stream(lm_scoring.tokens(t))], model.mixer.trees, [x.bits for x in model.mixer.tables])
-        assert all((x.open()[s] & 3 > 0).all() for x, s in zip(model.mixer.tables, slots))
+        assert all((x.open()[s] & 3 > 0).all() for x, s in zip(model.mixer.tables, slots))  # whole tables: every text's contexts
+        _, _, slots, _ = lm_scoring.events([lm_scoring.stream(lm_scoring.tokens(t))], model.mixer.trees, [x.bits for x in first.tables])
+        seen = all((x[s] & 3 > 0).all() for x, s in zip(without, slots))
+        missing += not seen
+        assert seen or i in part
+    assert missing
+
+
+def test_lm_weights_are_a_fit_over_all_texts(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega"])[: rng.randrange(2, 6)] for _ in range(40))) for i in range(80)]
+    p = lm_scoring.Params(slot_bits=16, mixer_fold=4, newton_steps=30, newton_least=1e-9)
+    seen = []
+    real = lm_scoring.fit_weights
+    def spy(texts, mixer, p):  # noqa: E301
+        mixer.weights = np.zeros((64, 4), dtype=np.float32)
+        got = [mixer.inputs([lm_scoring.stream(lm_scoring.tokens(r.text))])[1:4] for r in texts.collect()]
+        seen.append([np.concatenate(x, axis=-1) for x in zip(*got)])
+        return real(texts, mixer, p)
+    monkeypatch.setattr(lm_scoring, "fit_weights", spy)
+    weights = lm_scoring.fit(docs(spark, rows), F.lit(True), p).mixer.weights
+    (sign, x, gate), = seen
+    def plain(x, y, start, pull):  # noqa: E301
+        w = start.copy()
+        for _ in range(60):
+            e = 1 / (1 + np.exp(y * (w @ x)))
+            w += np.linalg.solve((x * (e * (1 - e) + 1e-4)) @ x.T + pull * np.eye(4), x @ (y * e) - pull * (w - start))
+        return w
+    x, sign = x.astype(float), sign.astype(float)
+    common = plain(x, sign, np.full(4, 0.3), 1.0)
+    for g in range(64):
+        own = gate == g
+        assert np.allclose(weights[g], plain(x[:, own], sign[own], common, 20.0) if own.any() else common, atol=1e-3)
 
 
 def test_lm_weights_are_carried_through_a_text(spark):
