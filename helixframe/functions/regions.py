@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A site line: name, start and end with any non-word characters between; what follows is ignored.
+#: Fixed value. A site line: name, start and end with any non-word characters between; what follows is ignored.
 SITE_LINE = r"^\s*([\w\.]+)\W+(\d+)\W+(\d+).*$"
 
 
@@ -45,6 +45,26 @@ def in_any(reference: Column, position: Column, regions: list[tuple[str, int, in
     return out
 
 
-def split_regions(regions: list[tuple[str, int, int]], bases: int) -> list[tuple[str, int, int]]:
+def all_references(references: list[tuple[str, int]], sex_chromosomes: bool = True) -> list[tuple[str, int, int]]:
+    """Each reference(name, length) whole, as a region; without the sex chromosomes on demand."""
+    return [(name, 0, length) for name, length in references if sex_chromosomes or name.removeprefix("chr") not in ("X", "Y")]
+
+
+def reads_of(reads: DataFrame, read_group_sets: list[str], shards: list[tuple[str, int, int]], whole: bool = False) -> DataFrame:
+    """The reads of some read group sets that start in the shards or, if `whole`, overlap them."""
+    from .reads import covered_length
+
+    end = F.col("position") + covered_length(F.col("cigar"))
+    held = F.lit(False)
+    for s in shards:
+        held = held | (overlaps(F.col("reference_name"), F.col("position"), end, s) if whole else starts_in(F.col("reference_name"), F.col("position"), s))
+    return reads.where(F.col("read_group_set_id").isin(read_group_sets) & held)
+
+
+#: Bases of a shard of a region, if nothing else is said.
+BASES_PER_SHARD = 1_000_000
+
+
+def split_regions(regions: list[tuple[str, int, int]], bases: int = BASES_PER_SHARD) -> list[tuple[str, int, int]]:
     """Regions cut into shards of at most `bases` bases."""
     return [(name, at, min(at + bases, end)) for name, start, end in regions for at in range(start, end, bases)]

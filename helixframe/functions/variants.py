@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Fixed value: names of numbered and sex chromosomes.
 CHROMOSOME = r"^(chr)?(X|Y|([12]?\d))$"
 
 

@@ -29,6 +29,14 @@ def exact_matches(variants: DataFrame, known: DataFrame) -> DataFrame:
     return a.join(k, ["canonical", "start", "end", "allele"]).select("reference_name", "start", "allele", "variant_id", "variant")
 
 
+def with_bases(transcripts: DataFrame, references: DataFrame) -> DataFrame:
+    """Transcripts with their bases from references(reference_name, start, end, bases), given for the same intervals; none found: null."""
+    r = references.select(V.canonical_reference(F.col("reference_name")).alias("_name"), F.col("start").alias("_from"), F.col("end").alias("_to"), F.col("bases").alias("_bases")).distinct()
+    on = (V.canonical_reference(F.col("reference_name")) == F.col("_name")) & (F.coalesce("start", F.lit(0)) == F.col("_from")) & (F.col("end") == F.col("_to"))
+    kept = [c for c in transcripts.columns if c != "bases"]
+    return transcripts.select(*kept).join(r, on, "left").select(*kept, F.col("_bases").alias("bases"))
+
+
 def transcript_effects(variants: DataFrame, transcripts: DataFrame, bin_size: int = 10_000) -> DataFrame:
     """Non-synonymous effects of alleles on the transcripts they overlap: a binned interval join, no nested loop.
 

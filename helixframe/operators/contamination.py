@@ -24,7 +24,7 @@ P_BASE = [
     [1 / 3, 0.0, 2 / 3],
 ]
 BASES = ("REF", "NONREF", "OTHER")
-#: Steps of the grids on [0, 0.5] at which a maximum is sought.
+#: Steps of the grids on [0, 0.5] at which a maximum is sought, and the search's tolerances and limit.
 GRID_STEPS = (0.1, 0.05, 0.01, 0.005, 0.001)
 RELATIVE, ABSOLUTE, MOST_STEPS = 1e-4, 1e-5, 1000
 
@@ -71,7 +71,11 @@ def pileup(frequencies: DataFrame, bases: DataFrame) -> DataFrame:
     """(reference_name, position, ref_freq, base, quality, n): observed REF, NONREF and OTHER bases of each position with a frequency.
 
     A left join from the frequencies: a position without bases stays, with a null base and n 0. The bases are summed before the join.
+    Two frequencies at one position are an error when the rows are read.
     """
+    given = frequencies.groupBy("reference_name", "position").agg(F.count("*").alias("m"), *[F.first(c).alias(c) for c in ("ref_base", "alt_base", "ref_freq")])
+    twice = F.raise_error(F.concat(F.lit("more than one frequency at "), "reference_name", F.lit(":"), F.col("position").cast("string"))).cast("double")
+    frequencies = given.withColumn("ref_freq", F.when(F.col("m") > 1, twice).otherwise(F.col("ref_freq"))).drop("m")
     seen = bases.groupBy("reference_name", "position", F.col("base").alias("letter"), "quality").agg(F.count("*").alias("k"))
     joined = frequencies.join(seen, ["reference_name", "position"], "left")
     kind = F.when(F.col("letter").isNull(), F.lit(None)).when(F.col("letter") == F.col("ref_base"), "REF").when(F.col("letter") == F.col("alt_base"), "NONREF").otherwise("OTHER")
@@ -101,18 +105,24 @@ def observation_logs(alpha: float, base: Column, quality: Column) -> dict[tuple[
     return {(i, j): F.log((1 - alpha) * chance[i] + alpha * chance[j]) for i in range(3) for j in range(3)}
 
 
-def log_likelihood(piles: DataFrame, alpha: float) -> DataFrame:
-    """(alpha, log_likelihood) over all positions, summed in log space. A chance of zero makes a term null, which counts as minus infinity."""
-    logs = observation_logs(alpha, F.col("base"), F.col("quality"))
-    least = F.lit(float("-inf"))
-    sums = [F.sum(F.when(F.col("base").isNull(), 0.0).otherwise(F.coalesce(logs[k], least)) * F.col("n")).alias(f"l{k[0]}{k[1]}") for k in logs]
+def log_likelihood(piles: DataFrame, *alphas: float) -> DataFrame:
+    """(alpha, log_likelihood) over all positions, summed in log space, for all alphas in one pass over the pileup.
+
+    A chance of zero makes a term null, which counts as minus infinity.
+    """
+    least, genotypes = F.lit(float("-inf")), [(i, j) for i in range(3) for j in range(3)]
+    sums = []
+    for k, alpha in enumerate(alphas):
+        logs = observation_logs(alpha, F.col("base"), F.col("quality"))
+        sums += [F.sum(F.when(F.col("base").isNull(), 0.0).otherwise(F.coalesce(logs[g], least)) * F.col("n")).alias(f"l{k}_{g[0]}{g[1]}") for g in genotypes]
     by = piles.where("n > 0 or base is null").groupBy("reference_name", "position", "ref_freq").agg(*sums)
     p = F.col("ref_freq")
     prior = [p * p, p * (1 - p), (1 - p) * (1 - p)]
-    terms = [F.log(prior[i]) + F.log(prior[j]) + F.col(f"l{i}{j}") for i, j in logs]
-    top = F.greatest(*terms)
-    total = top + F.log(sum((F.exp(t - top) for t in terms[1:]), F.exp(terms[0] - top)))
-    return by.agg(F.lit(alpha).alias("alpha"), F.sum(total).alias("log_likelihood"))
+    terms = F.array(*[F.array(*[F.log(prior[i]) + F.log(prior[j]) + F.col(f"l{k}_{i}{j}") for i, j in genotypes]) for k in range(len(alphas))])
+    by = by.select(F.transform(terms, lambda t: F.struct(F.array_max(t).alias("top"), t.alias("terms"))).alias("x"))
+    one = lambda x: x.top + F.log(F.aggregate(x.terms, F.lit(0.0), lambda s, t: s + F.exp(t - x.top)))
+    totals = by.select(F.transform("x", one).alias("x")).agg(*[F.sum(F.col("x")[k]).alias(f"s{k}") for k in range(len(alphas))])
+    return totals.select(F.inline(F.array(*[F.struct(F.lit(float(a)).alias("alpha"), F.col(f"s{k}").alias("log_likelihood")) for k, a in enumerate(alphas)])))
 
 
 class Likelihood:

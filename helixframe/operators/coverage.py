@@ -35,6 +35,8 @@ def coverage_means(reads: DataFrame, width: int) -> DataFrame:
 
 def discrete_quantiles(values: Column, n: int) -> Column:
     """n values of an array: least, n - 2 between, greatest; quantile q is the element (q * size - 1) div (n - 1) in order."""
+    if n < 2:
+        raise ValueError("at least two quantiles: the least and the greatest")
     ordered = F.sort_array(values)
     size = F.size(values)
     at = [F.greatest(F.floor((F.lit(q) * size - 1) / (n - 1)), F.lit(0)).cast("int") for q in range(n)]
@@ -46,6 +48,12 @@ def coverage_quantiles(means: DataFrame, n: int) -> DataFrame:
     return means.groupBy("reference_name", "bucket", "mq").agg(F.collect_list("mean").alias("means")).select("reference_name", "bucket", "mq", discrete_quantiles(F.col("means"), n).alias("quantiles"))
 
 
+def check_quantiles(read_group_sets: list[str], n: int) -> None:
+    """Quantiles over read group sets need as many sets as quantiles."""
+    if len(set(read_group_sets)) < n:
+        raise ValueError(f"{n} quantiles need {n} read group sets or more; there are {len(set(read_group_sets))}")
+
+
 def coverage_annotations(quantiles: DataFrame, width: int) -> DataFrame:
     """One row a bucket: start, end (start + width, also for the last) and a map of class to quantiles, rounded to six places."""
     rounded = F.transform("quantiles", lambda x: F.floor(x * 1e6 + 0.5) / 1e6)

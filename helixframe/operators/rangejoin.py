@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +40,16 @@ def interval_overlap(left: DataFrame, right: DataFrame, keys: list[str], start:
     return a.join(b, on & (a["_bin"] == first)).drop(a["_bin"]).drop(b["_bin"])
 
 
-def merge_segments(variants: DataFrame, size: int = 1000, sites: DataFrame | None = None) -> DataFrame:
-    """Variants whose SNPs have the calls of the segments over their start appended, in order of start; segments go.
+#: How a SNP's own calls and those of the segments over it (in order of start) become its calls, by name.
+MERGE_STRATEGIES: dict[str, Callable[[Column, Column], Column]] = {
+    "append": lambda own, added: F.concat(own, added),
+    "fill": lambda own, added: F.concat(own, F.filter(added, lambda c: ~F.exists(own, lambda o: o.call_set_name == c.call_set_name))),  # own calls win
+    "keep": lambda own, added: own,
+}
+
+
+def merge_segments(variants: DataFrame, size: int = 1000, sites: DataFrame | None = None, strategy: str = "append") -> DataFrame:
+    """Variants whose SNPs have the calls of the segments over their start merged in (MERGE_STRATEGIES); segments go.
 
     Indels keep their own calls. With sites(reference_name, start, end) only variants that overlap a site are given, each once.
     """
@@ -59,5 +69,5 @@ def merge_segments(variants: DataFrame, size: int = 1000, sites: DataFrame | Non
     over = points.join(blocks, ["reference_name", "_bin"]).where("_from <= start and start < _to")
     added = over.groupBy("reference_name", "start").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_from", "_to", "_calls"))), lambda x: x["_calls"])).alias("_added"))
     merged = rows.join(added, ["reference_name", "start"], "left")
-    calls = F.when(snp & F.col("_added").isNotNull(), F.concat("calls", "_added")).otherwise(F.col("calls"))
+    calls = F.when(snp & F.col("_added").isNotNull(), MERGE_STRATEGIES[strategy](F.col("calls"), F.col("_added"))).otherwise(F.col("calls"))
     return merged.withColumn("calls", calls).select(*variants.columns)

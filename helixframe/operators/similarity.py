@@ -22,6 +22,14 @@ def pairs(items: Column, with_same: bool = False) -> Column:
     return F.flatten(F.transform(items, of))
 
 
+def _paired(rows: DataFrame, items: str, with_same: bool, *kept: str) -> DataFrame:
+    """(kept..., p struct<a, b>) of every unordered pair in the sorted array column: the first element is exploded, then those
+    after it, so that no row holds more than one variant's elements."""
+    first = rows.select(*kept, items, F.posexplode(items).alias("_at", "_a"))
+    rest = F.slice(items, F.col("_at") + (1 if with_same else 2), F.size(items))
+    return first.select(*kept, "_a", F.explode(rest).alias("_b")).select(*kept, F.struct(F.col("_a").alias("a"), F.col("_b").alias("b")).alias("p"))
+
+
 def shared_minor_alleles(a: Column, b: Column, reference_major: Column) -> Column:
     """1 if both samples carry the minor allele, else 0."""
     both = V.has_minor_allele(a.genotype, reference_major) & V.has_minor_allele(b.genotype, reference_major)
@@ -46,7 +54,7 @@ def identity_by_state(variants: DataFrame, similarity: str = "shared_minor") ->
     called = F.array_sort(F.transform(V.samples_with_genotype(F.col("calls"), 0), lambda c: F.struct(c.call_set_name.alias("name"), c.genotype.alias("genotype"))))
     snps = variants.where(V.is_single_alternate_snp(F.col("reference_bases"), F.col("alternate_bases")))
     rows = snps.select(V.is_reference_major(F.col("calls")).alias("major"), called.alias("called"))
-    rows = rows.select("major", F.explode(pairs(F.col("called"))).alias("p"))
+    rows = _paired(rows, "called", False, "major")
     score = SIMILARITIES[similarity](F.col("p.a"), F.col("p.b"), F.col("major"))
     total = rows.select(F.col("p.a.name").alias("s1"), F.col("p.b.name").alias("s2"), score.alias("x")).groupBy("s1", "s2").agg(F.sum("x").alias("total"), F.count("*").alias("n"))
     return total.select("s1", "s2", (F.col("total") / F.col("n")).alias("score"), "total", "n")
@@ -55,7 +63,7 @@ def identity_by_state(variants: DataFrame, similarity: str = "shared_minor") ->
 def shared_variants(variants: DataFrame) -> DataFrame:
     """(s1, s2, n): variants at which both samples have an alternate allele; a sample also pairs with itself."""
     names = F.array_sort(F.transform(V.samples_with_genotype(F.col("calls"), 1), lambda c: c.call_set_name))
-    rows = variants.select(F.explode(pairs(names, with_same=True)).alias("p"))
+    rows = _paired(variants.select(names.alias("names")), "names", True)
     return rows.groupBy(F.col("p.a").alias("s1"), F.col("p.b").alias("s2")).agg(F.count("*").alias("n"))
 
 
@@ -78,15 +86,13 @@ def principal_coordinates(counts: np.ndarray) -> np.ndarray:
 def pcoa(shared: DataFrame, names: list[str] | None = None, most: int = 5_000) -> DataFrame:
     """(name, x, y), cut to two places. The matrix of samples is dense and solved on the driver, so their number is checked."""
     spark = shared.sparkSession
-    if names is None:
-        both = shared.select(F.col("s1").alias("name")).union(shared.select("s2")).distinct()
-        names = [r.name for r in both.limit(most + 1).collect()]
-    names = sorted(set(names))
-    if len(names) > most:
-        raise ValueError(f"{len(names)} samples are more than {most}")
+    rows = shared.select("s1", "s2", "n").limit(most * (most + 1) // 2 + 1).collect()  # at most a row a pair of names
+    names = sorted({x for r in rows for x in (r.s1, r.s2)} if names is None else set(names))
+    if len(names) > most or len(rows) > most * (most + 1) // 2:
+        raise ValueError(f"there are more than {most} samples")
     at = {s: i for i, s in enumerate(names)}
     matrix = np.zeros((len(names), len(names)))
-    for r in shared.collect():  # at most a row a pair of names
+    for r in rows:
         matrix[at[r.s1], at[r.s2]] = matrix[at[r.s2], at[r.s1]] = r.n
     points = principal_coordinates(matrix) if names else np.zeros((0, 2))
     cut = lambda v: float(np.floor(v * 100 + 1e-9) / 100)

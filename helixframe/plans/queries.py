@@ -193,12 +193,7 @@ def pileup(spark, d):
 
 @query
 def contamination_log_likelihood(spark, d):
-    p = _piles(spark, d)
-    out = None
-    for alpha in ALPHAS:
-        row = contamination.log_likelihood(p, alpha).select("alpha", F.round("log_likelihood", 4).alias("log_likelihood"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    return contamination.log_likelihood(_piles(spark, d), *ALPHAS).select("alpha", F.round("log_likelihood", 4).alias("log_likelihood"))
 
 
 @query

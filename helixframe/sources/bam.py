@@ -1,9 +1,10 @@
 """BAM files: a Python data source planned from the index, and a sorted, sharded writer with index.
 
-Reading: `spark.dataSource.register(BamSource)`, then `spark.read.format("bam").load(path)` (a file, folder, glob, or a
-comma-separated list of them) gives the rows of `sam_rows`; `sam.reads_of` turns them into reads. A file with an index
-is cut into shards of about `maxShardBytes`; one without is a shard. Options: regions (`ref:start:end,...`),
-maxShardBytes, includeUnmapped.
+Reading: `spark.dataSource.register(BamSource)`, then `spark.read.format("bam").load(path)` (a file, folder, glob, prefix or
+text file that lists such, or a comma-separated list of them) gives the rows of `sam_rows`; `sam.reads_of` turns them into reads. A
+file with an index is cut into shards of about `maxShardBytes`, or of `maxShardLoci`; one without is a shard. Options: regions
+(`ref:start:end,...`, 1-based, both ends in), maxShardBytes, maxShardLoci, includeUnmapped, and mode: FAILFAST (a record that cannot be
+read fails the job), DROPMALFORMED (it is left out) or MALFORMED (only such records are given, by place, to be counted or looked into).
 
 Writing: `write_bam` sorts by place, writes a shard a partition with the index entries of its records, and joins the
 shards on the driver by copying bytes.
@@ -17,8 +18,9 @@ import shutil
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -228,9 +230,17 @@ class Shard(InputPartition):
         self.path, self.reference, self.start, self.end, self.chunks = path, reference, start, end, chunks
 
 
-def plan(path: str, regions: list[tuple[str, int, int]], most: int, unmapped: bool) -> list[Shard]:
-    """Shards of a file: leaf bins are taken in order until their chunks pass `most` bytes; each shard then gets the
-    chunks of every bin over its range. Without an index the file is one shard a region."""
+#: Whether a shard is full, from its loci and the bytes of its chunks so far.
+Full = Callable[[int, int], bool]
+
+
+def plan(path: str, regions: list[tuple[str, int, int]], most: int, unmapped: bool, loci: int | None = None, full: Full | None = None) -> list[Shard]:
+    """Shards of a file: leaf bins are taken in order until the shard is full; each shard then gets the chunks of every bin over
+    its range. It is full over `most` bytes, over `loci` loci where that is given, or as a rule of one's own says. Regions are
+    1-based and hold both ends: a record belongs if its position is at least the start and at most the end. Without an index the
+    file is one shard a region."""
+    full = full or (lambda width, size: size > most or loci is not None and width > loci)
+    regions = [(name, max(0, start - 1), end) for name, start, end in regions]
     index_path = next((p for p in (f"{path}.bai", path.removesuffix(".bam") + ".bai") if os.path.exists(p)), None)
     _, refs = header_of(reader := BlockReader(path))
     first, size = reader.tell(), os.path.getsize(path) << 16
@@ -250,7 +260,7 @@ def plan(path: str, regions: list[tuple[str, int, int]], most: int, unmapped: bo
             locus = (b - FIRST_LEAF) * WINDOW
             if start <= locus + WINDOW and locus < end:
                 grown += own["bins"][b]
-                if chunk_bytes(grown) > most and stops[-1] < locus + WINDOW < end:
+                if full(locus + WINDOW - stops[-1], chunk_bytes(grown)) and stops[-1] < locus + WINDOW < end:
                     stops.append(locus + WINDOW)
                     grown = []
         for s, e in zip(stops, [*stops[1:], end]):
@@ -270,15 +280,30 @@ def plan(path: str, regions: list[tuple[str, int, int]], most: int, unmapped: bo
     return out
 
 
-def records(shard: Shard, unmapped: bool) -> Iterator[tuple]:
+#: What is done about a record that cannot be read: the job fails, the record is dropped, or only such records are given (by place).
+MODES = ("FAILFAST", "DROPMALFORMED", "MALFORMED")
+
+
+def records(shard: Shard, unmapped: bool, mode: str = "FAILFAST") -> Iterator[tuple]:
     _, refs = header_of(BlockReader(shard.path))
     for begin, end in shard.chunks:
         reader = BlockReader(shard.path, begin)
         while reader.tell() < end:
+            at = reader.tell()
             head = reader.read(4)
             if len(head) < 4:
                 break
-            row = decode(reader.read(struct.unpack("<i", head)[0]), refs)
+            raw = reader.read(struct.unpack("<i", head)[0])
+            try:
+                row = decode(raw, refs)
+            except (struct.error, IndexError, KeyError, ValueError) as e:
+                if mode == "FAILFAST":
+                    raise ValueError(f"{shard.path}: the record at {at >> 16}:{at & 0xFFFF} cannot be read: {e}") from e
+                if mode == "MALFORMED":
+                    yield (f"{shard.path}:{at >> 16}:{at & 0xFFFF}", *(None,) * (len(SCHEMA.split(",")) - 1))
+                continue
+            if mode == "MALFORMED":
+                continue
             placed = row[2] != "*"
             if shard.reference == "*":
                 if not placed:
@@ -289,21 +314,45 @@ def records(shard: Shard, unmapped: bool) -> Iterator[tuple]:
                 yield row
 
 
+BATCH_ROWS = 5_000
+
+
+def input_files(part: str) -> list[str]:
+    """The files of one input path: a .bam file, a folder or pattern or prefix of such, or a text file that lists paths, one a line."""
+    if os.path.isfile(part) and not part.endswith(".bam"):
+        with open(part, encoding="utf-8") as f:
+            listed = [line.strip() for line in f if line.strip()]
+        return [p for x in listed for p in input_files(x if os.path.isabs(x) else os.path.join(os.path.dirname(part), x))]
+    found = [part] if os.path.isfile(part) else glob.glob(f"{part}/*.bam") if os.path.isdir(part) else glob.glob(part) or glob.glob(f"{part}*")
+    if not (files := sorted(p for p in found if p.endswith(".bam"))):
+        raise FileNotFoundError(f"no .bam file at {part}")
+    return files
+
+
 class BamReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options
 
     def partitions(self) -> list[Shard]:
-        o, paths = self.options, []
-        for part in o["path"].split(","):
-            found = [part] if os.path.isfile(part) else glob.glob(f"{part}/*.bam") if os.path.isdir(part) else glob.glob(part) or glob.glob(f"{part}*")
-            paths += sorted(p for p in found if p.endswith(".bam"))
+        o = self.options
+        paths = [p for part in o["path"].split(",") for p in input_files(part)]
+        mode = o.get("mode", "FAILFAST").upper()
+        if mode not in MODES:
+            raise ValueError(f"mode is one of {', '.join(MODES)}, not {mode}")
+        loci = o.get("maxshardloci", o.get("maxShardLoci"))
         flag = str(o.get("includeunmapped", o.get("includeUnmapped", "true"))).lower() == "true"
         most = int(o.get("maxshardbytes", o.get("maxShardBytes", 100 << 20)))
-        return [s for p in paths for s in plan(p, parse_regions(o.get("regions", "")), most, flag)]
+        return [s for p in paths for s in plan(p, parse_regions(o.get("regions", "")), most, flag, int(loci) if loci else None)]
+
+    def read(self, partition: Shard) -> Iterator["pa.RecordBatch"]:
+        import pyarrow as pa
 
-    def read(self, partition: Shard) -> Iterator[tuple]:
-        yield from records(partition, str(self.options.get("includeunmapped", self.options.get("includeUnmapped", "true"))).lower() == "true")
+        kinds = {"string": pa.string(), "int": pa.int32(), "array<string>": pa.list_(pa.string())}
+        schema = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in SCHEMA.split(", "))])
+        unmapped = str(self.options.get("includeunmapped", self.options.get("includeUnmapped", "true"))).lower() == "true"
+        rows = records(partition, unmapped, self.options.get("mode", "FAILFAST").upper())
+        while some := list(islice(rows, BATCH_ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*some), schema)], schema=schema)
 
 
 class BamSource(DataSource):

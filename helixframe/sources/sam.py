@@ -39,7 +39,13 @@ def header_text(header: dict) -> str:
 
 
 def read_header(spark: SparkSession, path: str) -> dict:
-    return parse_header([r.value for r in spark.read.text(path).where(F.col("value").startswith("@")).collect()])
+    """The header of a SAM file: its leading lines, fetched until one is no header line."""
+    lines, n = spark.read.text(path), 1000
+    while True:
+        first = [r.value for r in lines.take(n)]
+        if len(first) < n or not first[-1].startswith("@"):
+            return parse_header([x for x in first if x.startswith("@")])
+        n *= 10
 
 
 def header_references(spark: SparkSession, header: dict) -> DataFrame:
@@ -48,6 +54,12 @@ def header_references(spark: SparkSession, header: dict) -> DataFrame:
     return spark.createDataFrame(rows, "reference_name string, length long, sequence_index int")
 
 
+def first_contig(header: dict, contigs: list[tuple[str, int, int]]) -> tuple[str, int, int] | None:
+    """Of contigs (name, start, end), the first in the order of the header's sequences, then of starts; None if there are none."""
+    order = {s["SN"]: i for i, s in enumerate(header.get("SQ", []))}
+    return min(contigs, key=lambda c: (order.get(c[0], -1), c[1]), default=None)
+
+
 def first_position(reads: DataFrame, header: dict) -> tuple[str, int] | None:
     """The first mapped read's place, in the order of the header's sequences."""
     order = {s["SN"]: i for i, s in enumerate(header.get("SQ", []))}

@@ -41,4 +41,10 @@ def save(reads: DataFrame, path: str, mode: str = "error") -> None:
     rows.write.mode(mode).partitionBy("reference").parquet(path)
 
 
-__all__ = ["READS", "operation_code", "save", "to_rows"]
+def save_table(reads: DataFrame, name: str, mode: str = "error") -> None:
+    """Write the rows as a table of the session's catalog, split by chromosome."""
+    rows = to_rows(reads).withColumn("reference", F.coalesce("alignment.position.reference_name", F.lit("*")))
+    rows.write.mode(mode).partitionBy("reference").saveAsTable(name)
+
+
+__all__ = ["READS", "operation_code", "save", "save_table", "to_rows"]

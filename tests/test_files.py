@@ -51,7 +51,21 @@ def test_bam_round_trip(spark, sam_path, tmp_path):
         assert sorted(tuple(map(str, r)) for r in back.collect()) == want
     assert len(bam.plan(path, [], 2000, True)) > 3
     region = [r.pos for r in bam.read_bam(spark, path, regions="chr1:1000:90000", maxShardBytes="1000", includeUnmapped="false").collect()]
-    assert sorted(region) == [1 + i * 379 for i in range(1000) if 1000 <= i * 379 < 90000]
+    assert sorted(region) == [1 + i * 379 for i in range(1000) if 1000 <= 1 + i * 379 <= 90000]
+    # 1-based, both ends in; shards that meet share no record
+    for most in ("1", "1000000"):
+        ends = bam.read_bam(spark, path, regions="chr1:1517:3412", maxShardBytes=most, includeUnmapped="false").collect()
+        assert sorted(r.pos for r in ends) == [1517, 1896, 2275, 2654, 3033, 3412]
+    # shards by loci, and by a rule of one's own
+    shards = [s for s in bam.plan(path, [], 1 << 40, False, loci=100_000) if s.reference == "chr1"]
+    assert len(shards) == 4 and all(s.end - s.start > 100_000 for s in shards[:-1])
+    assert sorted(r.pos for r in bam.read_bam(spark, path, maxShardLoci="100000", includeUnmapped="false").where("rname <> '*'").collect()) == sorted(r[3] for r in places_of(path))
+    assert len([s for s in bam.plan(path, [], 0, False, full=lambda width, size: width >= 4 * bam.WINDOW) if s.reference == "chr1"]) == 6
+    # a text file that lists files; a path without any
+    (tmp_path / "files.txt").write_text("out.bam\n\n")
+    assert bam.read_bam(spark, str(tmp_path / "files.txt")).count() == 1003
+    with pytest.raises(Exception, match="no .bam file at"):
+        bam.read_bam(spark, str(tmp_path / "nothing*")).count()
     reader = bam.BlockReader(path)
     bam.header_of(reader)
     places = []
@@ -61,6 +75,51 @@ def test_bam_round_trip(spark, sam_path, tmp_path):
     assert bam.chunk_bytes([(1, 20)]) == 19
 
 
+def places_of(path):
+    reader = bam.BlockReader(path)
+    bam.header_of(reader)
+    return [r for r in bam.records(bam.Shard(path, None, 0, 0, [(reader.tell(), 1 << 60)]), False)]
+
+
+def test_bam_records_that_cannot_be_read(spark, sam_path, tmp_path, monkeypatch):
+    rows, header = sam.sam_rows(spark, sam_path), sam.read_header(spark, sam_path)
+    path = str(tmp_path / "bad.bam")
+    real = bam.encode
+    # a tag of an unknown kind at the end of some records
+    def broken(row, index):  # noqa: E301
+        raw, *place = real(row, index)
+        if row.qname in ("r3", "r8"):
+            raw = (int.from_bytes(raw[:4], "little") + 4).to_bytes(4, "little") + raw[4:] + b"XX?1"
+        return raw, *place
+    names, out = [s["SN"] for s in header["SQ"]], None
+    with open(path, "wb") as f:
+        out = bam.BlockWriter(f)
+        text = sam.header_text(header).encode()
+        out.write(b"BAM\1" + len(text).to_bytes(4, "little") + text + len(names).to_bytes(4, "little"))
+        for s in header["SQ"]:
+            out.write((len(s["SN"]) + 1).to_bytes(4, "little") + s["SN"].encode() + b"\0" + int(s["LN"]).to_bytes(4, "little"))
+        for r in rows.collect():
+            out.write(broken(r, {n: i for i, n in enumerate(names)})[0])
+        out.flush()
+        f.write(bam.EOF)
+    with pytest.raises(Exception, match="cannot be read"):
+        bam.read_bam(spark, path).count()
+    left = bam.read_bam(spark, path, mode="dropmalformed")
+    assert left.count() == 1001 and left.where("qname IN ('r3', 'r8')").count() == 0
+    bad = bam.read_bam(spark, path, mode="MALFORMED").collect()
+    assert len(bad) == 2 and all(r.qname.startswith(path) and r.pos is None for r in bad)
+    with pytest.raises(Exception, match="mode is one of"):
+        bam.read_bam(spark, path, mode="lenient").count()
+
+
+def test_long_headers(spark, tmp_path):
+    p = tmp_path / "long.sam"
+    p.write_text("@HD\tVN:1.4\n" + "".join(f"@SQ\tSN:c{i}\tLN:{i + 1}\n" for i in range(2500)) + "r\t0\tc1\t1\t9\t1M\t*\t0\t0\tA\t@\n")
+    header = sam.read_header(spark, str(p))
+    assert len(header["SQ"]) == 2500
+    assert sam.first_contig(header, [("c7", 1, 9), ("c2", 50, 60), ("c2", 3, 4)]) == ("c2", 3, 4) and sam.first_contig(header, []) is None
+
+
 def test_bam_without_index(spark, sam_path, tmp_path):
     import os
 
