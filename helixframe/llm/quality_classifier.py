@@ -2,7 +2,7 @@
 
 Two raw-content zstandard dictionaries are built from whole labelled texts, good and bad ones. Every whole text is compressed in
 blocks against each; the difference of the compressed sizes, divided by the text's length, is calibrated to a probability by a
-logistic fit on other labelled rows (with the length's logarithm, since a short text's difference says less).
+logistic fit on other labelled rows (with the length's logarithm, since a short text's difference says less, and the sizes' sum).
 
 Defined results: a null or empty text has difference 0 and scores as the calibration says for that; repeated rows score alike,
 and an id's smallest text is learned from; rows with a null id are scored and never used for fitting; without labels of both
@@ -69,13 +69,16 @@ def sizer(good: bytes, bad: bytes, p: Params):
 
 
 def features(sizes: np.ndarray) -> np.ndarray:
-    """The normalised size difference, the logarithm of the length, and their product. sizes: columns good, bad, raw."""
+    """The normalised size difference, the logarithm of the length, their product, and the normalised sum. sizes: columns good, bad, raw.
+
+    The sum says how little either dictionary covers the text, which tells more where labels are few.
+    """
     n = np.maximum(sizes[:, 2], 1.0)
     difference = (sizes[:, 1] - sizes[:, 0]) / n
-    return np.stack([difference, np.log(n), difference * np.log(n)], axis=1)
+    return np.stack([difference, np.log(n), difference * np.log(n), (sizes[:, 0] + sizes[:, 1]) / n], axis=1)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     z = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(z.shape[1])
     for _ in range(50):
@@ -120,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, params: Params = Pa
     sized = map_rows(rows.where("use = 'fit'").select("doc_id", "y", "text"), make, "doc_id long, y int, good long, bad long, raw long")
     got = sorted(sized.collect())
     if not got:
-        return Model(good, bad, np.zeros(3), np.ones(3), np.zeros(4), params)
+        return Model(good, bad, np.zeros(4), np.ones(4), np.zeros(5), params)
     x, y = features(np.array([r[2:] for r in got], dtype=float)), np.array([r[1] for r in got], dtype=float)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     return Model(good, bad, mean, scale, logistic((x - mean) / scale, y), params)

@@ -406,14 +406,14 @@ def test_quality_classifier(spark):
         raw = t.encode()
         good, bad = (sum(len(k.compress(raw[i : i + 300])) for i in range(0, len(raw), 300)) for k in packers)
         m = max(1, len(raw))
-        return [(bad - good) / m, np.log(m), (bad - good) / m * np.log(m)]
+        return [(bad - good) / m, np.log(m), (bad - good) / m * np.log(m), (bad + good) / m]
     fit = [r for r in rows.values() if r.h % 2]
     x, y = np.array([row(r.text) for r in fit]), np.array([r.quality for r in fit], dtype=float)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    w = np.zeros(4)
+    w = np.zeros(5)
     d = np.column_stack([np.ones(len(x)), (x - mean) / scale])
     for _ in range(20_000):  # plain gradient ascent on the same ridge objective
-        w += 0.02 * (d.T @ (y - 1 / (1 + np.exp(-d @ w))) - 0.1 * w)
+        w += 0.02 * (d.T @ (y - 1 / (1 + np.exp(-d @ w))) - w)
     for r in got.where("doc_id < 40").collect():
         assert r.score == pytest.approx(1 / (1 + np.exp(-(w[0] + ((np.array(row(r.text)) - mean) / scale) @ w[1:]))), abs=2e-3)
     edge = quality_classifier.score(docs(spark, edge_rows() + [(8, "word " * 200_000)]), model).collect()
