@@ -88,32 +88,42 @@ class Automata:
         self.classes = np.full(256, k, dtype=np.uint8)  # of bytes; k: in no reference
         self.classes[seen] = np.arange(k)
         self.words = k // 64 + 1  # of 64 bits in a state's mask
-        states, classes, targets, starts = [], [], [], []
+        masks, targets, starts = [], [], []
+        self.root = np.zeros((len(references), k + 1), dtype=np.int32)
+        # from the start states, by class: where to, and whether no match begins with it
+        self.alone = np.ones((len(references), k + 1), dtype=np.int32)
         n = 0
-        for r in references:
-            edges = suffix_automaton(self.classes[np.frombuffer(r, dtype=np.uint8)].tobytes())
-            degree = np.fromiter(map(len, edges), dtype=np.int64, count=len(edges))
-            total = int(degree.sum())
-            states.append(np.repeat(np.arange(len(edges)), degree) + n)
-            classes.append(np.fromiter((c for out in edges for c in out), dtype=np.int64, count=total))
-            targets.append(np.fromiter((t for out in edges for t in out.values()), dtype=np.int64, count=total) + n)
+        for i, r in enumerate(references):
+            # a language at a time: its automaton in Python's objects is let go before the next one's is built
+            state, own, target = self._flat(suffix_automaton(self.classes[np.frombuffer(r, dtype=np.uint8)].tobytes()))
+            size = int(state[-1]) + 1 if len(state) else 1
+            size = max(size, int(target.max()) + 1 if len(target) else 1)  # the last state may have no way out
+            mask = np.zeros(size * self.words, dtype=np.uint64)
+            np.bitwise_or.at(mask, state * np.int32(self.words) + (own >> 6), np.uint64(1) << (own & 63).astype(np.uint64))
+            self.root[i] = n
+            leaves = int(np.searchsorted(state, 1))
+            self.root[i, own[:leaves]] = target[:leaves] + n
+            self.alone[i, own[:leaves]] = 0
+            masks.append(mask)
+            targets.append(target + np.int32(n))
             starts.append(n)
-            n += len(edges)
-        state, own, target = (np.concatenate(x) for x in (states, classes, targets))
-        order = np.lexsort((own, state))
-        state, own, target = state[order], own[order], target[order]
+            n += size
         self.starts = np.array(starts, dtype=np.int32)
-        self.masks = np.zeros(n * self.words, dtype=np.uint64)
-        np.bitwise_or.at(self.masks, state * self.words + (own >> 6), np.uint64(1) << (own & 63).astype(np.uint64))
-        self.base = np.concatenate([[0], np.cumsum(np.bitwise_count(self.masks), dtype=np.int64)[:-1]]).astype(np.int32)
-        self.targets = np.concatenate([target, [0]]).astype(np.int32)
-        # from the start states, by class: where to, and whether no match begins with it
-        self.root = np.repeat(self.starts[:, None], k + 1, axis=1)
-        self.alone = np.ones((len(references), k + 1), dtype=np.int32)
-        for i, s in enumerate(starts):
-            leaves = state == s
-            self.root[i, own[leaves]] = target[leaves]
-            self.alone[i, own[leaves]] = 0
+        self.masks = np.concatenate(masks)
+        self.base = (np.cumsum(np.bitwise_count(self.masks), dtype=np.int32) - np.bitwise_count(self.masks)).astype(np.int32)
+        self.targets = np.concatenate([*targets, np.zeros(1, dtype=np.int32)])
+
+    @staticmethod
+    def _flat(edges: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """States, classes and targets of all transitions, in the order of states and classes."""
+        degree = np.fromiter(map(len, edges), dtype=np.int32, count=len(edges))
+        total = int(degree.sum())
+        own = np.fromiter((c for out in edges for c in out), dtype=np.uint8, count=total)
+        target = np.fromiter((t for out in edges for t in out.values()), dtype=np.int32, count=total)
+        edges.clear()
+        state = np.repeat(np.arange(len(degree), dtype=np.int32), degree)
+        order = np.lexsort((own, state))
+        return state[order], own[order], target[order]
 
     def phrases(self, texts: list[bytes], stretch: int) -> np.ndarray:
         """texts x references: longest matches needed to cover each text; a byte without a match is a phrase."""
