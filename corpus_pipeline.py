@@ -4,6 +4,12 @@ STAGES lists (name, function); a function takes (spark, docs, sf_dir) and return
 all rows its predecessor kept, is written as Parquet to the shared folder and read again. All but the last return the columns
 of documents; the last adds each document's tokens, domain posteriors and rate.
 
+Defined results, by stage. Quality: null and empty texts score as the classifier's calibration says; rows without an id are scored and
+not learned from; without labels of both classes all score alike and stay. Language: null texts and texts without a letter go, and all go where nothing can
+be learned. Near duplicates: rows without an id stay; of rows that repeat an id the one with the smallest text stays; empty and
+null texts are copies of nothing. Decontamination: texts without words stay; without a benchmark all stay. Mixture: every row stays and has a rate,
+also without an id or tokens. Columns beyond those of documents are not carried; an empty table stays empty; ties go to the smallest id.
+
 No stage's result is expressible in SQL as a whole (the filters and the rates come from trained models), so ORACLE_SQL is None;
 tests/llm compares each stage with a brute-force version.
 """

@@ -97,6 +97,42 @@ def test_stages(spark, corpus):
     assert {r.doc_id for r in cp.run(spark, d).collect()} == set(out.doc_id)
 
 
+def test_stages_on_odd_rows(spark, corpus, tmp_path):
+    import corpus_pipeline as cp
+
+    d, texts, _, items = corpus
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    # rows without an id, rows that repeat one, a very long text, columns whose names clash with the stages' own
+    good = [t for i, t, *_ in texts.values() if i < 200 and i % 5 != 4 and i % 7 and i % 25 != 8]
+    odd = [(None, good[0], "en", "s", 1), (None, None, None, None, None), (500, good[1], "de", "s", 1), (500, good[1], "de", "s", 1), (501, " ".join(good) * 5, "en", None, 1)]
+    clash = spark.read.parquet(f"{d}/documents.parquet").unionByName(spark.createDataFrame(odd, schema))
+    for c in ("score", "rate", "lang_pred", "component_id", "n_hit", "posterior"):
+        clash = clash.withColumn(c, cp.F.lit("old"))
+    at = str(tmp_path / "odd")
+    clash.write.parquet(f"{at}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{d}/{name}.parquet").write.parquet(f"{at}/{name}.parquet")
+    now = cp.table(spark, at, "documents")
+    kept = [r.doc_id for r in cp.near_duplicates(spark, now, at).collect()]
+    assert kept.count(None) == 2 and kept.count(500) == 0 and 501 in kept  # 500 repeats, and copies an earlier text
+    assert [r.doc_id for r in cp.decontaminate(spark, now, at).collect()].count(None) == 2
+    rated = cp.mixture(spark, now, at)
+    assert rated.count() == now.count() and rated.where("rate IS NULL").count() == 0
+    out = cp.run(spark, at)
+    assert {f.name for f in out.schema} >= {*cp.COLUMNS, "n_tokens", "rate"} and "lang_pred" not in out.columns
+    assert out.where("doc_id IS NULL").count() == 1
+    # an empty corpus, and one without labels or benchmark
+    none = str(tmp_path / "none")
+    spark.createDataFrame([], schema).write.parquet(f"{none}/documents.parquet")
+    bare = str(tmp_path / "bare")
+    spark.createDataFrame([t for t in texts.values() if t[0] is not None and t[0] < 40], schema).write.parquet(f"{bare}/documents.parquet")
+    for at in (none, bare):
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+    assert cp.run(spark, none).count() == 0
+    assert cp.run(spark, bare).count() > 20
+
+
 def test_queries_without_sql(spark, corpus):
     import __spark_entry__
 
