@@ -395,7 +395,7 @@ def _share(train: DataFrame, trees, block_bits: int, p: Params) -> DataFrame:
                         waiting[bit + 2 * aside].append([k[which] for k in keys])
                     if sum(len(w[0]) for w in waiting[0]) > 1_000_000:
                         flush()
-                        if sum(len(t) for kinds in tally for t in kinds) > 8_000_000:
+                        if sum(len(t) for kinds in tally for t in kinds) > 5_000_000:
                             yield from give()
 
         def flush():
