@@ -208,6 +208,32 @@ def events(texts: list[bytes], trees: Trees, bits: list[int], segment: int = 1)
     return count, at, slots, real
 
 
+def coded_bytes(texts: list[bytes]) -> list[np.ndarray]:
+    """For each predictor a key of every byte of some streams: its context's hash, then the byte before and the byte itself."""
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    begin = np.concatenate([[0], np.cumsum([len(t) for t in texts])[:-1]]).astype(np.int64)
+    hashes = _contexts(data, begin)
+    code = np.empty(len(data), dtype=np.uint64)
+    code[0] = 0
+    code[1:] = data[:-1]
+    code[begin] = 0
+    code <<= np.uint64(8)
+    code |= data
+    return [h.astype(np.uint64) << np.uint64(16) | code for h in hashes]
+
+
+def decisions_of(keys: np.ndarray, counts: np.ndarray, trees: Trees) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The decisions of distinct keys of coded_bytes: each one's 32-bit key, its count and its bit."""
+    code = (keys & np.uint64(0xFFFF)).astype(np.int64)
+    length = trees.length[code].astype(np.int64)
+    last = np.cumsum(length)
+    at = np.arange(last[-1] if len(last) else 0)
+    at += np.repeat(trees.offset[code] - (last - length), length)
+    with np.errstate(over="ignore"):
+        slots = np.repeat((keys >> np.uint64(16)).astype(np.uint32), length) + trees.salt[at]
+    return slots, np.repeat(counts, length), trees.bit[at].view(bool)
+
+
 def chunks(texts: list[bytes], limit: int) -> list[list[bytes]]:
     """Lists of whole streams of about `limit` bytes; a longer stream is a list of its own."""
     out: list[list[bytes]] = []
@@ -327,9 +353,10 @@ def _count_words(rows: DataFrame, scratch, p: Params) -> Words:
 
 
 class Tally:
-    """Counts by 32-bit key, as sorted runs; a run is merged into the one before while it is at least half as long."""
+    """Counts by key, as sorted runs; a run is merged into the one before while it is at least half as long."""
 
-    def __init__(self):
+    def __init__(self, dtype=np.uint32):
+        self.dtype = dtype
         self.runs: list[tuple[np.ndarray, np.ndarray]] = []
 
     def __len__(self) -> int:
@@ -358,7 +385,17 @@ class Tally:
     def take(self) -> tuple[np.ndarray, np.ndarray]:
         while len(self.runs) > 1:
             self._merge()
-        return self.runs.pop() if self.runs else (np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.uint32))
+        return self.runs.pop() if self.runs else (np.zeros(0, dtype=self.dtype), np.zeros(0, dtype=np.uint32))
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of each one's counts."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
+    if not len(first):
+        return keys, counts
+    return keys[first], np.minimum(np.add.reduceat(counts[order], first, dtype=np.uint64), 2**32 - 1).astype(np.uint32)
 
 
 def _planes(*columns: np.ndarray) -> bytes:
@@ -378,38 +415,47 @@ _MET = "block int, n long, packed array<binary>"  # all kinds of a block in one
 
 
 def _share(train: DataFrame, trees, block_bits: int, p: Params) -> DataFrame:
-    """Every task's context counts by 32-bit key, nothing shared or left out. train: (text, aside)."""
+    """Every task's context counts by 32-bit key, nothing shared or left out. train: (text, aside).
+
+    A task counts whole bytes in their contexts and takes only the distinct ones apart into decisions.
+    """
 
     def make():
         own = trees.value
-        tally = [[Tally() for _ in range(_KINDS)] for _ in range(CONTEXTS)]
-        waiting: list[list[list[np.ndarray]]] = [[] for _ in range(_KINDS)]
+        tally = [[Tally(np.uint64) for _ in range(2)] for _ in range(CONTEXTS)]  # of the texts counted, and of the mixer's part
+        waiting: list[list[list[np.ndarray]]] = [[], []]
 
         def work(batch: pa.RecordBatch):
             texts, asides = [stream(tokens(t)) for t in batch.column("text").to_pylist()], batch.column("aside").to_pylist()
-            for aside in (False, True):
+            for aside in (0, 1):
                 for part in chunks([t for t, x in zip(texts, asides) if x == aside], p.chunk_bytes):
-                    _, at, keys, _ = events(part, own, [32] * CONTEXTS)
-                    one = np.take(own.bit, at).view(bool)
-                    for bit, which in enumerate((~one, one)):
-                        waiting[bit + 2 * aside].append([k[which] for k in keys])
-                    if sum(len(w[0]) for w in waiting[0]) > 1_000_000:
+                    waiting[aside].append(coded_bytes(part))
+                    if sum(len(w[0]) for w in waiting[aside]) > 1_000_000:
                         flush()
-                        if sum(len(t) for kinds in tally for t in kinds) > 5_000_000:
+                        if sum(len(t) for parts in tally for t in parts) > 2_000_000:
                             yield from give()
 
         def flush():
-            for kind in range(_KINDS):
+            for aside in (0, 1):
                 for k in range(CONTEXTS):
-                    if waiting[kind]:
-                        tally[k][kind].add(np.concatenate([w[k] for w in waiting[kind]]))
-                waiting[kind].clear()
+                    if waiting[aside]:
+                        tally[k][aside].add(np.concatenate([w[k] for w in waiting[aside]]))
+                waiting[aside].clear()
+
+        def decided(k: int, aside: int) -> list[tuple[np.ndarray, np.ndarray]]:
+            """Keys and counts of the bits 0 and 1."""
+            keys, counts = tally[k][aside].take()
+            out = [Tally(), Tally()]
+            for i in range(0, len(keys), 500_000):
+                slots, n, one = decisions_of(keys[i : i + 500_000], counts[i : i + 500_000], own)
+                for bit, which in enumerate((~one, one)):
+                    out[bit].add(*summed(slots[which], n[which]))
+            return [t.take() for t in out]
 
         def give():
             edges = np.arange(1, 1 << block_bits, dtype=np.uint64) << np.uint64(32 - block_bits)
             for k in range(CONTEXTS):
-                for kind in range(_KINDS):
-                    keys, counts = tally[k][kind].take()
+                for kind, (keys, counts) in enumerate([*decided(k, 0), *decided(k, 1)]):
                     cut = [0, *np.searchsorted(keys, edges.astype(np.uint32)).tolist(), len(keys)]
                     for b, (i, j) in enumerate(zip(cut, cut[1:])):
                         if i < j:

@@ -643,3 +643,23 @@ def test_html_against_plain_lists(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert html_extraction.extract(frame.limit(0)).count() == 0
+
+
+def test_lm_bytes_counted_whole_give_the_same_decisions():
+    texts = [lm_scoring.stream(lm_scoring.tokens(t)) for t in ("", "a", "the cat sat on the mat the cat sat", "çà et là " * 30, "a", "x" * 700)]
+    pairs = np.zeros(65536, dtype=np.int64)
+    for t in texts:
+        data = np.frombuffer(b"\0" + t, dtype=np.uint8).astype(np.int64)
+        np.add.at(pairs, data[:-1] * 256 + data[1:], 1)
+    trees = lm_scoring.Trees(pairs.reshape(256, 256))
+    _, at, slots, _ = lm_scoring.events(texts, trees, [32] * lm_scoring.CONTEXTS)
+    for k, coded in enumerate(lm_scoring.coded_bytes(texts)):
+        tally = lm_scoring.Tally(np.uint64)
+        tally.add(coded)
+        got, n, one = lm_scoring.decisions_of(*tally.take(), trees)
+        for bit in (0, 1):
+            expected = np.unique(slots[k][trees.bit[at] == bit], return_counts=True)
+            for a, b in zip(lm_scoring.summed(got[one == bit], n[one == bit]), expected):
+                assert a.tolist() == b.tolist()
+    none = lm_scoring.decisions_of(*lm_scoring.Tally(np.uint64).take(), trees)
+    assert [len(x) for x in none] == [0, 0, 0] and len(lm_scoring.summed(none[0], none[1])[0]) == 0
