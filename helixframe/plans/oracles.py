@@ -118,6 +118,7 @@ ORACLES: dict[str, str] = {
     "annotate_exact": _w(SITES, ALLELES, KNOWN, EXACT) + "SELECT * FROM exact",
     "annotate_effect": _w(SITES, ALLELES, EFFECT) + "SELECT * FROM eff",
     "annotate_variants": _w(SITES, ALLELES, KNOWN, EXACT, EFFECT) + "SELECT concat_ws(':', reference_name, start, allele, variant_id) AS key, count(*) AS n, string_agg(e, ',' ORDER BY e) AS effects FROM (SELECT reference_name, start, allele, variant_id, 'KNOWN:' || gene_id AS e FROM exact UNION ALL SELECT reference_name, start, allele, variant_id, effect || ':' || gene_id FROM eff) GROUP BY 1",
+    "bam_round_trip": _w(READS) + "SELECT id, CAST(CASE WHEN proper THEN 2 ELSE 0 END + CASE WHEN rev THEN 16 ELSE 0 END + CASE WHEN failed THEN 512 ELSE 0 END + CASE WHEN dup THEN 1024 ELSE 0 END + CASE WHEN reference_name = '*' THEN 4 ELSE 0 END AS BIGINT) AS flag, reference_name, CAST(CASE WHEN reference_name = '*' THEN 0 ELSE position + 1 END AS BIGINT) AS pos, CASE WHEN reference_name = '*' THEN 0 ELSE mq END AS mapping_quality, CASE WHEN reference_name = '*' THEN '*' WHEN shape = 0 THEN q || 'M' WHEN shape = 1 THEN '2S' || q || 'M' ELSE (q // 2) || 'M3D' || (q - q // 2) || 'M' END AS cigar, coalesce(mate_ref, '*') AS mate_reference_name, CAST(coalesce(mate_pos + 1, 0) AS BIGINT) AS mate_pos, seq, repeat(chr(CAST(43 + l_linenumber AS INT)), CAST(q + CASE WHEN shape = 1 THEN 2 ELSE 0 END AS INT)) AS qual, 'RG:Z:' || rgs AS tags FROM reads",
     "bam_diff": _w(READS, "a AS (SELECT *, row_number() OVER (PARTITION BY reference_name, position, id ORDER BY mq, seq) AS n FROM reads)", "b AS (SELECT reference_name, position, id, mq2 AS mq, seq, row_number() OVER (PARTITION BY reference_name, position, id ORDER BY mq2, seq) AS n FROM (SELECT *, mq + CASE WHEN position % 50 = 0 THEN 1 ELSE 0 END AS mq2 FROM reads WHERE NOT dup))") + "SELECT status, count(*) AS n FROM (SELECT CASE WHEN b.id IS NULL THEN 'first only' WHEN a.id IS NULL THEN 'second only' WHEN a.mq <> b.mq OR a.seq <> b.seq THEN 'different' END AS status FROM a FULL JOIN b USING (reference_name, position, id, n)) WHERE status IS NOT NULL GROUP BY 1",
     "event_buckets": "SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS bucket, event_type, count(*) AS n, min(value) AS least, max(value) AS most FROM events GROUP BY 1, 2",
 }

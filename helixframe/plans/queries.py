@@ -232,3 +232,27 @@ def bam_diff(spark, d):
 @query
 def event_buckets(spark, d):
     return buckets.event_buckets(views.table(spark, d, "events"))
+
+
+@query
+def bam_round_trip(spark, d):
+    """All reads, written as a sorted BAM file with its index in the shared checkpoint folder and read back in shards of 64 KB."""
+    from ..schemas import CIGAR_OPERATIONS
+    from ..sources import bam
+
+    letters = F.create_map(*[F.lit(x) for name, letter, _ in CIGAR_OPERATIONS for x in (name, letter)])
+    placed, e = F.col("reference_name") != "*", F.expr
+    flag = e("2 * int(proper_placement) + 16 * int(reverse_strand) + 512 * int(failed_vendor_quality_checks) + 1024 * int(duplicate_fragment)") + F.when(placed, 0).otherwise(4)
+    rows = views.reads(spark, d).select(
+        F.col("id").alias("qname"), flag.cast("int").alias("flag"), F.col("reference_name").alias("rname"), F.when(placed, F.col("position") + 1).otherwise(0).cast("long").alias("pos"),
+        F.when(placed, F.col("mapping_quality")).otherwise(0).cast("int").alias("mapq"),
+        F.when(placed, F.array_join(F.transform("cigar", lambda c: F.concat(c.operation_length.cast("string"), letters[c.operation])), "")).otherwise("*").alias("cigar"),
+        F.coalesce("mate_reference_name", F.lit("*")).alias("rnext"), F.coalesce(F.col("mate_position") + 1, F.lit(0)).cast("long").alias("pnext"), F.lit(0).cast("long").alias("tlen"),
+        F.col("aligned_sequence").alias("seq"), e("array_join(transform(aligned_quality, q -> char(q + 33)), '')").alias("qual"), e("array(concat('RG:Z:', read_group_set_id))").alias("tags"),
+    )
+    names = ["GL.1", *(f"chr{i}" for i in range(1, 23)), "chrX", "chrY"]
+    path = f"{bam.shared_folder(spark)}/reads.bam"
+    bam.write_bam(rows, {"SQ": [{"SN": n, "LN": str(1 << 29)} for n in names]}, path)
+    back = bam.read_bam(spark, path, maxShardBytes=str(1 << 16))
+    mate = F.when(F.col("rnext") == "=", F.col("rname")).otherwise(F.col("rnext"))
+    return back.select(F.col("qname").alias("id"), F.col("flag").cast("long").alias("flag"), F.col("rname").alias("reference_name"), F.col("pos").cast("long").alias("pos"), F.col("mapq").cast("long").alias("mapping_quality"), "cigar", mate.alias("mate_reference_name"), F.col("pnext").cast("long").alias("mate_pos"), "seq", "qual", F.array_join("tags", ",").alias("tags"))

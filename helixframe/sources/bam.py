@@ -409,6 +409,20 @@ class BlockWriter:
             self.pending = b""
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder under spark.checkpoint.dir, as a path that files can be opened at; a local session without that setting uses /tmp."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = "/tmp/checkpoints"
+    if not root.startswith(("/", "file:")):
+        raise ValueError(f"alignment files need a mounted folder, not {root}")
+    folder = os.path.join("/" + root.removeprefix("file:").lstrip("/"), f"helixframe-bam-{uuid.uuid4().hex}")
+    os.makedirs(folder)
+    return folder
+
+
 def write_bam(rows: DataFrame, header: dict, path: str, partitions: int | None = None) -> None:
     """Write rows of SCHEMA as one sorted BAM file and its index. `path` is in a folder that all executors share.
 

@@ -151,3 +151,16 @@ def test_text_forms(spark, tmp_path):
     pts = spark.createDataFrame([("n", -0.5, 1.25)], "name string, x double, y double")
     text.write_lines(text.pcoa_lines(pts), str(tmp_path / "o"), single=True)
     assert [r.value for r in spark.read.text(str(tmp_path / "o")).collect()] == ["n\t\t-0.5\t1.25"]
+
+
+def test_registered_round_trip_equals_its_sql(spark):
+    import duckdb
+
+    import __spark_entry__
+
+    folder = "/root/testdata/sf0.001"
+    got = __spark_entry__.queries()["bam_round_trip"](spark, folder)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{folder}/lineitem.parquet'")
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({__spark_entry__.oracle_sql()['bam_round_trip']})").fetchall()
+    assert len(want) > 1000 and sorted(map(tuple, got.collect())) == sorted(want)
