@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
@@ -14,6 +15,8 @@ from ..shipping import ship
 
 #: Rows per Arrow batch sent to Python; texts can be long, so batches are kept short.
 ARROW_ROWS = 1000
+#: Bytes of a batch that a batch function gets at once, and about as many that it should give: 1,000 texts can have any length.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,8 +69,30 @@ class Scratch:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def pieces(batch: pa.RecordBatch, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in stretches of at most `limit` bytes; a longer row is a stretch of its own."""
+    if batch.nbytes <= limit or batch.num_rows < 2:
+        yield batch
+        return
+    half = batch.num_rows // 2
+    yield from pieces(batch.slice(0, half), limit)
+    yield from pieces(batch.slice(half), limit)
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker is kept for later tasks, and idles beside others."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[dict[str, list]]]], schema: str) -> DataFrame:
-    """Run a batch function over Arrow batches. make() is called once a task and returns it; it yields columns."""
+    """Run a batch function over Arrow batches. make() is called once a task and returns it; it yields columns.
+
+    It gets at most BATCH_BYTES at once, so that its memory does not grow with the length of the texts.
+    """
     from pyspark.sql.types import _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -77,12 +102,15 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterab
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for cols in work(batch):
-                yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in arrow], schema=arrow)
+            for piece in pieces(batch):
+                for cols in work(piece):
+                    yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in arrow], schema=arrow)
         end = getattr(work, "end", None)
         if end:
             for cols in end():
                 yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in arrow], schema=arrow)
+        del work, end
+        release()
 
     return df.mapInArrow(run, schema)
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, carried, components, map_rows, n_partitions, short_batches
+from .common import BATCH_BYTES, Scratch, carried, components, map_rows, n_partitions, short_batches
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -566,12 +566,17 @@ def _verify(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
 
         def work(batch: pa.RecordBatch):
             out: tuple[list, ...] = ([], [], [], [])
+            size = 0
             for rep, raw, *place in zip(*(batch.column(c).to_pylist() for c in ("rep", "set", "a", "salt", "b"))):
                 if raw is not None:
                     state["rep"], state["set"] = rep, raw
                 elif state["rep"] == rep:
                     for o, x in zip(out, (*place, state["set"])):
                         o.append(x)
+                    size += len(state["set"])
+                    if size > BATCH_BYTES:  # a long set may be asked for by every row of a batch
+                        yield dict(zip(("a", "salt", "b", "set"), out))
+                        out, size = ([], [], [], []), 0
             yield dict(zip(("a", "salt", "b", "set"), out))
 
         return work

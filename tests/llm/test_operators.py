@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixframe.llm import chat_formatting, decontamination, embedding_dedup, html_extraction, language_id, lm_scoring, mixing, ngram_jaccard, quality_classifier, url_filters
-from helixframe.llm.common import Scratch, components
+from helixframe.llm.common import BATCH_BYTES, Scratch, components, map_rows
 
 DOC = "doc_id long, text string, score double, rep long"  # with columns whose names clash
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -663,3 +663,27 @@ def test_lm_bytes_counted_whole_give_the_same_decisions():
                 assert a.tolist() == b.tolist()
     none = lm_scoring.decisions_of(*lm_scoring.Tally(np.uint64).take(), trees)
     assert [len(x) for x in none] == [0, 0, 0] and len(lm_scoring.summed(none[0], none[1])[0]) == 0
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    def make():
+        def work(batch):
+            size = sum(len(x.as_py()) for x in batch.column("text"))
+            yield {"n": [batch.num_rows], "size": [size], "first": batch.column("id")[:1]}
+
+        return work
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    docs = spark.range(300, numPartitions=1).select("id", F.repeat(F.lit("word "), F.when(F.col("id") == 7, 2_500_000).otherwise(20_000).cast("int")).alias("text"))
+    got = map_rows(docs, make, "n int, size long, first long").orderBy("first").collect()
+    assert sum(r.n for r in got) == 300 and sum(r.size for r in got) == 299 * 100_000 + 12_500_000
+    assert all(r.size <= BATCH_BYTES or r.n == 1 for r in got) and max(r.size for r in got) == 12_500_000
+
+
+def test_sets_asked_for_often_are_given_in_bounded_batches(spark, monkeypatch):
+    monkeypatch.setattr(ngram_jaccard, "BATCH_BYTES", 1000)
+    text = " ".join(f"w{i}" for i in range(300))
+    docs = spark.createDataFrame([(i, text + f" x{i}") for i in range(40)] + [(40, "a b c d e f")], "doc_id long, text string")
+    pairs = spark.createDataFrame([(a, b) for a in range(40) for b in range(a + 1, 41)], "a long, b long")
+    found = {(r.a, r.b) for r in ngram_jaccard._verify(pairs, docs, ngram_jaccard.Params()).collect()}
+    assert found == {(a, b) for a in range(40) for b in range(a + 1, 40)}
