@@ -125,6 +125,19 @@ def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Edges that one task takes at once (a union-find of 60 MB at most); more of them are contracted in rounds.
+FEW_EDGES = 200_000
+
+
+def _root(parent: dict[int, int], x: int) -> int:
+    root = x
+    while (p := parent.setdefault(root, root)) != root:
+        root = p
+    while parent[x] != root:
+        parent[x], x = root, parent[x]
+    return root
+
+
 def spanning_forest(edges: DataFrame) -> DataFrame:
     """Within each partition keep only edges that join two trees: fewer rows, the same components.
 
@@ -134,18 +147,10 @@ def spanning_forest(edges: DataFrame) -> DataFrame:
     def make() -> Any:
         parent: dict[int, int] = {}
 
-        def find(x: int) -> int:
-            root = x
-            while (p := parent.setdefault(root, root)) != root:
-                root = p
-            while parent[x] != root:
-                parent[x], x = root, parent[x]
-            return root
-
         def work(batch: pa.RecordBatch):
             a_out, b_out = [], []
             for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-                ra, rb = find(a), find(b)
+                ra, rb = _root(parent, a), _root(parent, b)
                 if ra != rb:
                     lo, hi = (ra, rb) if ra < rb else (rb, ra)
                     parent[hi] = lo
@@ -160,13 +165,38 @@ def spanning_forest(edges: DataFrame) -> DataFrame:
     return map_rows(edges.select("a", "b"), make, "a long, b long")
 
 
+def _labelled(edges: DataFrame) -> DataFrame:
+    """(node, component) of a few edges (u, v), joined by one task."""
+
+    def make() -> Any:
+        parent: dict[int, int] = {}
+
+        def work(batch: pa.RecordBatch):
+            for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+                lo, hi = sorted((_root(parent, u), _root(parent, v)))
+                parent[hi] = lo
+            return ()
+
+        def end():
+            nodes = list(parent)
+            yield {"node": nodes, "component": [_root(parent, x) for x in nodes]}
+
+        work.end = end
+        return work
+
+    return map_rows(edges.coalesce(1), make, "node long, component long")
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Connected components of edges (a, b): rows (node, component), component the smallest node.
 
-    Alternating large-star and small-star contraction; every round is written to the
-    shared folder. No edge or component is collected; only two counters reach the driver.
+    The partitions' forests are joined by one task if they hold FEW_EDGES at most. More edges are contracted by
+    alternating large and small stars; every round is written to the shared folder. No edge or component is collected; only
+    counters reach the driver.
     """
-    e = scratch.save(spanning_forest(edges.where("a <> b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    e = scratch.save(spanning_forest(edges.where("a <> b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
+    if e.count() <= FEW_EDGES:
+        return _labelled(e)
     last = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -223,32 +223,42 @@ def _summed(shares: DataFrame, width: int, finish) -> np.ndarray:
 
 
 _BITMAP_BLOCKS = 64
+#: Ids whose tasks' shares go to the driver as they are (a few bytes an id); those of more ids are merged on the way.
+_FEW_IDS = 250_000
 
 
-def _marked(ids: DataFrame, column: str, bits: int) -> np.ndarray:
-    """The bitmap of hashed ids, eight flags a byte. Tasks hold the slots of their own ids; blocks of the bitmap meet in two levels."""
+def _marked(ids: DataFrame, columns: tuple[str, ...], bits: int) -> list[np.ndarray]:
+    """Of each column the bitmap of hashed ids, eight flags a byte. Tasks hold the slots of their own ids; blocks of the bitmaps meet in two levels."""
     step = (1 << bits) // _BITMAP_BLOCKS
 
-    def out(slots: np.ndarray):
+    def out(first: int, slots: np.ndarray):
         cuts = np.searchsorted(slots, np.arange(_BITMAP_BLOCKS + 1) * step)
         for b in range(_BITMAP_BLOCKS):
             own = slots[cuts[b] : cuts[b + 1]]
             if len(own):
-                yield {"block": [b], "at": [zlib.compress(np.diff(own - b * step, prepend=0).astype(np.uint32).tobytes(), 1)]}
+                yield {"block": [first + b], "at": [pack_slots(own - b * step)]}
+
+    def pack_slots(own: np.ndarray) -> bytes:
+        return zlib.compress(np.diff(own, prepend=0).astype(np.uint32).tobytes(), 1)
+
+    def unpack_slots(raw: bytes) -> np.ndarray:
+        return np.cumsum(np.frombuffer(zlib.decompress(raw), dtype=np.uint32), dtype=np.int64)
 
     def collect():
-        waiting: list[np.ndarray] = []
+        waiting: list[list[np.ndarray]] = [[] for _ in columns]
 
         def work(batch: pa.RecordBatch):
-            waiting.append(_slot(batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64), bits))
-            if sum(map(len, waiting)) > 4_000_000:
+            for own, c in zip(waiting, columns):
+                own.append(_slot(batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64), bits))
+            if sum(map(len, waiting[0])) > 4_000_000:
                 yield from end()
 
         def end():
-            if waiting:
-                slots = np.unique(np.concatenate(waiting))
-                waiting.clear()
-                yield from out(slots)
+            for k, own in enumerate(waiting):
+                if own:
+                    slots = np.unique(np.concatenate(own))
+                    own.clear()
+                    yield from out(k * _BITMAP_BLOCKS, slots)
 
         work.end = end
         return work
@@ -259,7 +269,7 @@ def _marked(ids: DataFrame, column: str, bits: int) -> np.ndarray:
 
             def work(batch: pa.RecordBatch):
                 for b, raw in zip(batch.column("block").to_pylist(), batch.column("at").to_pylist()):
-                    own.setdefault(b, np.zeros(step, dtype=np.uint8))[np.cumsum(np.frombuffer(zlib.decompress(raw), dtype=np.uint32), dtype=np.int64)] = 1
+                    own.setdefault(b, np.zeros(step, dtype=np.uint8))[unpack_slots(raw)] = 1
                 return ()
 
             def end():
@@ -267,7 +277,7 @@ def _marked(ids: DataFrame, column: str, bits: int) -> np.ndarray:
                     if last:
                         yield {"block": [b], "at": [zlib.compress(np.packbits(flags).tobytes(), 1)]}
                     else:
-                        yield from out(np.flatnonzero(flags) + b * step)
+                        yield {"block": [b], "at": [pack_slots(np.flatnonzero(flags))]}
 
             work.end = end
             return work
@@ -275,21 +285,32 @@ def _marked(ids: DataFrame, column: str, bits: int) -> np.ndarray:
         return make
 
     parts, schema = n_partitions(ids.sparkSession), "block int, at binary"
-    shares = map_rows(ids.select(column), collect, schema)
+    shares = map_rows(ids.select(*columns), collect, schema)
+    flags = np.zeros((len(columns), (1 << bits) // 8), dtype=np.uint8)
+    if ids.count() <= _FEW_IDS:
+        for r in shares.collect():
+            at = unpack_slots(r["at"]) + r.block % _BITMAP_BLOCKS * step
+            np.bitwise_or.at(flags[r.block // _BITMAP_BLOCKS], at >> 3, (128 >> (at & 7)).astype(np.uint8))
+        return list(flags)
     once = map_rows(shares.repartition(parts, "block", F.pmod(F.xxhash64("at"), F.lit(max(1, parts // 16)))), merge(False), schema)
-    flags = np.zeros((1 << bits) // 8, dtype=np.uint8)
     for r in map_rows(once.repartition(_BITMAP_BLOCKS, "block"), merge(True), schema).collect():
-        flags[r.block * step // 8 : (r.block + 1) * step // 8] = np.frombuffer(zlib.decompress(r["at"]), dtype=np.uint8)
-    return flags
+        b = r.block % _BITMAP_BLOCKS
+        flags[r.block // _BITMAP_BLOCKS, b * step // 8 : (b + 1) * step // 8] = np.frombuffer(zlib.decompress(r["at"]), dtype=np.uint8)
+    return list(flags)
 
 
 class IdBitmap:
     """A broadcast bitmap of hashed ids: `picks` tells which of some ids may be among them."""
 
-    def __init__(self, ids: DataFrame, column: str, p: Params):
-        self.shared = ids.sparkSession.sparkContext.broadcast(_marked(ids, column, p.id_bits))
+    def __init__(self, ids: DataFrame, column: str, p: Params, flags: np.ndarray | None = None):
+        self.shared = ids.sparkSession.sparkContext.broadcast(_marked(ids, (column,), p.id_bits)[0] if flags is None else flags)
         self.bits = p.id_bits
 
+    @classmethod
+    def several(cls, ids: DataFrame, columns: tuple[str, ...], p: Params) -> list["IdBitmap"]:
+        """The bitmaps of several columns, from one pass over the ids."""
+        return [cls(ids, c, p, own) for c, own in zip(columns, _marked(ids, columns, p.id_bits))]
+
     def __getstate__(self):
         return {"shared": self.shared, "bits": self.bits}
 
@@ -330,7 +351,7 @@ def _banded(docs: DataFrame, left: DataFrame, turn: int, p: Params) -> DataFrame
     Reps and keys are told by bitmaps, and how many chunks a large key is cut into by a sketch, all of fixed size, so the sets
     go straight from the texts to their chunks. What a bitmap lets through in error meets others without a result.
     """
-    reps, keys = IdBitmap(left, "rep", p), IdBitmap(left, "key", p)
+    reps, keys = IdBitmap.several(left, ("rep", "key"), p)
     slots = left.where(F.col("size") > p.chunk).groupBy(F.pmod("key", F.lit(1 << _LEVEL_BITS)).alias("slot")).agg(F.max("size").alias("size")).collect()  # at most 2^20
     level = np.zeros(1 << _LEVEL_BITS, dtype=np.uint8)
     for r in slots:
@@ -646,6 +667,7 @@ def distinct_ids(docs: DataFrame, scratch: Scratch, p: Params = Params()) -> Dat
 
     Only rows whose id may be a repeated one are exchanged; they are told by a bitmap.
     """
+    short_batches(docs.sparkSession)
     repeated = scratch.save(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if not repeated.limit(1).count():
         return docs
@@ -667,10 +689,12 @@ def distinct_ids(docs: DataFrame, scratch: Scratch, p: Params = Params()) -> Dat
 
 def join(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id) of docs(doc_id, text)."""
-    p, spark = params, docs.sparkSession
-    short_batches(spark)
-    scratch = Scratch(spark, "jaccard")
-    docs = distinct_ids(docs.select("doc_id", "text"), scratch, p)
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    return _join(distinct_ids(docs.select("doc_id", "text"), scratch, params), scratch, params)
+
+
+def _join(docs: DataFrame, scratch: Scratch, p: Params) -> DataFrame:
+    """join() of docs(doc_id, text) in which no id is repeated."""
     every = scratch.save(_sign(docs, p))
     signed = every.where("kind = 0 and doc_id is not null").select("doc_id", "n", "d1", "d2", "bands")
     ranks = _ranks(every, p)
@@ -725,7 +749,7 @@ def deduplicate(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "duplicates")
     docs = distinct_ids(docs, scratch, params)
-    found = join(docs, params).select("doc_id", "component_id")
+    found = _join(docs.select("doc_id", "text"), scratch, params).select("doc_id", "component_id")
     removed = scratch.save(found.where("doc_id <> component_id").select("doc_id"))
     # only rows whose id may be among the removed ones meet them in a join; the other texts are not exchanged
     wanted = IdBitmap(removed, "doc_id", params)

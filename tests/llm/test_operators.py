@@ -687,3 +687,35 @@ def test_sets_asked_for_often_are_given_in_bounded_batches(spark, monkeypatch):
     pairs = spark.createDataFrame([(a, b) for a in range(40) for b in range(a + 1, 41)], "a long, b long")
     found = {(r.a, r.b) for r in ngram_jaccard._verify(pairs, docs, ngram_jaccard.Params()).collect()}
     assert found == {(a, b) for a in range(40) for b in range(a + 1, 40)}
+
+
+def test_few_edges_take_no_rounds(spark, monkeypatch):
+    from helixframe.llm import common
+
+    edges = [(i, i + 1) for i in range(200)] + [(500, 400), (500, 450), (450, 450)]
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    want = {i: 0 for i in range(201)} | {400: 400, 450: 400, 500: 400}
+    context = spark.sparkContext
+    for few in (200_000, 10):  # in one task, and in rounds
+        monkeypatch.setattr(common, "FEW_EDGES", few)
+        context.setJobGroup(f"components {few}", "")
+        got = components(frame, Scratch(spark, "test")).collect()
+        assert {r.node: r.component for r in got} == want and len(got) == len(want)
+    jobs = [len(context.statusTracker().getJobIdsForGroup(f"components {few}")) for few in (200_000, 10)]
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] <= 5 < jobs[1]
+
+
+def test_bitmaps_of_few_and_many_ids_are_equal(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(rng.randrange(-(1 << 40), 1 << 40), rng.randrange(1000)) for _ in range(3000)]
+    frame = spark.createDataFrame(rows, "rep long, key long").repartition(5)
+    few = ngram_jaccard._marked(frame, ("rep", "key"), 16)
+    monkeypatch.setattr(ngram_jaccard, "_FEW_IDS", 10)
+    many = ngram_jaccard._marked(frame, ("rep", "key"), 16)
+    for k in range(2):
+        want = np.zeros(1 << 16, dtype=np.uint8)
+        want[ngram_jaccard._slot(np.array([r[k] for r in rows], dtype=np.int64), 16)] = 1
+        assert (few[k] == np.packbits(want)).all() and (many[k] == few[k]).all()
+    empty = ngram_jaccard._marked(frame.where("key < 0"), ("rep", "key"), 16)
+    assert not empty[0].any() and not empty[1].any()
