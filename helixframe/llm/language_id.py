@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import carried, map_rows, short_batches
+from .common import carried, map_rows, release, short_batches
 
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -197,6 +197,7 @@ def fit(docs: DataFrame, allowed: Column, params: Params = Params()) -> Model:
         return Model([], None, np.zeros(0), params)
     references = [b"".join(texts[k][::2]) for k in languages]
     automata = Automata(references)
+    release()  # the driver keeps running: what the automata took as Python's objects is given back
     rates = np.full(len(languages), np.nan)
     for i, k in enumerate(languages):
         if others := texts[k][1::2]:

@@ -719,3 +719,12 @@ def test_bitmaps_of_few_and_many_ids_are_equal(spark, monkeypatch):
         assert (few[k] == np.packbits(want)).all() and (many[k] == few[k]).all()
     empty = ngram_jaccard._marked(frame.where("key < 0"), ("rep", "key"), 16)
     assert not empty[0].any() and not empty[1].any()
+
+
+def test_language_fit_gives_the_drivers_memory_back(spark, monkeypatch):
+    built, given = [], []
+    monkeypatch.setattr(language_id, "Automata", lambda refs, make=language_id.Automata: built.append(len(refs)) or make(refs))
+    monkeypatch.setattr(language_id, "release", lambda: given.append(len(built)))
+    rows = [(i, "the cat sat on the mat" if i % 2 else "die katze auf der matte", "en" if i % 2 else "de") for i in range(8)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert model.languages == ["de", "en"] and built == [2] and given == [1]
