@@ -25,7 +25,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, components, map_rows, n_partitions
@@ -48,6 +49,7 @@ class Params:
     alpha: float = 1.2
     beam: int = 24
     at_once: int = 6  # nodes of the beam expanded together
+    together: int = 64  # searches of a shard that take their steps side by side
     slack: float = 0.06  # nodes this far under the threshold are still expanded
 
 
@@ -55,6 +57,15 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
+def scaled(column: str) -> Column:
+    """The parts of a vector, divided by the largest, so that no square over- or underflows.
+
+    What a transform takes from outside is computed anew for every part, unless it is a part of a list: the list of one binds the largest once a row.
+    """
+    both = F.array(F.struct(F.col(column).alias("e"), F.array_max(F.transform(column, F.abs)).alias("largest")))
+    return F.transform(both, lambda b: F.transform(b["e"], lambda x: x / b["largest"]))[0]
+
+
 def fit_centroids(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
     """Spherical k-means, started at evenly spaced sample rows."""
     c = sample[np.linspace(0, len(sample) - 1, min(k, len(sample))).astype(int)].copy()
@@ -67,66 +78,117 @@ def fit_centroids(sample: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
     return c
 
 
-def robust_prune(x: np.ndarray, p: Params) -> list[np.ndarray]:
-    """Out-neighbours of every row of x: a candidate is dropped when a kept one is alpha times nearer to it."""
-    n = len(x)
-    out = []
-    for lo in range(0, n, 512):
-        sim = x[lo : lo + 512] @ x.T
-        sim[np.arange(len(sim)), np.arange(lo, lo + len(sim))] = -2
-        k = min(p.candidates, n - 1)
-        top = np.argpartition(-sim, k - 1, axis=1)[:, :k] if k else np.zeros((len(sim), 0), dtype=int)
-        for i, row in enumerate(top):
-            row = row[np.argsort(-sim[i, row], kind="stable")]
-            dist = 1 - sim[i, row]
-            between = 1 - x[row] @ x[row].T
-            alive, kept = np.ones(len(row), dtype=bool), []
-            for j in range(len(row)):
-                if alive[j]:
-                    kept.append(row[j])
-                    if len(kept) == p.degree:
-                        break
-                    alive &= p.alpha * between[j] > dist
-            out.append(np.array(kept, dtype=np.int64))
-    return out
-
+def robust_prune(x: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """Links (from, to) between rows of x, in order of from: a candidate is dropped when a kept one is alpha times nearer to it.
 
-def range_search(x: np.ndarray, graph: list[np.ndarray], medoid: int, q: int, p: Params) -> np.ndarray:
-    """Rows of x within the threshold of row q: greedy beam search from the medoid, then expansion in range."""
-    query = x[q]
-    sim = np.full(len(x), -2.0)
-    seen = np.zeros(len(x), dtype=bool)
-    beam = np.array([medoid])
-    sim[medoid], seen[medoid] = x[medoid] @ query, True
-    done = np.zeros(len(x), dtype=bool)
-    while True:
-        best = beam[~done[beam]][: p.at_once]
-        if not len(best):
-            break
-        done[best] = True
-        near = np.concatenate([graph[b] for b in best])
-        new = np.unique(near[~seen[near]])
-        if len(new):
-            seen[new] = True
-            sim[new] = x[new] @ query
-            beam = np.concatenate([beam, new])
-            beam = beam[np.lexsort((beam, -sim[beam]))[: p.beam]]
+    Rows are pruned side by side, a block of them at a time.
+    """
+    n = len(x)
+    k = min(p.candidates, n - 1)
+    out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
+    for lo in range(0, n if k else 0, 128):
+        sim = x[lo : lo + 128] @ x.T
+        own = np.arange(len(sim))
+        sim[own, lo + own] = -2
+        top = np.argpartition(-sim, k - 1, axis=1)[:, :k]
+        near = np.take_along_axis(sim, top, axis=1)
+        order = np.argsort(-near, axis=1, kind="stable")
+        top, dist = np.take_along_axis(top, order, axis=1), 1 - np.take_along_axis(near, order, axis=1)
+        y = x[top]
+        between = p.alpha * (1 - y @ y.transpose(0, 2, 1))
+        alive, kept = np.ones(top.shape, dtype=bool), np.zeros(top.shape, dtype=bool)
+        for j in range(k):
+            at = np.flatnonzero(alive[:, j])
+            if j >= p.degree:
+                at = at[kept[at].sum(axis=1) < p.degree]
+            kept[at, j] = True
+            alive[at] &= between[at, j] > dist[at]
+        i, j = np.nonzero(kept)
+        out.append((lo + i, top[i, j]))
+    return np.concatenate([i for i, _ in out]), np.concatenate([j for _, j in out])
+
+
+def range_search(x: np.ndarray, graph: tuple[np.ndarray, np.ndarray], medoid: int, queries: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (position in queries, row of x) within the threshold, but for the query's own row: greedy beam search from the medoid, then expansion in range.
+
+    graph: where each row's neighbours begin (and the last ones end), and the neighbours. The queries take their steps side by side; a query's
+    row is a stretch of the flat arrays.
+    """
+    begin, flat = graph
+    n, m = len(x), len(queries)
+    degree = np.diff(begin)
+    sim, seen, done = np.full(m * n, -2.0), np.zeros(m * n, dtype=bool), np.zeros(m * n, dtype=bool)
+    mark = np.empty(m * n, dtype=np.int32)
+    room = np.empty((2, 256, x.shape[1]), dtype=x.dtype)  # the vectors taken out stay in a core's cache
+
+    def meet(at: np.ndarray) -> None:
+        seen[at] = True
+        q, node = np.divmod(at, n)
+        asker = queries[q]
+        for i in range(0, len(at), len(room[0])):
+            own, other = (np.take(x, r[i : i + len(room[0])], axis=0, out=o[: len(r) - i], mode="clip") for r, o in zip((asker, node), room))
+            sim[at[i : i + len(room[0])]] = np.einsum("ij,ij->i", own, other)
+
+    def expand(at: np.ndarray) -> np.ndarray:
+        """The neighbours of some (query, row) that the query has not met, which it now meets; in order of `at`."""
+        done[at] = True
+        node = at % n
+        size = degree[node]
+        last = np.cumsum(size)
+        if not len(last) or not last[-1]:
+            return np.zeros(0, dtype=np.int64)
+        new = flat[np.arange(last[-1]) + np.repeat(begin[node] - (last - size), size)] + np.repeat(at - node, size)
+        new = new[~seen[new]]
+        turn = np.arange(len(new), dtype=np.int32)
+        mark[new] = turn
+        new = new[mark[new] == turn]
+        meet(new)
+        return new
+
+    first = np.arange(m) * n
+    meet(first + medoid)
+    active, beam = np.arange(m), np.full((m, p.beam), -1)  # the best met, best first
+    beam[:, 0] = first + medoid
+    while len(active):
+        open_ = (beam >= 0) & ~done[beam]
+        new = expand(beam[open_ & (np.cumsum(open_, axis=1) <= p.at_once)])
+        row = np.searchsorted(active, new // n)
+        count = np.bincount(row, minlength=len(active))
+        wide = np.full((len(active), p.beam + int(count.max())), -1)
+        wide[:, : p.beam] = beam
+        wide[row, p.beam + np.arange(len(new)) - np.repeat(np.cumsum(count) - count, count)] = new
+        worth = np.where(wide >= 0, -sim[wide], 3.0)
+        best = np.argpartition(worth, p.beam - 1, axis=1)[:, : p.beam]
+        order = np.argsort(np.take_along_axis(worth, best, axis=1), axis=1, kind="stable")
+        beam = np.take_along_axis(wide, np.take_along_axis(best, order, axis=1), axis=1)
+        left = ((beam >= 0) & ~done[beam]).any(axis=1)
+        active, beam = active[left], beam[left]
     least = p.cosine - p.slack
-    if not seen[q]:
-        seen[q], sim[q] = True, x[q] @ query
-    expanded = np.zeros(len(x), dtype=bool)
-    frontier = np.flatnonzero(seen & (sim >= least))
+    own = first + queries
+    meet(own[~seen[own]])
+    frontier = np.flatnonzero(seen & ~done & (sim >= least))
     while len(frontier):
-        expanded[frontier] = True
-        near = np.unique(np.concatenate([graph[f] for f in frontier]))
-        new = near[~seen[near]]
-        if not len(new):
-            break
-        seen[new] = True
-        sim[new] = x[new] @ query
+        new = expand(frontier)
         frontier = new[sim[new] >= least]
-    hit = np.flatnonzero(seen & (sim >= p.cosine))
-    return hit[hit != q]
+    seen[own] = False
+    return np.divmod(np.flatnonzero(seen & (sim >= p.cosine)), n)
+
+
+def _stars(found: np.ndarray) -> list[tuple[int, int]]:
+    """The connected parts of a symmetric matrix of pairs: (lowest row, row) for every other row of a part."""
+    out: list[tuple[int, int]] = []
+    met = ~found.any(axis=1)
+    for i in range(len(found)):
+        if not met[i]:
+            part = np.zeros(len(found), dtype=bool)
+            part[i] = True
+            new = np.array([i])
+            while len(new):
+                new = np.flatnonzero(found[new].any(axis=0) & ~part)
+                part[new] = True
+            met |= part
+            out += [(i, j) for j in np.flatnonzero(part).tolist() if j != i]
+    return out
 
 
 def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -162,6 +224,14 @@ def _counted(found: np.ndarray, shards_a: list, shards_b: list, here: str) -> np
     return out
 
 
+def _values(column: pa.Array) -> list:
+    """A column's values; those of a list of numbers are arrays."""
+    if not pa.types.is_list(column.type) or not (pa.types.is_floating(column.type.value_type) or pa.types.is_integer(column.type.value_type)):
+        return column.to_pylist()
+    flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+    return [flat[i:j] if there else None for i, j, there in zip([0, *ends.tolist()], ends.tolist(), column.is_valid().to_pylist())]
+
+
 def _groups(columns: tuple[str, ...], keys: tuple[str, ...], use):
     """Stream sorted rows and call use(key, rows) for each run of equal keys; a run fits memory by the caps."""
 
@@ -174,7 +244,7 @@ def _groups(columns: tuple[str, ...], keys: tuple[str, ...], use):
             return use(key, rows) if rows else ()
 
         def work(batch: pa.RecordBatch):
-            cols = [batch.column(c).to_pylist() for c in columns]
+            cols = [_values(batch.column(c)) for c in columns]
             for key, *row in zip(zip(*(batch.column(k).to_pylist() for k in keys)), *cols):
                 if key != state["key"]:
                     yield from flush()
@@ -219,7 +289,7 @@ def _cut(placed: DataFrame, big: DataFrame, overlap: int, scratch: Scratch, p: P
             known = shared.value
 
             def work(batch: pa.RecordBatch):
-                shards, x = batch.column("shards").to_pylist(), batch.column("x").to_pylist()
+                shards, x = batch.column("shards").to_pylist(), _values(batch.column("x"))
                 at: dict[str, list[int]] = {}
                 for i, own in enumerate(shards):
                     for s in own:
@@ -289,9 +359,7 @@ def link(vectors: DataFrame, params: Params = Params()) -> DataFrame:
     good = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("e").isNotNull() & (F.size("e") > 0)
     good &= ~F.exists("e", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("e", lambda x: x != 0)
     v = v.withColumn("ok", F.coalesce(good, F.lit(False)))
-    # parts are scaled by the largest, so that no square over- or underflows
-    largest = F.array_max(F.transform("e", F.abs))
-    valid = v.where("ok").select("vec_id", F.struct("label", F.size("e").alias("dim")).alias("g"), F.transform("e", lambda x: x / largest).alias("x"))
+    valid = v.where("ok").select("vec_id", F.struct("label", F.size("e").alias("dim")).alias("g"), scaled("e").alias("x"))
     keyed = valid.withColumn("h1", F.xxhash64("g", "x")).withColumn("h2", F.xxhash64(F.lit(1), "x", "g"))
     rows = scratch.save(keyed.groupBy("g", "h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m"), F.first("x").alias("x")))
 
@@ -305,13 +373,10 @@ def link(vectors: DataFrame, params: Params = Params()) -> DataFrame:
 
     def build(_, got):
         reps = np.array([r[0] for r in got])
-        graph = robust_prune(unit(np.array([r[1] for r in got])), p)
-        ends = [(i, j) for i, out in enumerate(graph) for j in out.tolist()]
-        near: list[set[int]] = [set() for _ in reps]
-        for i, j in ends:
-            near[i].add(int(reps[j]))
-            near[j].add(int(reps[i]))
-        yield {"rep": reps, "near": [sorted(s) for s in near]}
+        i, j = robust_prune(unit(np.array([r[1] for r in got])), p)
+        n = len(reps)
+        both = np.unique(np.concatenate([i * n + j, j * n + i]))
+        yield {"rep": reps, "near": np.split(reps[both % n], np.searchsorted(both, np.arange(1, n) * n))}
 
     ordered = small.repartition(parts, "shard").sortWithinPartitions("shard", "rep")
     lists = map_rows(ordered.select("shard", "rep", "x"), _groups(("rep", "x"), ("shard",), build), "rep long, near array<long>")
@@ -322,10 +387,10 @@ def link(vectors: DataFrame, params: Params = Params()) -> DataFrame:
     def answer(reps, found, weight_b, counted, other=None):
         other = reps if other is None else other
         links = counted @ weight_b
-        i, j = np.nonzero(found)
         if other is reps:
-            edges = _forest(len(reps), i, j)
+            edges = _stars(found)
         else:
+            i, j = np.nonzero(found)
             edges = [(x, y - len(reps)) for x, y in _forest(len(reps) + len(other), i, j + len(reps))]
         yield {"rep": reps, "links": links, "a": [None] * len(reps), "b": [None] * len(reps)}
         yield {"rep": [None] * len(edges), "links": [None] * len(edges), "a": [int(reps[x]) for x, _ in edges], "b": [int(other[y]) for _, y in edges]}
@@ -333,12 +398,16 @@ def link(vectors: DataFrame, params: Params = Params()) -> DataFrame:
     def search(key, got):
         reps, m, shards = np.array([r[0] for r in got]), np.array([r[1] for r in got]), [r[3] for r in got]
         x = unit(np.array([r[2] for r in got]))
-        at = {int(r): i for i, r in enumerate(reps)}
-        graph = [np.array([at[n] for n in (r[4] or ()) if n in at], dtype=np.int64) for r in got]
+        near = [r[4] if r[4] is not None else reps[:0] for r in got]
+        flat, row = np.concatenate(near), np.repeat(np.arange(len(reps)), [len(g) for g in near])
+        at = np.minimum(np.searchsorted(reps, flat), len(reps) - 1)  # reps are in order
+        here = reps[at] == flat
+        graph = (np.concatenate([[0], np.cumsum(np.bincount(row[here], minlength=len(reps)))]), at[here])
         medoid = int(np.argmax(x @ x.mean(axis=0)))
         found = np.zeros((len(reps), len(reps)), dtype=bool)
-        for q in range(len(reps)):
-            found[q, range_search(x, graph, medoid, q, p)] = True
+        for lo in range(0, len(reps), p.together):
+            q, hit = range_search(x, graph, medoid, np.arange(lo, min(lo + p.together, len(reps))), p)
+            found[lo + q, hit] = True
         found |= found.T
         yield from answer(reps, found, m, _counted(found, shards, shards, key[0]))
 

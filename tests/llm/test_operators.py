@@ -214,6 +214,42 @@ def test_embedding_shards_are_cut_until_small(spark):
     assert seen[0] == seen[1]
 
 
+def test_embedding_searches_side_by_side(spark):
+    """Searches of a shard take their steps together and find what each finds alone; a vector is scaled in one pass over its parts."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(150, 16))
+    x = embedding_dedup.unit(np.concatenate([base, base[:60] + 0.04 * rng.normal(size=(60, 16)), base[0] + 0.05 * rng.normal(size=(70, 16))]))
+    p, n = embedding_dedup.Params(), len(x)
+    i, j = embedding_dedup.robust_prune(x, p)
+    links = set(zip(i.tolist(), j.tolist()))
+    for a in range(n):  # row by row
+        row = np.argsort(-np.delete(x @ x[a], a), kind="stable")[: p.candidates]
+        row = row + (row >= a)
+        alive, kept = np.ones(len(row), dtype=bool), []
+        for c in range(len(row)):
+            if alive[c] and len(kept) < p.degree:
+                kept.append(int(row[c]))
+                alive &= p.alpha * (1 - x[row] @ x[row[c]]) > 1 - x[row] @ x[a]
+        assert {b for f, b in links if f == a} == set(kept)
+    both = np.unique(np.concatenate([i * n + j, j * n + i]))
+    graph = (np.searchsorted(both, np.arange(n + 1) * n), both % n)
+    pairs = lambda queries: {(int(queries[q]), int(h)) for q, h in zip(*embedding_dedup.range_search(x, graph, 3, queries, p))}
+    together = pairs(np.arange(n))
+    assert together == set().union(*(pairs(np.array([q])) for q in range(n)))
+    near = x @ x.T >= p.cosine
+    np.fill_diagonal(near, False)
+    assert together == set(zip(*(a.tolist() for a in np.nonzero(near))))
+    assert embedding_dedup.robust_prune(x[:1], p)[0].size == 0
+    alone = (np.zeros(2, dtype=np.int64), np.zeros(0, dtype=np.int64))
+    assert embedding_dedup.range_search(x[:1], alone, 0, np.arange(1), p)[0].size == 0
+    forest = embedding_dedup._stars(near)
+    assert {tuple(sorted(e)) for e in forest} <= {(a, b) for a in range(n) for b in range(a, n)} and len({b for _, b in forest}) == len(forest)
+    df = spark.createDataFrame([([3.0, -4.0, 0.0],), ([1e-300, 1e-300, 0.0],)], "e array<double>").select(embedding_dedup.scaled("e").alias("x"))
+    assert [r.x for r in df.collect()] == [[0.75, -1.0, 0.0], [1.0, 1.0, 0.0]]
+    plan = embedding_dedup.link(spark.createDataFrame([(1, [3.0, 4.0], 0), (2, [3.0, 4.1], 0)], "vec_id long, embedding array<double>, label int"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_max" in plan and "/ array_max" not in plan  # not once more for every part
+
+
 def test_url_filters(spark):
     day = lambda n: F.expr(f"timestamp'2024-01-01' + make_interval(0, 0, 0, {n})")
     entries = spark.createDataFrame([("a", "host", "bad.org", "add", 10), ("a", "host", "bad.org", "remove", 20), ("a", "host", "bad.org", "add", 30), ("b", "prefix", "ok.com/x/y", "add", 0), ("b", "host", None, "add", 0), ("c", "host", "bad.org", "add", 40), ("c", "host", "bad.org", "remove", 40), ("d", "host", "q.net", "purge", 0)], "list string, kind string, key string, action string, d int")
