@@ -187,9 +187,12 @@ def events(texts: list[bytes], trees: Trees, bits: list[int], segment: int = 1)
         padded = length.copy()
         padded[begin + size - 1] += -count % segment
     last = np.cumsum(padded)
-    pos = np.repeat(np.arange(len(data), dtype=np.int32), padded)
-    at = np.arange(last[-1], dtype=np.int32)
-    at += np.repeat((trees.offset[code] - (last - padded)).astype(np.int32), padded)
+    # the byte of each decision: every byte has one at least
+    pos = np.zeros(last[-1], dtype=np.intp)
+    pos[last[:-1]] = 1
+    np.cumsum(pos, out=pos)
+    at = np.take(trees.offset[code] - (last - padded), pos, mode="clip")
+    at += np.arange(last[-1])
     real = None
     if segment > 1:
         real = np.ones(len(at), dtype=np.float32)
@@ -375,12 +378,16 @@ class Tally:
 
     def _merge(self) -> None:
         (a, m), (b, n) = self.runs[-2:]
+        if self.dtype == np.uint32:
+            both = np.concatenate([_both(a, m), _both(b, n)])
+            both.sort(kind="stable")  # two sorted runs: one merge
+            self.runs[-2:] = [_sums_of(both)]
+            return
         keys = np.concatenate([a, b])
         order = np.argsort(keys, kind="stable")  # two sorted runs: one merge
         keys = keys[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        total = np.add.reduceat(np.concatenate([m, n])[order], first, dtype=np.uint64)
-        self.runs[-2:] = [(keys[first], np.minimum(total, 2**32 - 1).astype(np.uint32))]
+        self.runs[-2:] = [(keys[first], _totals(np.concatenate([m, n])[order], first))]
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
         while len(self.runs) > 1:
@@ -388,19 +395,45 @@ class Tally:
         return self.runs.pop() if self.runs else (np.zeros(0, dtype=self.dtype), np.zeros(0, dtype=np.uint32))
 
 
+def _totals(counts: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sum of each stretch of counts that begins at `first`, in 32 bits."""
+    ends = np.append(first[1:], len(counts)) - 1
+    total = np.diff(np.cumsum(counts, dtype=np.uint64)[ends], prepend=np.uint64(0))
+    return np.minimum(total, 2**32 - 1).astype(np.uint32)
+
+
+def _both(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """32-bit keys and their 32-bit counts as one number each, which sort as the keys do."""
+    both = keys.astype(np.uint64)
+    both <<= np.uint64(32)
+    both |= counts
+    return both
+
+
+def _sums_of(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of sorted numbers of _both, and the sum of each one's counts."""
+    keys = (both >> np.uint64(32)).astype(np.uint32)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    both &= np.uint64(0xFFFFFFFF)
+    return keys[first], _totals(both, first)
+
+
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sum of each one's counts."""
-    order = np.argsort(keys)
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
-    if not len(first):
+    if not len(keys):
         return keys, counts
-    return keys[first], np.minimum(np.add.reduceat(counts[order], first, dtype=np.uint64), 2**32 - 1).astype(np.uint32)
+    both = _both(keys, counts)
+    both.sort()
+    return _sums_of(both)
 
 
 def _planes(*columns: np.ndarray) -> bytes:
     """Columns of 32-bit numbers, byte by byte: most of the higher bytes are zeros."""
-    return zlib.compress(b"".join(c.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns), 1)
+    out = np.empty((len(columns), 4, len(columns[0])), dtype=np.uint8)
+    for own, c in zip(out, columns):
+        for i in range(4):
+            own[i] = c >> c.dtype.type(8 * i)
+    return zlib.compress(out, 1)
 
 
 def _columns(packed: bytes, n: int) -> list[np.ndarray]:
@@ -612,7 +645,8 @@ class Mixer:
         gate = np.zeros(len(entry), dtype=np.int16)
         for k in range(CONTEXTS):
             v = np.take(opened[k], slots[k], mode="clip")
-            np.multiply(v, np.float32(0.0025), out=s[k + 1], casting="unsafe")  # the two bits of confidence change this by under 0.01
+            s[k + 1] = v
+            s[k + 1] *= np.float32(0.0025)  # the two bits of confidence change this by under 0.01
             gate <<= 2
             v &= 3
             gate |= v
@@ -624,14 +658,17 @@ class Mixer:
         for part in chunks(texts, self.params.chunk_bytes):
             _, sign, s, gate, _ = self.inputs(part)
             order = np.argsort(gate, kind="stable")
-            gates, first = np.unique(gate[order], return_index=True)
-            x, y, w = s[:, order].astype(float), sign[order].astype(float), self.weights[gate[order]].T.astype(float)
-            e = 1 / (1 + np.exp(np.clip(y * (w * x).sum(axis=0), -30, 30)))
-            number[gates] += np.diff(first, append=len(order))
-            gradient[gates] += np.add.reduceat(x * (y * e), first, axis=1).T
-            bent = x * (e * (1 - e) + 1e-4)
+            gates, first, size = np.unique(np.take(gate, order), return_index=True, return_counts=True)
+            x = np.empty((INPUTS, len(order)))
             for i in range(INPUTS):
-                curvature[gates, i] += np.add.reduceat(bent[i] * x, first, axis=1).T
+                s[i] *= sign  # signed: the gradient and the curvature are those of the unsigned inputs
+                x[i] = np.take(s[i], order)
+            number[gates] += size
+            for g, i, j in zip(gates.tolist(), first.tolist(), (first + size).tolist()):
+                own = x[:, i:j]
+                e = 1 / (1 + np.exp(np.clip(self.weights[g].astype(float) @ own, -30, 30)))
+                gradient[g] += own @ e
+                curvature[g] += (own * (e * (1 - e) + 1e-4)) @ own.T
         return number, gradient, curvature
 
     def log2_probability(self, texts: list[bytes]) -> np.ndarray:
@@ -646,42 +683,57 @@ class Mixer:
         return out
 
     def _refined(self, texts: list[bytes]) -> np.ndarray:
-        count, sign, s, gate, real = self.inputs(texts, BLOCK)
+        counts, inputs, odds = [], [], []
+        weights = np.ascontiguousarray(self.weights.T)
+        for part in chunks(texts, self.params.chunk_bytes):  # these arrays stay in a core's cache
+            count, sign, s, gate, real = self.inputs(part, BLOCK)
+            at = gate.astype(np.intp)
+            sign *= -real  # inputs towards the other bit; padding has even odds and no gradient
+            mixed = np.zeros(len(sign), dtype=np.float32)
+            for k in range(INPUTS):
+                s[k] *= sign
+                w = np.take(weights[k], at, mode="clip")
+                w *= s[k]
+                mixed += w
+            counts.append(count)
+            inputs.append(s.reshape(INPUTS, -1, BLOCK))
+            odds.append(mixed.reshape(-1, BLOCK))
+        count, z0 = np.concatenate(counts), np.concatenate(odds)
+        x = np.empty((INPUTS, *z0.shape), dtype=np.float32)
+        at = len(z0)
+        while inputs:
+            s = inputs.pop()
+            x[:, at - s.shape[1] : at] = s
+            at -= s.shape[1]
         blocks = -(-count // BLOCK)
-        first = np.concatenate([[0], np.cumsum(blocks)[:-1]])
-        at = gate.astype(np.intp)
-        sign *= real  # padding has even odds and no gradient
-        mixed = np.zeros(len(sign), dtype=np.float32)
-        for k in range(INPUTS):
-            s[k] *= sign
-            w = np.take(np.ascontiguousarray(self.weights[:, k]), at, mode="clip")
-            w *= s[k]
-            mixed += w
-        z0, x = mixed.reshape(-1, BLOCK), s.reshape(INPUTS, -1, BLOCK)
+        begin = np.concatenate([[0], np.cumsum(blocks)[:-1]])
         order = np.argsort(-blocks, kind="stable")  # the texts that have a step left come first
-        first, left = first[order], blocks[order]
-        delta = np.zeros((INPUTS, len(texts), 1), dtype=np.float32)
-        total = np.zeros(len(texts))
-        rate = np.float32(self.params.rate / 8)
+        first, left = begin[order], blocks[order]
+        delta = np.zeros((INPUTS, len(texts)), dtype=np.float32)
+        rate, clip = np.float32(self.params.rate / 8), np.float32(15)
         m = len(texts)
         for t in range(int(left[0])):
             while left[m - 1] <= t:
                 m -= 1
             rows = first[:m] + t
-            own = x[:, rows]
-            z = z0[rows]
+            own = np.take(x, rows, axis=1, mode="clip")
+            z = np.take(z0, rows, axis=0, mode="clip")
             if t:
-                for k in range(INPUTS):
-                    z += delta[k, :m] * own[k]
-            np.clip(z, -15, 15, out=z)
-            np.negative(z, out=z)
+                z += np.einsum("ki,kij->ij", delta[:, :m], own)
+            np.minimum(z, clip, out=z)
+            np.maximum(z, -clip, out=z)
             np.exp(z, out=z)
-            total[:m] -= np.log(1 + z).sum(axis=1, dtype=np.float64)
-            z /= 1 + z
-            delta[:, :m, 0] += rate * np.einsum("ij,kij->ki", z, own)
-        bits = np.empty(len(texts))
-        bits[order] = total / np.log(2)
-        return bits + (blocks * BLOCK - count)
+            whole = 1 + z
+            z0[rows] = whole
+            z /= whole
+            delta[:, :m] -= rate * np.einsum("ij,kij->ki", z, own)
+        # a logarithm for every four decisions: their product is at most e^60
+        four = z0.reshape(len(z0), 4, -1)
+        whole = four[:, 0] * four[:, 1]
+        whole *= four[:, 2]
+        whole *= four[:, 3]
+        total = -np.add.reduceat(np.log(whole).sum(axis=1, dtype=np.float64), begin)
+        return total / np.log(2) + (blocks * BLOCK - count)
 
 
 def _sums(texts: DataFrame, mixer: Mixer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -800,7 +852,7 @@ def score(docs: DataFrame, model: Model, ids: tuple[str, ...] = ("doc_id",)) ->
             bits = mix.log2_probability(streams)
             base, hits = [], []
             for own in rows:
-                got = [value[w] for w in own if w in value]
+                got = [v for v in map(value.get, own) if v is not None]
                 if _END in value:
                     got.append(value[_END])
                 base.append(sum(got))
@@ -820,9 +872,12 @@ def score(docs: DataFrame, model: Model, ids: tuple[str, ...] = ("doc_id",)) ->
         def work(batch: pa.RecordBatch):
             out: tuple[list, list, list] = [], [], []
             for i, text in zip(batch.column("digest").to_pylist(), batch.column("text").to_pylist()):
-                own = Counter(w for w in tokens(text) if w not in known)
+                words = tokens(text)
+                rare = set(words).difference(known)
+                count = Counter(words)
+                own = {w: count[w] for w in rare}
                 if _END not in known:
-                    own[_END] += 1
+                    own[_END] = 1
                 out[0].extend(own)
                 out[1].extend([i] * len(own))
                 out[2].extend(own.values())

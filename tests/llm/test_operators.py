@@ -544,6 +544,32 @@ def test_lm_learns_from_every_text(spark, monkeypatch):
     assert missing
 
 
+def test_lm_work_stays_in_small_arrays(spark, monkeypatch):
+    """Decisions are looked up a chunk of text at a time, whatever is scored together; the sums of a fit are those of plain loops; counts meet as whole numbers."""
+    rng = random.Random(11)
+    rows = [(i, " ".join(rng.choice(["tide", "harbour", "le", "phare", "salt", "éclat"]) for _ in range(rng.choice([0, 3, 40, 300])))) for i in range(60)]
+    p = lm_scoring.Params(slot_bits=12, mixer_fold=5, chunk_bytes=700)
+    mixer = lm_scoring.fit(docs(spark, rows), F.lit(True), p).mixer
+    texts = [lm_scoring.stream(lm_scoring.tokens(t)) for _, t in rows]
+    alone = [float(mixer.log2_probability([t])[0]) for t in texts]
+    met, real = [], lm_scoring.Mixer.inputs
+    monkeypatch.setattr(lm_scoring.Mixer, "inputs", lambda self, part, segment=1: (met.append(part), real(self, part, segment))[1])
+    assert np.allclose(mixer.log2_probability(texts), alone, rtol=1e-6)
+    assert sorted(t for part in met for t in part) == sorted(texts) and all(len(part) == 1 or sum(map(len, part)) <= p.chunk_bytes for part in met)
+    number, gradient, curvature = mixer.sums(texts)
+    _, sign, x, gate, _ = real(mixer, texts)
+    for g in range(lm_scoring._GATES):
+        at = gate == g
+        y, own = sign[at].astype(float), x[:, at].astype(float)
+        e = 1 / (1 + np.exp(np.clip(y * (mixer.weights[g].astype(float) @ own), -30, 30)))
+        assert number[g] == at.sum() and np.allclose(gradient[g], own @ (y * e)) and np.allclose(curvature[g], (own * (e * (1 - e) + 1e-4)) @ own.T)
+    most = 2**32 - 1
+    keys, counts = np.array([7, most, 0, 7, most], dtype=np.uint32), np.array([most, 1, 2, 1, 5], dtype=np.uint32)
+    got = lm_scoring._sums_of(np.sort(lm_scoring._both(keys, counts)))
+    assert [a.tolist() for a in got] == [[0, 7, most], [2, most, 6]] and [a.tolist() for a in lm_scoring.summed(keys, counts)] == [a.tolist() for a in got]
+    assert all((a == b).all() for a, b in zip((keys, counts), lm_scoring._columns(lm_scoring._planes(keys, counts), 2)))
+
+
 def test_lm_weights_are_a_fit_over_all_texts(spark, monkeypatch):
     rng = random.Random(12)
     rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega"])[: rng.randrange(2, 6)] for _ in range(40))) for i in range(80)]
