@@ -13,6 +13,9 @@ two slots or more for each context met, so it grows with the input, and is read
 in `mixer_fold`, is counted apart: all its texts, whole, fit the gates' weights over tables without them, by Newton steps whose sums
 are taken over the tasks. The tables that score hold the counts of both parts.
 
+The loops over all texts (words, context counts, sums of a fit, scores) are LmKernels.java, run inside the executors. events, coded_bytes,
+decisions_of, Mixer.sums and Mixer.log2_probability say the same in NumPy, for a few texts on the driver; tests compare the two.
+
 Defined results: a null or empty text is the end mark alone (one token); repeated rows score alike; rows with a null id
 are scored and never learned from; with nothing to learn from, all predictions are even. Other columns are ignored.
 """
@@ -24,7 +27,6 @@ import os
 import tempfile
 import uuid
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows, n_partitions, short_batches
+from .kernels import map_java
 
 BLOCK = 64  # decisions between gradient steps
 _ODD = 0x9E3779B97F4A7C15
@@ -120,6 +123,10 @@ class Trees:
         self.prior = np.concatenate(prior_of).astype(np.float32)
         self.salt = (np.array(node_of, dtype=np.uint64) * np.uint64(0x2545F491) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
+    def arrays(self) -> dict[str, np.ndarray]:
+        """What the kernels read."""
+        return {"offset": self.offset, "length": self.length, "bit": self.bit, "prior": self.prior, "salt": self.salt}
+
 
 # --- events --------------------------------------------------------------------------------------
 
@@ -303,43 +310,9 @@ class Words:
     rare: DataFrame
 
 
-_END = b"\n"
-
-
-def _first_pass(train: DataFrame, p: Params) -> tuple[DataFrame, np.ndarray]:
+def _first_pass(train: DataFrame) -> DataFrame:
     """Word counts (word, n) and byte-pair counts of the training texts, each task's share summed inside it."""
-
-    def make():
-        counts: Counter[bytes] = Counter()
-        pairs = np.zeros(65536, dtype=np.int64)
-
-        def flush():
-            if counts:
-                yield {"word": list(counts), "n": list(counts.values()), "block": [None] * len(counts), "counts": [None] * len(counts)}
-                counts.clear()
-
-        def work(batch: pa.RecordBatch):
-            data = []
-            for text in batch.column("text").to_pylist():
-                own = tokens(text)
-                counts.update(own)
-                counts[_END] += 1
-                data.append(stream(own))
-            x = np.frombuffer(b"\0" + b"".join(b"\0" + d for d in data), dtype=np.uint8).astype(np.int64)
-            pairs[:] += np.bincount(x[:-1] * 256 + x[1:], minlength=65536)
-            if len(counts) > 500_000:
-                yield from flush()
-
-        def end():
-            yield from flush()
-            pairs.reshape(256, 256)[:, 0] = 0
-            if (packed := _pack(pairs)) is not None:
-                yield {"word": [None], "n": [None], "block": [0], "counts": [packed]}
-
-        work.end = end
-        return work
-
-    return map_rows(train.select("text"), make, "word binary, n long, block int, counts binary")
+    return map_java(train.select(F.col("text").cast("binary")), "words", {}, "word binary, n long, block int, counts binary")
 
 
 def _count_words(rows: DataFrame, scratch, p: Params) -> Words:
@@ -447,61 +420,13 @@ _KINDS = 4
 _MET = "block int, n long, packed array<binary>"  # all kinds of a block in one row, which no reader splits
 
 
-def _share(train: DataFrame, trees, block_bits: int, p: Params) -> DataFrame:
+def _share(train: DataFrame, trees: Trees, block_bits: int) -> DataFrame:
     """Every task's context counts by 32-bit key, nothing shared or left out. train: (text, aside).
 
-    A task counts whole bytes in their contexts and takes only the distinct ones apart into decisions.
+    A task counts whole bytes in their contexts (as coded_bytes) and takes only the distinct ones apart (as decisions_of).
     """
-
-    def make():
-        own = trees.value
-        tally = [[Tally(np.uint64) for _ in range(2)] for _ in range(CONTEXTS)]  # of the texts counted, and of the mixer's part
-        waiting: list[list[list[np.ndarray]]] = [[], []]
-
-        def work(batch: pa.RecordBatch):
-            texts, asides = [stream(tokens(t)) for t in batch.column("text").to_pylist()], batch.column("aside").to_pylist()
-            for aside in (0, 1):
-                for part in chunks([t for t, x in zip(texts, asides) if x == aside], p.chunk_bytes):
-                    waiting[aside].append(coded_bytes(part))
-                    if sum(len(w[0]) for w in waiting[aside]) > 1_000_000:
-                        flush()
-                        if sum(len(t) for parts in tally for t in parts) > 2_000_000:
-                            yield from give()
-
-        def flush():
-            for aside in (0, 1):
-                for k in range(CONTEXTS):
-                    if waiting[aside]:
-                        tally[k][aside].add(np.concatenate([w[k] for w in waiting[aside]]))
-                waiting[aside].clear()
-
-        def decided(k: int, aside: int) -> list[tuple[np.ndarray, np.ndarray]]:
-            """Keys and counts of the bits 0 and 1."""
-            keys, counts = tally[k][aside].take()
-            out = [Tally(), Tally()]
-            for i in range(0, len(keys), 500_000):
-                slots, n, one = decisions_of(keys[i : i + 500_000], counts[i : i + 500_000], own)
-                for bit, which in enumerate((~one, one)):
-                    out[bit].add(*summed(slots[which], n[which]))
-            return [t.take() for t in out]
-
-        def give():
-            edges = np.arange(1, 1 << block_bits, dtype=np.uint64) << np.uint64(32 - block_bits)
-            for k in range(CONTEXTS):
-                for kind, (keys, counts) in enumerate([*decided(k, 0), *decided(k, 1)]):
-                    cut = [0, *np.searchsorted(keys, edges.astype(np.uint32)).tolist(), len(keys)]
-                    for b, (i, j) in enumerate(zip(cut, cut[1:])):
-                        if i < j:
-                            yield {"block": [k << block_bits | b], "kind": [kind], "n": [j - i], "packed": [_planes(np.diff(keys[i:j], prepend=np.uint32(0)), counts[i:j])]}
-
-        def end():
-            flush()
-            yield from give()
-
-        work.end = end
-        return work
-
-    return map_rows(train.select("text", "aside"), make, _SHARE)
+    rows = train.select(F.col("text").cast("binary"), F.col("aside").cast("int"))
+    return map_java(rows, "share", trees.arrays() | {"numbers": np.array([block_bits], dtype=np.int32)}, _SHARE)
 
 
 def _meet(shares: DataFrame, block_bits: int) -> DataFrame:
@@ -634,6 +559,11 @@ class Mixer:
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "opened"}
 
+    def arrays(self) -> dict[str, np.ndarray | bytes]:
+        """What the kernels read."""
+        numbers = {"bits": np.array([t.bits for t in self.tables], dtype=np.int32), "shared": np.array([t.shared for t in self.tables], dtype=np.int32)}
+        return self.trees.arrays() | numbers | {"weights": self.weights.astype(np.float32)} | {f"table{k}": t.name.encode() for k, t in enumerate(self.tables)}
+
     def inputs(self, texts: list[bytes], segment: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
         """Decisions a text, signs (+1 for bit 1), log-odds INPUTS x decisions, gates, which decisions are real."""
         count, entry, slots, real = events(texts, self.trees, [t.bits for t in self.tables], segment)
@@ -738,32 +668,13 @@ class Mixer:
 
 def _sums(texts: DataFrame, mixer: Mixer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Mixer.sums over all texts: a row a gate from each task, summed by gate."""
-    shared = texts.sparkSession.sparkContext.broadcast(mixer)
     curved = [(i, j) for i in range(INPUTS) for j in range(INPUTS)]
     names = ["n", *(f"g{i}" for i in range(INPUTS)), *(f"c{i}_{j}" for i, j in curved)]
-
-    def make():
-        own = shared.value
-        total: list[np.ndarray] = []
-
-        def work(batch: pa.RecordBatch):
-            got = own.sums([stream(tokens(t)) for t in batch.column("text").to_pylist()])
-            total[:] = [a + b for a, b in zip(total, got)] if total else got
-            return ()
-
-        def end():
-            if total:
-                n, g, c = total
-                yield {"gate": np.arange(_GATES), "n": n} | {f"g{i}": g[:, i] for i in range(INPUTS)} | {f"c{i}_{j}": c[:, i, j] for i, j in curved}
-
-        work.end = end
-        return work
-
-    rows = map_rows(texts.select("text"), make, ", ".join(["gate int", *(f"{k} double" for k in names)]))
+    arrays = mixer.arrays() | {"weights": mixer.weights.astype(np.float64)}
+    rows = map_java(texts.select(F.col("text").cast("binary")), "sums", arrays, ", ".join(["gate int", *(f"{k} double" for k in names)]))
     number, gradient, curvature = np.zeros(_GATES), np.zeros((_GATES, INPUTS)), np.zeros((_GATES, INPUTS, INPUTS))
     for r in rows.groupBy("gate").agg(*[F.sum(k).alias(k) for k in names]).collect():
         number[r.gate], gradient[r.gate], curvature[r.gate] = r.n, [r[f"g{i}"] for i in range(INPUTS)], np.reshape([r[f"c{i}_{j}"] for i, j in curved], (INPUTS, INPUTS))
-    shared.unpersist()
     return number, gradient, curvature
 
 
@@ -806,17 +717,17 @@ def fit(docs: DataFrame, allowed: Column, params: Params = Params()) -> Model:
     short_batches(spark)
     scratch = Scratch(spark, "lm")
     train = docs.where(allowed & F.col("doc_id").isNotNull()).select("doc_id", "text")
-    first = scratch.save(_first_pass(train, p))
+    first = scratch.save(_first_pass(train))
     words = _count_words(first, scratch, p)
     pairs = np.zeros(65536, dtype=np.int64)
     for r in _summed(first.where("block is not null").select("block", "counts"), 65536, _pack, "block int, counts binary").collect():
         _unpack(pairs, r.counts)
     scratch.drop(first)
     trees = Trees(pairs.reshape(256, 256))
-    length, shared_trees = trees.length.reshape(256, 256).astype(np.int64), spark.sparkContext.broadcast(trees)
+    length = trees.length.reshape(256, 256).astype(np.int64)
     block_bits = min(16, max(4, int((pairs.reshape(256, 256) * length).sum() >> 26).bit_length()))  # so that a block has some 2^26 decisions
     train = train.withColumn("aside", F.pmod(F.xxhash64("doc_id"), F.lit(p.mixer_fold)) == 0)
-    met = scratch.save(_meet(_share(train, shared_trees, block_bits, p), block_bits))
+    met = scratch.save(_meet(_share(train, trees, block_bits), block_bits))
     # the weights are fitted over the counts of the other texts
     apart = scratch.save(train.where("aside").select("text"))
     mixer = Mixer(trees, _tables(met, block_bits, 2, p), np.zeros((_GATES, INPUTS), dtype=np.float32), p)
@@ -835,57 +746,20 @@ def score(docs: DataFrame, model: Model, ids: tuple[str, ...] = ("doc_id",)) ->
     joined to their counts by word, summed once for each distinct text, and joined back by the text's digest,
     so that neither repeated nor null ids matter.
     """
-    spark, words = docs.sparkSession, model.words
-    short_batches(spark, 500)
-    top, mixer, total, distinct = spark.sparkContext.broadcast(words.top), spark.sparkContext.broadcast(model.mixer), words.total, words.distinct
-    digest = F.substring(F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)), 1, 16)
-    keyed = docs.select("doc_id", "text", digest.alias("digest"))
+    words, total, distinct = model.words, model.words.total, model.words.distinct
+    top = {
+        "words": b"".join(words.top), "sizes": np.array([len(w) for w in words.top], dtype=np.int32),
+        "values": np.log10(np.array(list(words.top.values()), dtype=np.float64) + 0.5),
+    }
+    digest = F.substring(F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)), 1, 16).alias("digest")
+    text = F.col("text").cast("binary")
     below = float(np.log10(total + 0.5 * (distinct + 1)))
-
-    def make():
-        known, mix = top.value, mixer.value
-        value = {w: float(np.log10(c + 0.5)) for w, c in known.items()}
-
-        def work(batch: pa.RecordBatch):
-            rows = [tokens(t) for t in batch.column("text").to_pylist()]
-            streams = [stream(r) for r in rows]
-            bits = mix.log2_probability(streams)
-            base, hits = [], []
-            for own in rows:
-                got = [v for v in map(value.get, own) if v is not None]
-                if _END in value:
-                    got.append(value[_END])
-                base.append(sum(got))
-                hits.append(len(got))
-            n = np.array([len(r) + 1 for r in rows])
-            yield {
-                "doc_id": batch.column("doc_id"), "digest": batch.column("digest"), "n_tokens": n, "top_known": hits, "top_base": base, "score": bits * np.log10(2), "size": [len(s) for s in streams],
-            }
-
-        return work
-
-    scored = map_rows(keyed, make, "doc_id long, digest binary, n_tokens long, top_known long, top_base double, score double, size long")
-
-    def rare_words():
-        known = top.value
-
-        def work(batch: pa.RecordBatch):
-            out: tuple[list, list, list] = [], [], []
-            for i, text in zip(batch.column("digest").to_pylist(), batch.column("text").to_pylist()):
-                words = tokens(text)
-                rare = set(words).difference(known)
-                count = Counter(words)
-                own = {w: count[w] for w in rare}
-                if _END not in known:
-                    own[_END] = 1
-                out[0].extend(own)
-                out[1].extend([i] * len(own))
-                out[2].extend(own.values())
-            yield dict(zip(("word", "digest", "tf"), out))
-
-        return work
-
-    asked = map_rows(keyed.select("digest", "text"), rare_words, "word binary, digest binary, tf int")
+    keyed = docs.select(F.col("doc_id").cast("long"), digest, text)
+    scored = map_java(
+        keyed, "score", model.mixer.arrays() | top | {"rate": np.array([model.mixer.params.rate / 8], dtype=np.float32)},
+        "doc_id long, digest binary, n_tokens long, top_known long, top_base double, score double, size long",
+    )
+    asked = map_java(docs.select(digest, text), "rare", {k: top[k] for k in ("words", "sizes")}, "word binary, digest binary, tf int")
     once = asked.join(words.rare, "word").groupBy("word", "digest").agg(F.max("tf").alias("tf"), F.max("n").alias("n"))  # repeats of a text ask alike
     met = once.groupBy("digest").agg(F.sum("tf").alias("rare_known"), F.sum(F.col("tf") * F.log10(F.col("n") + 0.5)).alias("rare_base"))
     out = scored.join(met, "digest", "left")

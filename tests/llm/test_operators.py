@@ -790,3 +790,50 @@ def test_language_fit_gives_the_drivers_memory_back(spark, monkeypatch):
     rows = [(i, "the cat sat on the mat" if i % 2 else "die katze auf der matte", "en" if i % 2 else "de") for i in range(8)]
     model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
     assert model.languages == ["de", "en"] and built == [2] and given == [1]
+
+
+def test_lm_kernels_are_the_numpy_forms(spark):
+    """Words, pairs, context counts, sums of a fit and scores of the kernels, on odd texts; no text of them goes through Python."""
+    from collections import Counter
+
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abCDeéÉ\0ß\x1c") for _ in range(rng.randrange(1, 7)))
+    texts = [None, "", " \t\r\n\x0b\x0c ", "A", "é", "\0", "  The THE the\x0bend ", "x" * 9000, "日本語 " * 50] + [" ".join(word() for _ in range(n)) for n in (1, 2, 9, 400, 6000)]
+    df = docs(spark, list(enumerate(texts))).repartition(3)
+    kept = [lm_scoring.stream(lm_scoring.tokens(t)) for t in texts]
+    met = lm_scoring._first_pass(df).collect()
+    found, pairs = Counter(), np.zeros(65536, dtype=np.int64)
+    for r in met:
+        if r.word is not None:
+            found[bytes(r.word)] += r.n
+        else:
+            lm_scoring._unpack(pairs, r.counts)
+    assert found == Counter(w for t in texts for w in [*lm_scoring.tokens(t), b"\n"]) and len(found) > 2000
+    want = np.zeros((256, 256), dtype=np.int64)
+    for s in kept:
+        for before, byte in zip(b"\0" + s, s):
+            want[before, byte] += byte > 0
+    assert (pairs.reshape(256, 256) == want).all()
+    trees = lm_scoring.Trees(want)
+    for aside in (0, 1):
+        own = [s for i, s in enumerate(kept) if i % 2 == aside]
+        counted = [{}, {}, {}]
+        for r in lm_scoring._share(df.withColumn("aside", F.col("doc_id") % 2 == 1), trees, 4).where(f"int(kind / 2) = {aside}").collect():
+            steps, counts = lm_scoring._columns(r.packed, 2)
+            assert r.n == len(steps) == len(counts)
+            for key, n in zip(np.cumsum(steps, dtype=np.uint32).tolist(), counts.tolist()):
+                assert key >> 28 == r.block & 15
+                counted[r.block >> 4][key, r.kind & 1] = counted[r.block >> 4].get((key, r.kind & 1), 0) + n
+        for got, keys in zip(counted, lm_scoring.coded_bytes(own)):
+            slots, n, one = lm_scoring.decisions_of(*np.unique(keys, return_counts=True), trees)
+            want = Counter()
+            for key, count, bit in zip(slots.tolist(), n.tolist(), one.tolist()):
+                want[key, int(bit)] += count
+            assert got == want
+    model = lm_scoring.fit(df, F.col("doc_id") % 4 != 1, lm_scoring.Params(slot_bits=10, mixer_fold=3))
+    for a, b in zip(lm_scoring._sums(df, model.mixer), model.mixer.sums(kept)):
+        assert np.allclose(a, b, rtol=1e-5, atol=1e-5)
+    scored = lm_scoring.score(df, model)
+    got = {r.doc_id: r.score for r in scored.collect()}
+    assert np.allclose([got[i] for i in range(len(texts))], model.mixer.log2_probability(kept) * np.log10(2), rtol=1e-5, atol=1e-5)
+    assert "MapInArrow" not in scored._jdf.queryExecution().toString()
